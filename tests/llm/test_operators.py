@@ -435,7 +435,7 @@ def test_pseudonyms():
     assert phones[0] == phones[1]
     iso, other = re.search(r"born (\d{4})-(\d\d)-(\d\d) \((\d\d)/(\d\d)/(\d{4})\)", new).groups()[:3], re.search(r"\((\d\d)/(\d\d)/(\d{4})\)", new).groups()
     assert iso == other[::-1]
-    assert len(new) == len(text) and new == pii.pseudonymised(text)[0] != pii.pseudonymised(text, b"other")[0]
+    assert new == pii.pseudonymised(text)[0] != pii.pseudonymised(text, b"other")[0]
 
 
 def test_left_alone():
