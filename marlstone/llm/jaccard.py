@@ -8,10 +8,10 @@ in common then differs in at least one shingle in every plain segment and in at
 all. How many segments carry deletions is chosen by cost for each band.
 
 There are a few segments more than need be, so that a set may do without its most frequent parts: a pair always shares more segments than
-a set leaves out, if one of the two leaves out no more than the slack; sets for which that is too little keep all their parts. Sets that
-share a part are compared with the first of them and with their neighbours by size; where after that a part still joins several
-components, all its pairs across components are compared. So every pair that might link two components is verified, and no group is
-expanded into all its pairs.
+a set leaves out, if one of the two leaves out no more than the slack; sets for which that is too little keep all their parts. Shared
+parts chain classes to clusters. A cluster is cut into blocks of bounded size, and in a task the sets of two blocks are compared exactly,
+by an inverted index of their shingles; tasks return a root and a number of links for each class, never pairs. So every pair that shares a
+part is verified.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from .dedup import heavy_digests
 WORDS, PERCENT = 4, 85
 #: Parts that more classes share are left out where the slack allows.
 FREQUENT = 16
-#: Neighbours by size with which a set is compared in the first round; groups up to one more are compared fully.
-NEIGHBOURS = 4
+#: Classes of a block of a cluster.
+BLOCK = 512
 #: Classes with more copies than about 2 in so many rows are indexed once only, by a broadcast list of them.
 COUNTERS = 1024
 #: Words whose hashes a worker remembers.
@@ -189,17 +189,48 @@ def components(nodes_edges: DataFrame, folder: str, name: str) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The linked ones of pairs (a, b), by the exact size of the intersection."""
-    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
+def linked_in(t: pa.Table, percent: int) -> pa.Table:
+    """Of the classes of two blocks (or of one), compared across (or within): each one's links, and the smallest class that they reach.
+    Exact intersections come from an inverted index of the blocks' shingles, a row of counts at a time."""
+    names, block = t["class"].to_numpy(), t["block"].to_numpy()
+    lists = t["shingles"].combine_chunks()
+    lists = lists if isinstance(lists, pa.ListArray) else lists.chunk(0)
+    flat, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+    m = len(names)
+    owner = np.repeat(np.arange(m), sizes)
+    order = np.argsort(flat, kind="stable")
+    posted, ordered = owner[order], flat[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    group = np.empty(len(flat), np.int64)
+    group[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    length = np.diff(np.append(first, len(flat)))
+    within = (block == block[0]).all()
+    ends = np.cumsum(sizes)
+    linked = np.zeros((m, m), bool)
+    for y in range(m):
+        g = group[ends[y] - sizes[y] : ends[y]]
+        n = length[g]
+        at = np.arange(n.sum()) + np.repeat(first[g] - (np.cumsum(n) - n), n)
+        shared = np.bincount(posted[at], minlength=m)
+        linked[y] = 100 * shared >= percent * (sizes[y] + sizes - shared)
+        linked[y] &= True if within else block != block[y]
+        linked[y, y] = False
+    root = np.full(m, -1)
+    for y in np.argsort(names, kind="stable").tolist():
+        if root[y] >= 0:
+            continue
+        reached = np.zeros(m, bool)
+        near = np.arange(m) == y
+        while near.any():
+            reached |= near
+            near = linked[near].any(axis=0) & ~reached
+        root[reached] = y
+    return pa.table({"class": pa.array(names), "root": pa.array(names[root]), "links": pa.array(linked.sum(axis=1))})
 
 
 def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """For every row of df: doc_id, n_shingles, n_links (other classes linked with it that were verified) and component_id, the smallest
+    """For every row of df: doc_id, n_shingles, n_links (other texts, equal sets counting once, that link with it) and component_id, the smallest
     id that is reachable by links, itself included.
 
     A set is made of the `words`-word shingles of a text, A-Z lower-cased, words `[^\\x20\\x09-\\x0D]+`; a text of fewer words is one
@@ -267,31 +298,21 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets = written(sets, folder, "sets")
 
     spared = hot.join(sets.select("class", "slack"), "class").where("rows <= slack").select("class", F.lit(True).alias("spared"))
-    sized = shared.join(classes.select("class", "n"), "class").join(spared, "class", "left")
-    used = sized.where((F.col("group_size") <= FREQUENT) | F.col("spared").isNull()).select("part", "class", "n")
-    used = written(used.withColumn("group_size", F.count(F.lit(1)).over(by_part)).where("group_size > 1"), folder, "used")
-
-    near = lambda n1, n2: 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
-    in_order = by_part.orderBy("n", "class")
-    others = [F.struct(F.lag("class", k).over(in_order).alias("c"), F.lag("n", k).over(in_order).alias("n")) for k in range(1, NEIGHBOURS + 1)]
-    first = F.struct(F.first("class").over(in_order).alias("c"), F.first("n").over(in_order).alias("n"))
-    star = used.withColumn("others", F.array(*others, first)).select("class", "n", F.explode("others").alias("o"))
-    ordered = lambda d: d.select(F.least("class", "o.c").alias("a"), F.greatest("class", "o.c").alias("b")).distinct()
-    tried = written(ordered(star.where(F.col("o.c").isNotNull() & (F.col("o.c") != F.col("class")) & near(F.col("n"), F.col("o.n")))), folder, "pairs-1")
-    links = written(verified(tried, sets, percent), folder, "links-1")
-    labels = components(links, folder, "first")
-
-    # Groups that still join several components: all pairs across them that were not compared yet.
-    open_ = used.where(F.col("group_size") > NEIGHBOURS + 1).join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
-    open_ = open_.withColumns({"l": F.min("label").over(by_part), "g": F.max("label").over(by_part)}).where("l < g").select("part", "class", "n", "label")
-    open_ = written(open_, folder, "open")
-    other = open_.select("part", F.struct(F.col("class").alias("c"), F.col("n").alias("n"), F.col("label").alias("label")).alias("o"))
-    across = open_.join(other, "part").where((F.col("label") < F.col("o.label")) & near(F.col("n"), F.col("o.n")))
-    more = verified(ordered(across).join(tried, ["a", "b"], "left_anti"), sets, percent)
-    links = written(links.unionByName(more), folder, "links-2")
-    labels = components(links, folder, "second").withColumnRenamed("node", "class")
-
-    degree = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
+    used = shared.join(spared, "class", "left").where((F.col("group_size") <= FREQUENT) | F.col("spared").isNull())
+    chains = used.select("class", F.min("class").over(by_part).alias("first")).where("first <> class").distinct()
+    clusters = components(chains.select(F.col("first").alias("a"), F.col("class").alias("b")), folder, "clusters").withColumnRenamed("node", "class")
+
+    # Blocks of each cluster, and in a task the pairs of two of them.
+    in_cluster = clusters.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = clusters.join(in_cluster, "label").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("class", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    found = placed.join(sets.select("class", "shingles"), "class").groupBy("label", "low", "high").applyInArrow(lambda t: linked_in(t, percent), "class long, root long, links long")
+    found = written(found, folder, "found")
+    links = found.where("root <> class").select(F.col("root").alias("a"), F.col("class").alias("b"))
+    labels = components(links, folder, "components").withColumnRenamed("node", "class")
+    degree = found.groupBy("class").agg(F.sum("links").alias("n_links"))
+
     named = classes.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class")).join(degree, "class", "left")
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = named.join(smallest, "label").select("class", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
