@@ -192,6 +192,7 @@ def components(nodes_edges: DataFrame, folder: str, name: str) -> DataFrame:
 def linked_in(t: pa.Table, percent: int) -> pa.Table:
     """Of the classes of two blocks (or of one), compared across (or within): each one's links, and the smallest class that they reach.
     Exact intersections come from an inverted index of the blocks' shingles, a row of counts at a time."""
+    t = t.take(pa.array(np.unique(t["class"].to_numpy(), return_index=True)[1]))  # a row that was repeated may come from several tasks
     names, block = t["class"].to_numpy(), t["block"].to_numpy()
     lists = t["shingles"].combine_chunks()
     lists = lists if isinstance(lists, pa.ListArray) else lists.chunk(0)
@@ -268,36 +269,20 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 use[i] = sizes[i] > 0 and c not in seen and (c not in once or once[c] is None or ids[i] == once[c])
                 seen.add(c) if use[i] else None
             h = h[np.repeat(use, sizes)]
-            part, owner, _ = index_rows(h, sizes[use], bands)
-            kept = names[use]
+            part, owner, slack = index_rows(h, sizes[use], bands)
+            kept, slack = names[use], slack.astype(np.int32)
             for at in range(0, len(part), 500_000):
-                yield pa.RecordBatch.from_arrays([signed(part[at : at + 500_000]), pa.array(kept[owner[at : at + 500_000]])], ["part", "class"])
+                some = owner[at : at + 500_000]
+                yield pa.RecordBatch.from_arrays([signed(part[at : at + 500_000]), pa.array(kept[some]), pa.array(slack[some])], ["part", "class", "slack"])
 
     by_part = Window.partitionBy("part")
-    index_table = rows.mapInArrow(index, "part long, class long").repartition("part")
+    index_table = rows.mapInArrow(index, "part long, class long, slack int").repartition("part")
     shared = index_table.withColumns({"low": F.min("class").over(by_part), "high": F.max("class").over(by_part)}).where("low < high")
-    shared = shared.select("part", "class").distinct().withColumn("group_size", F.count(F.lit(1)).over(by_part))
+    shared = shared.select("part", "class", "slack").distinct().withColumn("group_size", F.count(F.lit(1)).over(by_part))
     shared = written(shared, folder, "shared")
 
-    # What each class may leave out, worked out from its texts again only for classes that have frequent parts.
-    hot = shared.where(F.col("group_size") > FREQUENT).groupBy("class").agg(F.count("*").alias("rows"))
-    asked = classes.join(shared.select("class").distinct(), "class").select("class", "rep")
-
-    def collect_sets(batches):
-        for batch in chunks(batches, "t"):
-            h, sizes = shingle_sets(utf8_values(batch.column("t")), words)
-            names = set_hashes(h, sizes).view(np.int64)
-            _, _, slack = index_rows(h, sizes, bands)
-            right = np.flatnonzero(names == batch.column("class").to_numpy())
-            ends = np.cumsum(sizes)
-            for at in right.tolist():
-                yield pa.RecordBatch.from_arrays([pa.array(names[at : at + 1]), pa.array(slack[at : at + 1]), pa.array([h[ends[at] - sizes[at] : ends[at]].view(np.int64)], pa.list_(pa.int64()))], ["class", "slack", "shingles"])
-
-    texts = rows.join(asked, rows["d"].eqNullSafe(asked["rep"])).select("class", "t")
-    sets = texts.mapInArrow(collect_sets, "class long, slack long, shingles array<long>").dropDuplicates(["class"])
-    sets = written(sets, folder, "sets")
-
-    spared = hot.join(sets.select("class", "slack"), "class").where("rows <= slack").select("class", F.lit(True).alias("spared"))
+    hot = shared.where(F.col("group_size") > FREQUENT).groupBy("class").agg(F.count("*").alias("rows"), F.first("slack").alias("least"))
+    spared = hot.where("rows <= least").select("class", F.lit(True).alias("spared"))
     used = shared.join(spared, "class", "left").where((F.col("group_size") <= FREQUENT) | F.col("spared").isNull())
     chains = used.select("class", F.min("class").over(by_part).alias("first")).where("first <> class").distinct()
     clusters = components(chains.select(F.col("first").alias("a"), F.col("class").alias("b")), folder, "clusters").withColumnRenamed("node", "class")
@@ -305,9 +290,33 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Blocks of each cluster, and in a task the pairs of two of them.
     in_cluster = clusters.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = clusters.join(in_cluster, "label").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("class", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    found = placed.join(sets.select("class", "shingles"), "class").groupBy("label", "low", "high").applyInArrow(lambda t: linked_in(t, percent), "class long, root long, links long")
+    placed = written(placed.join(classes.select("class", "rep"), "class").select("class", "label", "block", "blocks", "rep"), folder, "placed")
+    # Only texts of documents whose slot is set in a bitmap of fixed size (2 ** 22 slots, sent as 65,536 longs) go into the join.
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 22))
+    word, bit = lambda c: F.shiftright(slot(c), 6), lambda c: slot(c).bitwiseAND(F.lit(63)).cast("int")
+    bitmap = placed.groupBy(word(F.col("rep")).alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col("rep")))).alias("_bits"))
+    likely = rows.withColumn("_word", word(F.col("d"))).join(F.broadcast(bitmap), "_word").where(F.call_function("bit_get", F.col("_bits"), bit(F.col("d"))) == 1).select("d", "t")
+    asked = likely.join(placed, likely["d"].eqNullSafe(placed["rep"])).select("t", "class", "label", "block", "blocks")
+
+    def collect_sets(batches):
+        """Each class of a task once, for every block that its block meets."""
+        seen: set[int] = set()
+        for batch in chunks(batches, "t"):
+            h, sizes = shingle_sets(utf8_values(batch.column("t")), words)
+            names, ends = set_hashes(h, sizes).view(np.int64), np.cumsum(sizes)
+            label, block, blocks = (batch.column(c).to_pylist() for c in ("label", "block", "blocks"))
+            for at in np.flatnonzero(names == batch.column("class").to_numpy()).tolist():
+                if int(names[at]) in seen:
+                    continue
+                seen.add(int(names[at]))
+                n, b = blocks[at], block[at]
+                shingles = pa.array([h[ends[at] - sizes[at] : ends[at]].view(np.int64)] * n, pa.list_(pa.int64()))
+                low, high = [min(b, x) for x in range(n)], [max(b, x) for x in range(n)]
+                columns = [pa.array([names[at]] * n), pa.array([label[at]] * n), pa.array([b] * n, pa.int32()), pa.array(low, pa.int32()), pa.array(high, pa.int32()), shingles]
+                yield pa.RecordBatch.from_arrays(columns, ["class", "label", "block", "low", "high", "shingles"])
+
+    sets = asked.mapInArrow(collect_sets, "class long, label long, block int, low int, high int, shingles array<long>")
+    found = sets.groupBy("label", "low", "high").applyInArrow(lambda t: linked_in(t, percent), "class long, root long, links long")
     found = written(found, folder, "found")
     links = found.where("root <> class").select(F.col("root").alias("a"), F.col("class").alias("b"))
     labels = components(links, folder, "components").withColumnRenamed("node", "class")
