@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import count_words
+from .common import count_words, shared_folder, written
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -65,6 +65,7 @@ def mix_decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     named = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))  # joins and partitions alike for null
     rows = rows.withColumns({"named": named, "class": size_class(F.col("size")), "slot": F.substring(key, 1, 2), "key": key})
+    rows = written(rows, shared_folder(df.sparkSession), "sizes")  # read three times; texts are read once
     cells = rows.groupBy("named", "class", "slot").agg(F.count("*").alias("n"), F.sum("size").alias("words"), F.first("source").alias("source"))
     targets = source_targets(cells.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     targets = targets.select(named.alias("named"), "source_size", "target")
