@@ -73,11 +73,9 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hashes = [r["hash"] for r in places.select("hash").distinct().collect()]
     words = F.array_remove(F.split(lower_ascii(F.coalesce(df[text_col], F.lit(""))), NO_WORD), "")
     rows = df.select(df[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("uid"), words.alias("words"))
-    rolling = F.transform("words", lambda w, i: F.struct(i.alias("place"), F.xxhash64(w, F.get("words", i + 1)).alias("hash")))
-    hits = F.transform(
-        F.filter(rolling, lambda x: x["hash"].isin(hashes)),
-        lambda x: F.struct(x["place"].alias("place"), x["hash"].alias("hash"), F.get("words", x["place"]).alias("h1"), F.get("words", x["place"] + 1).alias("h2")),
-    )
+    pair = lambda at: F.xxhash64(F.get("words", at), F.get("words", at + 1))
+    kept = F.array_compact(F.transform("words", lambda w, i: F.when(F.xxhash64(w, F.get("words", i + 1)).isin(hashes), i)))
+    hits = F.transform(kept, lambda at: F.struct(at.alias("place"), pair(at).alias("hash"), F.get("words", at).alias("h1"), F.get("words", at + 1).alias("h2")))
     votes = rows.select("uid", "doc_id", F.size("words").cast("long").alias("n_words"), F.inline_outer(hits))
     voted = votes.join(F.broadcast(places), "hash", "left")
     # A hit whose words are not the template's (equal hashes) loses its vote; its row stays for the document's sake.
