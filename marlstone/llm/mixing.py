@@ -21,6 +21,8 @@ SHARE = 1.5
 MOST = 2
 #: The random offset of systematic sampling, drawn once; a parameter so that reruns agree.
 OFFSET = 0.6180339887
+#: Copies of one repeated row that one task emits together.
+EMITTED = 1000
 
 
 def size_class(size: Column) -> Column:
@@ -54,14 +56,15 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return level.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def mix_decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", offset: float = OFFSET, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """For every row of df: doc_id, source, size, source_size, target and copies.
+def mix_decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", offset: float = OFFSET, weights=WEIGHTS, share: float = SHARE, most: int = MOST, key: Column | None = None) -> DataFrame:
+    """For every row of df: doc_id, source, size, source_size, target and copies; with key, that column too.
 
     The size is the number of words of a text (null or empty: 0). A null source is a source of its own, ordered last. A source without
     words has target 0 and gives no copies. Rows that repeat are separate rows; the result does not depend on their order. An empty
     table gives an empty result; other columns are not read.
     """
-    rows = df.select(df[id_col].alias("doc_id"), df[source_col].alias("source"), count_words(df[text_col]).alias("size"))
+    also = [] if key is None else [key.alias("_key")]
+    rows = df.select(df[id_col].alias("doc_id"), df[source_col].alias("source"), count_words(df[text_col]).alias("size"), *also)
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     named = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))  # joins and partitions alike for null
     rows = rows.withColumns({"named": named, "class": size_class(F.col("size")), "slot": F.substring(key, 1, 2), "key": key})
@@ -76,18 +79,32 @@ def mix_decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     end = F.col("before") + F.col("rank")
     copies = F.floor(rate * end + F.lit(offset)) - F.floor(rate * (end - 1) + F.lit(offset))
-    return placed.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), *(["_key"] if also else []))
+
+
+def row_key(df: DataFrame, id_col: str) -> Column:
+    """Tells rows apart by their id and a hash of all columns (but maps) and of which of them are null."""
+    plain = [df[f"`{f.name}`"] for f in df.schema if "map<" not in f.dataType.simpleString()]
+    return F.concat_ws("|", F.hex(F.xxhash64(*plain, *(c.isNull() for c in plain))), df[id_col].cast("string"))
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: the rows of df with all their columns, each as often as it was drawn.
 
-    Rows are matched to their draws by id, source and size; rows that agree in all three share their draws, the most copies first.
+    Rows are matched to their draws by a hash of the row. The texts are dealt out once and stream past the draws of their partition; they
+    are never sorted. Rows that repeat in all columns are one row with the draws of all, which are emitted in parts of EMITTED copies.
     """
-    key = lambda i, s, n: F.to_json(F.struct(i.alias("i"), s.alias("s"), n.alias("n")))
-    drawn = mix_decisions(df, id_col, text_col, source_col, **options)
-    drawn = drawn.select(key(F.col("doc_id"), F.col("source"), F.col("size")).alias("_key"), "copies").groupBy("_key").agg(F.sort_array(F.collect_list("copies"), False).alias("_copies"))
-    rows = df.select("*", key(df[id_col], df[source_col], count_words(df[text_col])).alias("_key")).join(drawn, "_key")
-    number = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
-    rows = rows.withColumn("_copies", F.element_at("_copies", number)).where("_copies > 0")
-    return rows.select(*(F.col(f"`{c}`") for c in df.columns), F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    drawn = mix_decisions(df, id_col, text_col, source_col, key=row_key(df, id_col), **options)
+    drawn = drawn.groupBy("_key").agg(F.count("*").alias("_rows"), F.sum("copies").alias("_copies")).where("_copies > 0")
+    drawn = written(drawn, shared_folder(df.sparkSession), "drawn")
+    names = [f"c{i}" for i in range(len(df.columns))]
+    rows = df.select(*(df[f"`{c}`"].alias(n) for c, n in zip(df.columns, names, strict=True)), row_key(df, id_col).alias("_key"))
+    copies = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("_copy")
+    mixed = rows.join(drawn.where("_rows = 1").hint("shuffle_hash"), "_key").select(*names, copies(F.col("_copies")))
+    repeated = drawn.where("_rows > 1")
+    if not repeated.isEmpty():
+        one = rows.join(repeated, "_key").groupBy("_key").agg(*(F.first(n).alias(n) for n in names), F.first("_copies").alias("_copies"))
+        part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / EMITTED)))
+        parts = one.withColumn("_part", part).repartition("_key", "_part")
+        mixed = mixed.unionByName(parts.select(*names, copies(F.least(F.lit(EMITTED), F.col("_copies") - F.col("_part") * EMITTED))))
+    return mixed.select(*(F.col(n).alias(c) for n, c in zip(names, df.columns, strict=True)))
