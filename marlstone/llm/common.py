@@ -75,8 +75,12 @@ def lower_ascii(text: Column) -> Column:
 
 def count_words(text: Column) -> Column:
     """Number of `[^\\x20\\x09-\\x0D]+` in a text; 0 for null."""
-    flat = F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "))
-    return F.when(F.length(flat) > 0, F.length(flat) - F.length(F.translate(flat, " ", "")) + 1).otherwise(0).cast("long")
+    flat = text
+    for space in SPACES[1:]:
+        flat = F.replace(flat, F.lit(space), F.lit(" "))
+    flat = F.trim(F.regexp_replace(flat, " {2,}", " "))  # single blanks, which are most, cost no match
+    blanks = F.octet_length(flat) - F.octet_length(F.replace(flat, F.lit(" "), F.lit("")))
+    return F.when(F.octet_length(flat) > 0, blanks + 1).otherwise(0).cast("long")
 
 
 def remainder(doc_id: Column, mod: int) -> Column:
