@@ -19,8 +19,8 @@ ORACLE_SQL = None
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold; the classifier learns from the labelled ones among them, as its query does."""
     model = quality.train(docs, table(spark, sf_dir, "labels"), condition=remainder(F.col("doc_id"), 5) != 0)
-    scored = quality.score(docs, model, {c: docs[c] for c in docs.columns})
-    return scored.where(F.col("score") >= quality.THRESHOLD).drop("score")
+    scored = quality.score(docs, model, {c: docs[c] for c in docs.columns}, name="_quality_score")
+    return scored.where(F.col("_quality_score") >= quality.THRESHOLD).drop("_quality_score")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -196,7 +196,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return fit_rules(got[columns].to_numpy(np.float64), got["_label"].to_numpy(np.float64))
 
 
-def score(df: DataFrame, model: RuleEnsemble, keep: dict[str, Column], text_col: str = "text") -> DataFrame:
-    """The columns `keep` and score, between 0 and 1, for every row; empty and null texts have the statistics of an empty text."""
+def score(df: DataFrame, model: RuleEnsemble, keep: dict[str, Column], text_col: str = "text", name: str = "score") -> DataFrame:
+    """The columns `keep` and the score (as `name`), between 0 and 1, for every row; empty and null texts have the statistics of an empty text."""
     scored = with_statistics(df, keep, text_col)
-    return scored.select(*keep, model.score().alias("score"))
+    return scored.select(*keep, model.score().alias(name))
