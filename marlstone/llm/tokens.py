@@ -13,11 +13,13 @@ reader can fetch any document without decoding the rest. Layout, little-endian:
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
 import zlib
 from array import array
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -129,37 +131,73 @@ def read_ids(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library. Words between ASCII white space are encoded once and remembered; the vocabulary's
-    normaliser and splitter never join or drop anything across white space, so the ids are those of the whole text. Nor do they join a
-    letter or digit and a mark after it, or tell upper from lower case, so there are fewer words to encode: texts are lower-cased and a
-    single mark that ends a word gets a blank before it. Texts in which a special token's string may stand are left as they are, since
-    these strings are matched before anything else."""
+    """Ids of texts by the tokenizers library.
 
-    #: A mark between a letter (ASCII, or Latin-1 without the two signs among its letters) or digit and white space.
-    mark = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?])(?=\s|\Z)")
+    A vocabulary with any other normaliser or splitter than those below gets whole texts. With these, words between ASCII white space are
+    encoded once and remembered: nothing is joined or dropped across white space, and upper and lower case are one, so the ids are those of
+    the whole text. A word of small Latin letters with or without ASCII marks behind it is not changed by the normaliser and is split
+    where the marks begin, so both parts go straight to the model. Texts keep their case if a special token's string may stand in them,
+    since these strings are matched before anything else, or if combining marks do, since a small letter may be composed with one where its
+    capital is not."""
+
+    # The normaliser and the splitter that words may be told apart for.
+    normalizer = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    splitter = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+
+    #: Small letters, ASCII or Latin-1, and a run of ASCII marks.
+    plain = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def learn(self, words: list[bytes]) -> None:
-        for at in range(0, len(words), 10_000):
-            part = words[at : at + 10_000]
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_words = self.splits_at_blanks(json.loads(Path(path).read_text("utf-8")))
+        bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.alphabet = {n: bytes_of.pre_tokenize_str(chr(n))[0][0] for n in range(0xDF, 0x100)}
+        self.model = self.tokenizer.model
+
+    @classmethod
+    def splits_at_blanks(cls, settings: dict) -> bool:
+        before = settings.get("pre_tokenizer") or {}
+        parts = before.get("pretokenizers") or [{}]
+        added = settings.get("added_tokens") or []
+        return (
+            settings.get("normalizer") == cls.normalizer and parts[0] == cls.splitter and [x["type"] for x in parts[1:]] == ["ByteLevel"]
+            and not parts[1]["add_prefix_space"] and not parts[1]["use_regex"] and settings["model"]["type"] == "BPE" and not settings["model"].get("dropout")
+            and all("<|" in x["content"] and not re.search(r"\s", x["content"]) and not (x["normalized"] or x["lstrip"] or x["rstrip"] or x["single_word"]) for x in added)
+        )
+
+    def learn(self, words: set[bytes]) -> None:
+        rest, tokenize = [], self.model.tokenize
+        for word in words:
+            if m := self.plain.fullmatch(word):
+                found = tokenize(m[1].decode().translate(self.alphabet))
+                if m[2]:
+                    found += tokenize(m[2].decode())
+                self.known[word] = array("I", [t.id for t in found]).tobytes()
+            else:
+                rest.append(word)
+        for at in range(0, len(rest), 10_000):
+            part = rest[at : at + 10_000]
             found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
             self.known.update(zip(part, [array("I", e.ids).tobytes() for e in found], strict=True))
 
     def encode(self, values: list[bytes]) -> list[bytes]:
         """Little-endian u32 ids of each text, with the end id."""
-        texts = [(v if b"<|" in v else self.mark.sub(rb" \1", v.lower())).split() for v in values]
+        end = array("I", [END_ID]).tobytes()
+        if not self.by_words:
+            return [array("I", self.tokenizer.encode(v.decode(), add_special_tokens=False).ids).tobytes() + end for v in values]
+        texts = [(v if b"<|" in v or b"\xcc" in v or b"\xcd" in v else v.lower()).split() for v in values]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         seen: set[bytes] = set()
         for ws in texts:
             seen.update(ws)
-        self.learn(list(seen - self.known.keys()))
-        end, ids = array("I", [END_ID]).tobytes(), self.known.__getitem__
+        self.learn(seen - self.known.keys())
+        ids = self.known.__getitem__
         return [b"".join(map(ids, ws)) + end for ws in texts]
 
 

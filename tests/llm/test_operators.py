@@ -212,6 +212,27 @@ def test_encoder_equals_whole_texts(small):
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [whole_ids(t) for t in texts]
 
 
+def test_encoder_of_words_and_marks():
+    alphabet = ["a", "H", "t", "é", "É", "ß", "ÿ", "÷", "\u0331", "\u0308", "\u0301", "'", "s", ".", "!", "#", "<", "|", ">", "7", " ", "\t", "\u212a"]
+    rng = np.random.default_rng(7)
+    texts = ["".join(rng.choice(alphabet, 24)) for _ in range(600)] + ["H\u0331a T\u0308.", "ciez.### won't!' 's it's' mit'll"]
+    encoder = tokens.Encoder(queries.TOKENIZER)
+    got = encoder.encode([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_encoder_of_another_vocabulary():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["", "Hello  World.\n\tIt's É\u0301 fine", "<|endoftext|> a"]
+    encoder, whole = tokens.Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_words and tokens.Encoder(queries.TOKENIZER).by_words
+    got = encoder.encode([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [[*whole.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
 def test_token_files(spark):
     d = odd(spark).where("doc_id is null or doc_id <> 6")
     got = sorted(map(tuple, tokens.token_table(d, queries.TOKENIZER, file_ids=8).collect()), key=lambda r: r[1])
