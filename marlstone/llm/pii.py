@@ -100,12 +100,26 @@ def card(text: str, key: bytes) -> str | None:
     return refilled(text, body + check_digit(body))
 
 
+def in_plan(number: int) -> bool:
+    """Whether neither area nor exchange of ten digits begins with 0 or 1."""
+    return number // 10**9 > 1 and number // 10**6 % 10 > 1
+
+
 def phone(text: str, key: bytes) -> str | None:
-    """Numbers of the North American plan: area and exchange do not begin with 0 or 1."""
+    """Numbers of the North American plan: area and exchange do not begin with 0 or 1. Ten digits outside the plan that are written as a
+    phone number, with a plus sign, brackets or separators, are permuted among those outside it; bare digits are no phone number then."""
     digits = re.sub(r"\D", "", text)
     own = digits[-10:]
-    if len(digits) not in (10, 11) or (len(digits) == 11 and digits[0] != "1") or own[0] in "01" or own[3] in "01":
+    if len(digits) not in (10, 11) or (len(digits) == 11 and digits[0] != "1"):
         return None
+    value = int(own)
+    if not in_plan(value):
+        if len(digits) == len(text):
+            return None
+        value = permuted(value, 10**10, "phone10", key)
+        while in_plan(value):
+            value = permuted(value, 10**10, "phone10", key)
+        return refilled(text, digits[:-10] + f"{value:010d}")
     value = ((int(own[:3]) - 200) * 800 + int(own[3:6]) - 200) * 10_000 + int(own[6:])
     value = permuted(value, 800 * 800 * 10_000, "phone", key)
     head, line = divmod(value, 10_000)

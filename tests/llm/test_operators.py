@@ -479,6 +479,18 @@ def test_other_kinds():
     assert int(plain[2:] + "1314" + plain[:2]) % 97 == 1
 
 
+def test_phones_outside_the_plan():
+    written = ["+1 (017) 555-7713", "+1 (136) 555-7479", "(017) 155-7713", "617-155-7713", "1.017.555.7713", "+10175557713"]
+    new, counts = pii.pseudonymised("call " + ", ".join(written) + " now")
+    assert counts == {"phone": 6}
+    made = new.removeprefix("call ").removesuffix(" now").split(", ")
+    assert [re.sub(r"\d", "0", x) for x in made] == [re.sub(r"\d", "0", x) for x in written]
+    own = [re.sub(r"\D", "", x)[-10:] for x in made]
+    assert own[0] == own[4] == own[5] and len(set(own)) == 4 and not {re.sub(r"\D", "", x)[-10:] for x in written} & set(own)
+    assert all(x[0] in "01" or x[3] in "01" for x in own)
+    assert pii.pseudonymised("id 10175557713 or 0175557713") == ("id 10175557713 or 0175557713", {})
+
+
 def test_pii_odd(spark):
     got = pii.pseudonymise(odd(spark)).collect()
     assert len(got) == 11 and sum(r["text"] is None for r in got) == 2 and all(r["n_values"] == 0 and r["kinds"] == "" for r in got)
