@@ -6,7 +6,8 @@ escape, distinct / (total + distinct), leads to the next shorter context, in whi
 0 the remaining byte values are equally likely. The seen sets are nested, so the whole back-off of a (context, symbol) pair is worked out
 once in a table, and a text is scored by two look-ups a byte. Byte 0xFF, which UTF-8 never has, begins and ends each text.
 
-The trie keeps at most CONTEXTS contexts of order 2 and of order 3, the most frequent; texts elsewhere are scored in shorter contexts.
+The CONTEXTS most frequent contexts of order 2 and of order 3 are sent to all workers as tables. The counts of all contexts stay in the
+shared folder; 4-grams whose contexts the tables lack are counted by text and joined with them, so the scores do not depend on CONTEXTS.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import LOWER_TABLE, chunks, shared_folder, ship_code, utf8_values, written
 
 ORDER = 3
-#: Contexts of order 2 and of order 3 that the trie keeps; bounds the broadcast model (256 symbols of 12 bytes each at most).
+#: Contexts of order 2 and of order 3 that are sent to all workers; bounds the broadcast model (256 symbols of 12 bytes each at most).
 CONTEXTS = 32_768
 #: Most frequent tokens whose counts are sent to all workers; the counts of all others are joined.
 FREQUENT = 150_000
@@ -100,6 +101,7 @@ class Trie:
             tables.append(table)
             node = np.tile(node, a)  # strings of `order` symbols fall back to the one without the first symbol
             node[uniq[ok]] = rows + np.arange(len(own))
+            self.longest = rows  # the first row of the order in hand, at last of the longest contexts
             rows, kept, counts, back = rows + len(own), uniq[ok], own, deeper
         self.node, self.table = node.astype(np.int32), np.concatenate([t.astype(np.float32) for t in tables])
 
@@ -120,17 +122,34 @@ class Trie:
         escape = np.where(distinct > 0, np.log10(np.maximum(distinct, 1) / whole), 0.0)
         return np.where(left > 0, np.log10(np.maximum(left, 1) / whole), escape + back)
 
+    def places(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability at each place, and the places (as indices of `at`) whose longest context the trie lacks."""
+        s = self.number[raw]
+        a = self.width
+        node = self.node[(s[:-3] * a + s[1:-2]) * a + s[2:-1]]
+        return self.table[node, s[3:]][at - 3].astype(np.float64), np.flatnonzero(node[at - 3] < self.longest)
+
     def log10(self, values: list[bytes]) -> np.ndarray:
         """log10 probability of each text, its end included."""
         if not values:
             return np.zeros(0)
         raw, starts, sizes = laid_out(values)
-        s = self.number[raw]
-        a = self.width
-        context = (s[:-3] * a + s[1:-2]) * a + s[2:-1]
-        per_place = self.table[self.node[context], s[3:]]
-        at = symbol_places(starts, sizes) - 3
-        return np.add.reduceat(per_place[at].astype(np.float64), np.cumsum(sizes) - sizes)
+        per_place, _ = self.places(raw, symbol_places(starts, sizes))
+        return np.add.reduceat(per_place, np.cumsum(sizes) - sizes)
+
+    def in_part(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The sum over the places of each text whose longest context the trie has; of all others (text, 4-gram, times)."""
+        if not values:
+            return np.zeros(0), *(np.zeros(0, np.int64) for _ in range(3))
+        raw, starts, sizes = laid_out(values)
+        at = symbol_places(starts, sizes)
+        per_place, other = self.places(raw, at)
+        per_place[other] = 0
+        key = np.searchsorted(np.cumsum(sizes), other, "right")
+        for k in (3, 2, 1, 0):
+            key = (key << 8) | raw[at[other] - k]
+        key, times = np.unique(key, return_counts=True)
+        return np.add.reduceat(per_place, np.cumsum(sizes) - sizes), key >> 32, key & 0xFFFFFFFF, times
 
 
 class AdaptivePPM:
@@ -206,9 +225,10 @@ def counted(batches):
     yield of_grams()
 
 
-def collected_levels(grams: DataFrame, contexts: int = CONTEXTS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The trie's levels on the driver; at most 256 * contexts counts of order 2 and of order 3, and 65,536 of order 1."""
-    levels = []
+def collected_levels(grams: DataFrame, contexts: int = CONTEXTS) -> tuple[list[tuple[np.ndarray, np.ndarray]], bool]:
+    """The trie's levels on the driver, at most 256 * contexts counts of order 2 and of order 3, and 65,536 of order 1; whether these are
+    certain to be all."""
+    levels, whole = [], True
     for order in (1, 2, 3):
         key = F.col("gram").bitwiseAND(F.lit(256 ** (order + 1) - 1))
         level = grams.groupBy(key.alias("gram")).agg(F.sum("n").alias("n")).withColumn("context", F.shiftright("gram", 8))
@@ -217,14 +237,39 @@ def collected_levels(grams: DataFrame, contexts: int = CONTEXTS) -> list[tuple[n
             level = level.join(F.broadcast(top.select("context")), "context")
         got = level.select("gram", "n").toArrow()
         levels.append((got["gram"].to_numpy(), got["n"].to_numpy()))
-    return levels
+        whole &= order == 1 or len(np.unique(levels[-1][0] >> 8)) < contexts
+    return levels, whole
+
+
+def resolved(wanted: DataFrame, grams: DataFrame) -> DataFrame:
+    """(gram, value): log10 probabilities of the last bytes of the wanted 4-grams after the three before, from the counts of all contexts.
+
+    Of a context its counts' total and their number are enough, and the total that the shorter context has of the same symbols: these are
+    the ones excluded there.
+    """
+    ends = lambda k: F.col("gram").bitwiseAND(F.lit(256 ** (k + 1) - 1))
+    small = lambda k, df: F.broadcast(df) if k < 2 else df
+    levels = [grams.groupBy(ends(k).alias("gram")).agg(F.sum("n").alias("n")) for k in range(3)] + [grams]
+    out = wanted.select("gram")
+    for k, level in enumerate(levels):
+        with_up = level.withColumn("up_n", F.lit(0)) if k == 0 else level.withColumn("up", ends(k - 1)).join(small(k - 1, levels[k - 1].select(F.col("gram").alias("up"), F.col("n").alias("up_n"))), "up")
+        of = with_up.groupBy(F.shiftright("gram", 8).alias(f"context{k}")).agg(F.sum("n").alias(f"total{k}"), F.count("*").alias(f"distinct{k}"), F.sum("up_n").alias(f"same{k}"))
+        out = out.withColumn(f"gram{k}", ends(k)).withColumn(f"context{k}", F.shiftright(f"gram{k}", 8))
+        out = out.join(small(k, of), f"context{k}", "left").join(small(k, level.select(F.col("gram").alias(f"gram{k}"), F.col("n").alias(f"n{k}"))), f"gram{k}", "left")
+    value = -F.log10(256 - F.col("distinct0"))
+    for k in range(4):
+        gone, gone_distinct = (F.coalesce(f"same{k + 1}", F.lit(0)), F.coalesce(f"distinct{k + 1}", F.lit(0))) if k < 3 else (F.lit(0), F.lit(0))
+        distinct = F.col(f"distinct{k}") - gone_distinct
+        left = F.col(f"total{k}") - gone + distinct
+        value = F.when(F.col(f"n{k}") > 0, F.log10(F.col(f"n{k}") / left)).otherwise(F.when(distinct > 0, F.log10(distinct / left)).otherwise(0.0) + value)
+    return out.select("gram", value.alias("value"))
 
 
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", train: Column | None = None, contexts: int = CONTEXTS, frequent: int = FREQUENT) -> DataFrame:
     """For every row of df: doc_id, n_tokens, n_known, train_tokens, base_score and score.
 
     train: a condition on df's columns; rows for which it holds are learnt from (default: all; null: not). The score is the log10
-    probability of the text by the trie, base_score that of its tokens by add-one smoothed counts: words `[^\x20\x09-\x0D]+` after
+    probability of the text by the trie of all contexts, however many `contexts` are sent to all workers, base_score that of its tokens by add-one smoothed counts: words `[^\x20\x09-\x0D]+` after
     lower-casing A-Z, and one end. Null text counts as empty and has an end only. Repeated rows count as often as they are there. Without
     training rows all probabilities are those of a model without counts (base_score then is 0, for lack of a vocabulary). Other columns
     are not read; an empty table gives an empty result.
@@ -235,7 +280,8 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
     learnt = df if train is None else df.where(train)
     counts = written(learnt.select(df[text_col].alias("t")).mapInArrow(counted, "gram long, token binary, n long").groupBy("gram", "token").agg(F.sum("n").alias("n")), folder, "counts")
     tokens = counts.where("gram is null").select("token", "n")
-    levels = collected_levels(counts.where("gram is not null"), contexts)
+    grams = counts.where("gram is not null").select("gram", "n")
+    levels, all_contexts = collected_levels(grams, contexts)
     train_tokens, distinct = (x or 0 for x in tokens.agg(F.sum("n"), F.count("*")).first())
     top = tokens.orderBy(F.desc("n"), "token").limit(frequent).toArrow()
     sent = spark.sparkContext.broadcast((folder, levels, [x.as_py() for x in top["token"]], top["n"].to_numpy()))
@@ -262,29 +308,40 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
                 n_known.append(len(have))
                 base.append(float(np.log10((have + 1) / whole).sum()))
                 tail.append(list(Counter(rare).items()))
+            if all_contexts:
+                score, at, grams, times = trie.log10(values), *(np.zeros(0, np.int64) for _ in range(3))
+            else:
+                score, at, grams, times = trie.in_part(values)
             sizes = [len(x) for x in tail]
-            n, m = len(values), sum(sizes)
+            n, m, g = len(values), sum(sizes), len(at)
+            numbers = np.array(uids, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([batch.column("uid"), pa.array(np.repeat(np.array(uids, np.int64), sizes))]),
-                    pa.concat_arrays([batch.column("d").cast(pa.int64()), pa.nulls(m, pa.int64())]),
-                    pa.array(n_tokens + [w[1] for x in tail for w in x], pa.int64()),
-                    pa.concat_arrays([pa.array(n_known, pa.int64()), pa.nulls(m, pa.int64())]),
-                    pa.concat_arrays([pa.array(base, pa.float64()), pa.nulls(m, pa.float64())]),
-                    pa.concat_arrays([pa.array(trie.log10(values), pa.float64()), pa.nulls(m, pa.float64())]),
-                    pa.array([None] * n + [w[0] for x in tail for w in x], pa.binary()),
+                    pa.array(np.concatenate([numbers, np.repeat(numbers, sizes), numbers[at]])),
+                    pa.concat_arrays([batch.column("d").cast(pa.int64()), pa.nulls(m + g, pa.int64())]),
+                    pa.array(n_tokens + [w[1] for x in tail for w in x] + times.tolist(), pa.int64()),
+                    pa.concat_arrays([pa.array(n_known, pa.int64()), pa.nulls(m + g, pa.int64())]),
+                    pa.concat_arrays([pa.array(base, pa.float64()), pa.nulls(m + g, pa.float64())]),
+                    pa.concat_arrays([pa.array(score, pa.float64()), pa.nulls(m + g, pa.float64())]),
+                    pa.array([None] * n + [w[0] for x in tail for w in x] + [None] * g, pa.binary()),
+                    pa.concat_arrays([pa.nulls(n + m, pa.int64()), pa.array(grams)]),
                 ],
-                ["uid", "doc_id", "n", "n_known", "base", "score", "token"],
+                ["uid", "doc_id", "n", "n_known", "base", "score", "token", "gram"],
             )
 
     rows = df.select(df[id_col].cast("long").alias("d"), df[text_col].alias("t"), F.monotonically_increasing_id().alias("uid"))
-    rows = written(rows.mapInArrow(scan, "uid long, doc_id long, n long, n_known long, base double, score double, token binary"), folder, "scored")
+    rows = written(rows.mapInArrow(scan, "uid long, doc_id long, n long, n_known long, base double, score double, token binary, gram long"), folder, "scored")
     rare = rows.where("token is not null").select("uid", "token", F.col("n").alias("times"))
     rare = rare.join(tokens, "token", "left").groupBy("uid").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more"),
         F.sum(F.col("times") * F.log10((F.coalesce(F.col("n"), F.lit(0)) + 1) / F.lit(float(whole)))).alias("rest"),
     )
-    docs = rows.where("token is null").select("uid", "doc_id", F.col("n").alias("n_tokens"), "n_known", "base", "score").join(rare, "uid", "left")
+    docs = rows.where("token is null and gram is null").select("uid", "doc_id", F.col("n").alias("n_tokens"), "n_known", "base", "score").join(rare, "uid", "left")
+    if not all_contexts:
+        beyond = rows.where("gram is not null").select("uid", "gram", F.col("n").alias("times"))
+        values = written(resolved(beyond.select("gram").distinct(), grams), folder, "resolved")
+        beyond = beyond.join(values, "gram").groupBy("uid").agg(F.sum(F.col("times") * F.col("value")).alias("beyond"))
+        docs = docs.join(beyond, "uid", "left").withColumn("score", F.col("score") + F.coalesce("beyond", F.lit(0.0)))
     return docs.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"), F.lit(train_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score",

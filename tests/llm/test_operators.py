@@ -365,6 +365,18 @@ def test_base_scores(spark, small, frequent):
     assert ppm.lm_scores(empty(spark)).collect() == []
 
 
+@pytest.mark.parametrize("contexts", [1, 40, 700])
+def test_scores_with_any_contexts(spark, small, contexts):
+    """Contexts beyond those that are sent to all workers are scored by the joined counts."""
+    docs = documents(spark, small).select("doc_id", "text").unionByName(odd(spark).select("doc_id", "text")).where("doc_id is null or doc_id <> 6")
+    docs = docs.unionByName(spark.createDataFrame([(901, "q\u00e9zx \u4e2d\u6587 never~seen"), (902, "\U0001f600")], "doc_id long, text string"))
+    train = (remainder(F.col("doc_id"), 7) != 2) & ~F.coalesce(F.col("doc_id"), F.lit(0)).isin(901, 902)
+    scores = lambda **k: sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["score"]) for r in ppm.lm_scores(docs, train=train, **k).collect())
+    want, got = scores(contexts=10**6), scores(contexts=contexts)
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert np.allclose([r[3] for r in got], [r[3] for r in want], rtol=1e-5)
+
+
 # near duplicates
 
 def brute_groups(rows):
