@@ -9,10 +9,11 @@ their locations, and neighbouring ones on a diagonal join to the longest matches
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ALNUM_TABLE, chunks, shared_folder, ship_code, utf8_values, written
@@ -150,6 +151,13 @@ def summary(matches) -> tuple[int, int, str]:
     return hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest()
 
 
+def words_hit(matches: str) -> Column:
+    """Words that a column of longest matches covers; those of several matches count once."""
+    ends = F.array_sort(F.transform(matches, lambda m: F.struct(m["start"].alias("a"), (m["start"] + m["words"]).alias("b"))))
+    walk = F.aggregate(ends, F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).cast("long").alias("reach")), lambda s, m: F.struct((s["hit"] + F.greatest(F.lit(0).cast("long"), m["b"] - F.greatest(m["a"], s["reach"]))).alias("hit"), F.greatest(s["reach"], m["b"]).alias("reach")))
+    return walk["hit"]
+
+
 def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, one_in: int = ONE_IN, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """For every row of df, in no order: doc_id, n_words, n_hit, n_items, items_sha256, contaminated and the longest matches.
 
@@ -171,23 +179,36 @@ def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
             found = found.unionByName(x)
         found = found.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches")).drop("uid")
 
-    ends = F.array_sort(F.transform("matches", lambda m: F.struct(m["start"].alias("a"), (m["start"] + m["words"]).alias("b"))))
-    walk = F.aggregate(ends, F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).cast("long").alias("reach")), lambda s, m: F.struct((s["hit"] + F.greatest(F.lit(0).cast("long"), m["b"] - F.greatest(m["a"], s["reach"]))).alias("hit"), F.greatest(s["reach"], m["b"]).alias("reach")))
     items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
-    out = found.withColumns({"n_hit": walk["hit"], "n_items": F.size(items).cast("long"), "items_sha256": F.sha2(F.array_join(items, ",").cast("binary"), 256)})
+    out = found.withColumns({"n_hit": words_hit("matches"), "n_items": F.size(items).cast("long"), "items_sha256": F.sha2(F.array_join(items, ",").cast("binary"), 256)})
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", ((F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "matches")
 
 
 def remove_contaminated(df: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, one_in: int = ONE_IN, block_chars: int = BLOCK_CHARS, **names) -> DataFrame:
-    """The rows of df, with all their columns, that are not contaminated; one pass over df for each block of the test set."""
+    """The rows of df, with all their columns, that are not contaminated; one pass over df for each block of the test set.
+
+    With more than one block the rows are numbered and each block's matches written before the next block is read; the words that any
+    block hits decide.
+    """
     ship_code(df.sparkSession)
-    blocks = list(blocks_of(benchmark, names.get("item_col", "item_id"), names.get("item_text", "text"), block_chars))
-    if len(blocks) > 1:
-        raise ValueError("the test set is larger than one block; raise block_chars or remove by the ids that contamination() returns")
+    blocks = blocks_of(benchmark, names.get("item_col", "item_id"), names.get("item_text", "text"), block_chars)
+    items, second = next(blocks), next(blocks, None)
     columns, schema = df.columns, df.schema
+    if second is not None:
+        folder, row = shared_folder(df.sparkSession), "_row"
+        while row in {c.lower() for c in columns}:
+            row += "_"
+        rows = written(df.withColumn(row, F.monotonically_increasing_id()), folder, "numbered")
+        found = None
+        for number, block in enumerate(chain((items, second), blocks)):
+            part = written(find_matches(rows, block, text_col, [row], window).where(F.size("matches") > 0), folder, f"matches-{number}")
+            found = part if found is None else found.unionByName(part)
+        found = found.groupBy(row).agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
+        gone = found.where(one_in * words_hit("matches") >= F.col("n_words")).select(row)
+        return rows.join(gone, row, "left_anti").select(*columns)
 
     def scan(batches):
-        tests = TestSuffixes(blocks[0], window)
+        tests = TestSuffixes(items, window)
         at = columns.index(text_col)
         for batch in chunks(batches, text_col):
             n_words, found = matches_in(utf8_values(batch.column(at)), tests)

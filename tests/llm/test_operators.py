@@ -173,6 +173,21 @@ def test_contamination(spark, block_chars):
     assert all(not r["contaminated"] for r in decontam.contamination(d, b.where("false")).collect())
 
 
+def test_removal_by_blocks(spark):
+    """Test sets of several blocks; document 3 is contaminated by the words of two blocks together, 4 would be only if words counted twice."""
+    first, other = " ".join(f"w{i}" for i in range(20)), " ".join(f"v{i}" for i in range(20))
+    items = [(1, first), (2, "Short ITEM here"), (3, ""), (4, None), (5, other), (6, first), (None, "x")]
+    long = lambda n, text: "pad " * (n - len(text.split())) + text
+    docs = [(1, first), (2, long(401, first)), (3, long(800, f"{first} y {other}")), (4, long(500, first)), (5, None), (None, ""), (None, "x y"), (7, "clean text"), (7, "clean text"), (7, other)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").select("*", *(F.lit(1).alias(c) for c in ("uid", "t", "c0", "n_words", "matches", "_row")))
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = [r for r, x in zip(docs, brute_contamination(docs, items), strict=True) if not x[-1]]
+    for block_chars in (60, 8_000_000):
+        kept = decontam.remove_contaminated(d, b, block_chars=block_chars)
+        assert kept.columns == d.columns and Counter(tuple(r)[:2] for r in kept.collect()) == Counter(want)
+    assert decontam.remove_contaminated(d.where("false"), b, block_chars=60).collect() == []
+
+
 def test_longest_matches():
     item = b" ".join(b"w%d" % i for i in range(30))
     tests = decontam.TestSuffixes([("i", item)])
