@@ -26,6 +26,31 @@ CHUNK_BYTES = 4_000_000
 _shipped: set[str] = set()
 
 
+class Remembered(dict):
+    """Values of a function by its argument, the latest `most` at least, `2 * most` and one step's at most: a full memory becomes the old
+    one, which still answers."""
+
+    def __init__(self, made, most: int):
+        super().__init__()
+        self.made, self.most, self.old = made, most, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.made(key)
+        self[key] = value
+        return value
+
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            super().clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.old = {}
+
+
 def ship_code(spark: SparkSession) -> None:
     """Sends this package to the executors' Python workers once per application, so that they need no installation of it."""
     sc = spark.sparkContext
@@ -57,6 +82,17 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def looked_up(big: DataFrame, small: DataFrame, key: str, often: int = 512) -> DataFrame:
+    """big with the columns of small, which has one row for a key at most, or nulls. Rows with one of the `often` most frequent keys get
+    them by a broadcast of so many rows, only the rest is shuffled; so a key of very many rows meets in no task."""
+    frequent = big.groupBy(key).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), key).limit(often).select(key)
+    sent = F.broadcast(small.join(F.broadcast(frequent), key).withColumn("_sent", F.lit(True)))
+    split = big.join(sent, key, "left")
+    rest = split.where(F.col("_sent").isNull()).select(*big.columns).join(small, key, "left")
+    columns = [*big.columns, *(c for c in small.columns if c != key)]
+    return split.where("_sent").select(*columns).unionByName(rest.select(*columns))
+
+
 def delete_folder(spark: SparkSession, uri: str) -> None:
     """Removes a folder of the shared store through Hadoop's file system layer."""
     jvm = spark.sparkContext._jvm

@@ -57,7 +57,7 @@ def op9_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -135,6 +135,33 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from doc_words left join words_hit using (uid) left join items_hit using (uid)
 """
 
+OP10_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), shingles as (
+  select distinct doc_id, array_to_string(w[i:i + 3], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i from words where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select x.doc_id as a, y.doc_id as b, count(*) as common from shingles x join shingles y using (s) where x.doc_id <> y.doc_id group by all
+), links as (
+  select a, b, common = x.n and common = y.n as equal from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * common >= 85 * (x.n + y.n - common)
+), classes as (
+  select d.doc_id, least(d.doc_id, coalesce(min(b) filter (equal), d.doc_id)) as class from sizes d left join links on a = d.doc_id group by d.doc_id
+), degrees as (
+  select a as doc_id, count(distinct class) as n_links from links join classes on classes.doc_id = b where not equal group by a
+), reached as (
+  select doc_id as a, doc_id as b from sizes
+  union
+  select reached.a, links.b from reached join links on links.a = reached.b
+), components as (
+  select a as doc_id, min(b) as component_id from reached group by a
+)
+select w.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(component_id, w.doc_id) as component_id, coalesce(n_links, 0)::bigint as n_links
+from words w left join sizes using (doc_id) left join components using (doc_id) left join degrees using (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_systematic_mix": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op5_suffix_decontamination": OP5_SQL}
+    return {"op3_systematic_mix": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op5_suffix_decontamination": OP5_SQL, "op10_jaccard_join": OP10_SQL}

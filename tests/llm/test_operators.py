@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marlstone.llm import decontam, dedup, html, jaccard, license, mixing, pii, ppm, quality, queries, tokens
-from marlstone.llm.common import count_words, remainder
+from marlstone.llm.common import count_words, remainder, shared_folder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "the quick brown fox jumps over a lazy dog again and then " * 4000
@@ -394,11 +394,11 @@ def test_scores_with_any_contexts(spark, small, contexts):
 
 # near duplicates
 
-def brute_groups(rows):
+def brute_groups(rows, words=4, percent=85):
     sets = []
     for _, t in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-        sets.append({tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))} if w else set())
+        sets.append({tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
     label = list(range(len(rows)))
 
     def find(i):
@@ -409,7 +409,7 @@ def brute_groups(rows):
     for i in range(len(rows)):
         for j in range(i):
             x, y = sets[i], sets[j]
-            if x and y and min(len(x), len(y)) * 100 >= 85 * max(len(x), len(y)) and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)) and 100 * len(x & y) >= percent * len(x | y):
                 label[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(rows):
@@ -458,17 +458,69 @@ def test_groups_planted(spark):
     assert groups_of(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute_groups(rows)
 
 
-def test_groups_in_blocks(spark, small, monkeypatch):
-    """Clusters larger than a block."""
-    whole = groups_of(documents(spark, small))
-    monkeypatch.setattr(jaccard, "BLOCK", 2)
-    assert groups_of(documents(spark, small)) == whole
+@pytest.mark.parametrize("bounds", [{"BLOCK": 2}, {"BLOCK_SHINGLES": 300, "PART_BLOCK": 2, "FREQUENT": 2, "CROWD": 2}])
+def test_groups_in_blocks(spark, small, monkeypatch, bounds):
+    """Clusters and frequent parts larger than a block, and parts that are dealt by class; links are counted."""
+    docs = documents(spark, small)
+    columns = ["doc_id", "n_shingles", "component_id", "n_links", "text_hash", "stays"]
+    whole = sorted(map(tuple, jaccard.jaccard_groups(docs).select(*columns).collect()))
+    for name, value in bounds.items():
+        monkeypatch.setattr(jaccard, name, value)
+    assert sorted(map(tuple, jaccard.jaccard_groups(docs).select(*columns).collect())) == whole
+
+
+def test_groups_with_empty_parts(spark, monkeypatch):
+    """A set with more empty parts than it may leave out, among sets that leave out theirs; parts are frequent early."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 2)
+    h = jaccard.mixed(np.arange(1, 400_000, dtype=np.uint64), 5)
+    segments = int(jaccard.Bands(100).segments[jaccard.Bands(100).of(np.array([7]))[0]])
+    alike = h[jaccard.mixed(h, 29) % np.uint64(segments) == 0]
+    sets = [alike[:6]] + [np.append(alike[:6], h[i]) for i in range(30)]
+    sizes = np.array([len(x) for x in sets])
+    parts, owners, slack = jaccard.index_rows(np.concatenate(sets), sizes, jaccard.Bands(100))
+    together = Counter(parts.tolist())
+    kept = [set() for _ in sets]
+    for owner in range(len(sets)):
+        for side in (0, 1):
+            own = sorted((p for p, o, s in zip(parts.tolist(), owners, slack, strict=True) if o == owner and s % 2 == side), key=lambda p: (-together[p], p))
+            leave = next((s for o, s in zip(owners, slack, strict=True) if o == owner and s % 2 == side), 0) // 2
+            kept[owner] |= {p for i, p in enumerate(own) if i >= leave or together[p] <= 2}
+    assert all(kept[0] & k for k in kept[1:])
+
+
+def test_components(spark):
+    """Chains, stars, rings and repeated edges."""
+    edges = [(i + 1, i) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(299, i) for i in range(200, 230)] + [(400 + i, 400 + (i * 7 + 3) % 50) for i in range(50)] + [(1, 2), (500, 500)]
+    label = {n: n for e in edges for n in e if e[0] != e[1]}
+    for _ in range(100):
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    found = jaccard.components(spark.createDataFrame(edges, "a long, b long"), shared_folder(spark), "c")
+    assert dict(map(tuple, found.collect())) == label
+
+
+def test_bitmaps_bound_differences():
+    """Bits that differ are no more than shingles that do, folded or not, and no link is refused."""
+    rng = np.random.default_rng(1)
+    for n in (7, 30, 33, 200, 1000):
+        a = rng.integers(0, 2**63, n).astype(np.uint64)
+        b = np.concatenate([a[: n - n // 12], rng.integers(0, 2**63, n // 30).astype(np.uint64)])
+        bits = [np.array(x) for x in jaccard.bitmaps(np.concatenate([a, b]), np.array([len(a), len(b)])).to_pylist()]
+        shared = len(set(a.tolist()) & set(b.tolist()))
+        linked = 100 * shared >= 85 * (len(a) + len(b) - shared)
+        names, _ = jaccard.hooked(np.array([1, 2]), np.array([len(a), len(b)]), bits, 85)
+        assert len(names) == 1 if linked else True
 
 
 def test_groups_odd(spark):
     rows = [(r["doc_id"], r["text"]) for r in odd(spark).select("doc_id", "text").collect()]
     assert groups_of(odd(spark)) == brute_groups(rows)
     assert jaccard.jaccard_groups(empty(spark)).collect() == []
+    named = [(f"k{i}", t) for i, (_, t) in enumerate(rows)]
+    df = spark.createDataFrame(named, "key string, body string")
+    found = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_groups(df, "key", "body", 5, 80).collect()]
+    assert sorted(found) == brute_groups(named, 5, 80)
 
 
 # personal data
