@@ -592,16 +592,87 @@ def test_pii_odd(spark):
         ("<p title=\"a>b\">q</p", "q"),
         ("<select><option>a<option>b</select>", "a\nb"),
         ("1 < 2 and 3<", "1 < 2 and 3<"),
+        ("<head><title>t</title><p>Shown text</p>more", "Shown text\n\nmore"),
+        ("<html><head><meta charset=x>Hello <b>w</b>", "Hello w"),
+        ("<head> <link> </head> <body>x<body class=y>z", "xz"),
+        ("<table><tr><td rowspan=2>A<td>B<tr><td>C<td>D</table>", "A | B\n  | C | D"),
+        ("<table><tr><td>A<td rowspan=0>B<td>C<tr><td>D<td>E<tr><td>F<td>G</table>", "A | B | C\nD |   | E\nF |   | G"),
+        ("<table><td>a<td>b<tr><td>c<td>d</table>", "a | b\nc | d"),
+        ("<table><tr><td colspan=2>ab<td>x<tr><td>a<td>b<td>c</table>", "ab    | x\na | b | c"),
+        ("<div style='visibility:hidden'>a<b style='visibility:visible'>seen</b>c</div>", "seen"),
+        ("<div style='display:none'>a<b style='display:block'>b</b></div>c", "c"),
+        ('<a title="foo>bar</a> text after', "bar text after"),
+        ("<p title=it's>hello</p> world don't <b>x</b>", "hello\n\nworld don't x"),
+        ("<!-->a<!--->b<!-- c --!>d", "abd"),
+        ("<span aria-hidden=true>icon</span> <svg><title>t</title><text>drawn</text></svg>", "icon drawn"),
+        ("<b><p>one</b> two</p>three", "one two\n\nthree"),
+        ("<span><div>a</span>b</div>", "ab"),
+        ("<ul><li><p>a</p><p>b</p><li><p>c</p></ul>", "- a\n\n  b\n- c"),
+        ("<ol><li><ul><li>x</ul><li></ol><p>y", "1. - x\n\ny"),
+        ("x<ul><li>a</ul>y", "x\n\n- a\n\ny"),
+        ("<ul><li><table><tr><td>a<td>b</table></ul>", "- a | b"),
     ],
 )
 def test_pages(page, want):
     assert html.visible_text(page) == want
 
 
+def page_and_text(rng, depth=0):
+    """A random fragment: its mark-up, optional tags left out at random, and its lines by the layout rules, spelt out recursively."""
+    leave = lambda tag: tag if rng.random() < 0.5 else ""
+    word = lambda: "".join(rng.choice(list("abcdefg"), 3))
+    kind = rng.choice(["p", "ul", "ol", "table", "div", "pre", "dl"] if depth < 3 else ["p", "div"])
+    if kind == "p":
+        w = [word() for _ in range(int(rng.integers(1, 4)))]
+        return f"<p>{w[0]} <b>{' '.join(w[1:])}</b><i hidden>no</i>{leave('</p>')}", [" ".join(w)], True
+    if kind == "pre":
+        w = [word(), word()]
+        return f"<pre>\n {w[0]}  x\n{w[1]}</pre>", [f" {w[0]}  x", w[1]], True
+    if kind == "div":
+        inner = [page_and_text(rng, depth + 1) for _ in range(int(rng.integers(1, 3)))]
+        w = word()
+        return f"<div>{w}<div>{''.join(x[0] for x in inner)}</div></div>", stacked([([w], False), *(x[1:] for x in inner)]), "ends" if inner[-1][2] else False
+    if kind == "dl":
+        a, (page, lines, _) = word(), page_and_text(rng, depth + 1)
+        return f"<dl><dt>{a}{leave('</dt>')}<dd>{page}{leave('</dd>')}</dl>", [a, *(("    " + x) if x else x for x in lines)], True
+    if kind in ("ul", "ol"):
+        items = [page_and_text(rng, depth + 1) for _ in range(int(rng.integers(1, 4)))]
+        words = [word() for _ in items]
+        out = []
+        for i, (w, (_, lines, spaced)) in enumerate(zip(words, items, strict=True)):
+            mark = f"{i + 1}. " if kind == "ol" else "- "
+            own = stacked([([w], False), (lines, spaced)])
+            out += [mark + own[0], *(" " * len(mark) + x if x else x for x in own[1:])]
+        return f"<{kind}>" + "".join(f"<li><span>{w}</span><div>{x[0]}</div>{leave('</li>')}" for w, x in zip(words, items, strict=True)) + f"</{kind}>", out, True
+    rows = [[word() if rng.random() < 0.7 else word() + word() for _ in range(int(rng.integers(2, 4)))] for _ in range(int(rng.integers(1, 4)))]
+    wide = [max(len(r[c]) for r in rows if c < len(r)) for c in range(max(map(len, rows)))]
+    page = "<table>" + leave("<tbody>") + "".join(f"<tr>{''.join(f'<td>{c}{leave("</td>")}' for c in r)}{leave('</tr>')}" for r in rows) + "</table>"
+    return page, [" | ".join(c.ljust(n) for c, n in zip(r, wide, strict=False)).rstrip(" ") for r in rows], True
+
+
+def stacked(parts):
+    """Lines of blocks, with a blank line where either neighbour is spaced ("ends": only behind it)."""
+    out, behind = [], False
+    for lines, spaced in parts:
+        out += ([""] if out and (behind or spaced is True) else []) + lines
+        behind = bool(spaced)
+    return out
+
+
+def test_random_pages():
+    rng = np.random.default_rng(11)
+    for _ in range(400):
+        parts = [page_and_text(rng) for _ in range(int(rng.integers(1, 4)))]
+        page = "".join(p for p, _, _ in parts)
+        assert html.visible_text(page) == "\n".join(stacked([p[1:] for p in parts])), page
+
+
 def test_deep_and_long_pages():
     assert "x" in html.visible_text("<div>" * 20_000 + "x")
-    assert "x" in html.visible_text("<ul><li>" * 3_000 + "x")
-    assert "x" in html.visible_text("<table><tr><td>" * 2_000 + "x")
+    assert html.visible_text("<ul><li>" * 3_000 + "x") == "- " * 3_000 + "x"
+    assert html.visible_text("<table><tr><td>" * 2_000 + "x") == "x"
+    assert html.visible_text("<ul><li>a" * 70).split("\n")[69] == " " * html.INDENT + "- a"
+    assert html.visible_text("<b>" * 50_000 + "</i>" * 50_000 + "x") == "x"
     assert len(html.visible_text("<p>word</p>" * 50_000).split()) == 50_000
 
 
