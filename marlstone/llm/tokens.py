@@ -13,6 +13,7 @@ reader can fetch any document without decoding the rest. Layout, little-endian:
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
@@ -23,11 +24,12 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, open_shared, shared_folder, ship_code, utf8_values, written
+from .common import Remembered, chunks, open_shared, shared_folder, ship_code, written
 
 MAGIC = b"PFORIDS1"
 BLOCK = 256
@@ -37,12 +39,12 @@ PERCENTILE = 0.9
 FILE_IDS = 2_000_000
 #: The id after each document.
 END_ID = 1
-#: Words whose ids a worker remembers; beyond it starts afresh.
-REMEMBERED = 600_000
+#: Words whose ids a worker remembers (see Remembered), and as many of their parts without marks.
+REMEMBERED = 150_000
 #: Blocks packed at once.
 AT_ONCE = 2048
 
-_memory: dict[str, tuple] = {}
+_memory: dict[str, Encoder] = {}
 
 
 def packed_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[np.ndarray, bytes]:
@@ -147,17 +149,18 @@ class Encoder:
     #: Small letters, ASCII or Latin-1, and a run of ASCII marks.
     plain = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
 
-    def __init__(self, path: str):
+    def __init__(self, settings: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_str(settings.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.by_words = self.splits_at_blanks(json.loads(Path(path).read_text("utf-8")))
+        self.by_words = self.splits_at_blanks(json.loads(settings))
         bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.alphabet = {n: bytes_of.pre_tokenize_str(chr(n))[0][0] for n in range(0xDF, 0x100)}
         self.model = self.tokenizer.model
+        self.words, self.parts = Remembered(self.of_word, REMEMBERED), Remembered(self.of_part, REMEMBERED)
 
     @classmethod
     def splits_at_blanks(cls, settings: dict) -> bool:
@@ -170,77 +173,91 @@ class Encoder:
             and all("<|" in x["content"] and not re.search(r"\s", x["content"]) and not (x["normalized"] or x["lstrip"] or x["rstrip"] or x["single_word"]) for x in added)
         )
 
-    def learn(self, words: set[bytes]) -> None:
-        rest, tokenize = [], self.model.tokenize
-        for word in words:
-            if m := self.plain.fullmatch(word):
-                found = tokenize(m[1].decode().translate(self.alphabet))
-                if m[2]:
-                    found += tokenize(m[2].decode())
-                self.known[word] = array("I", [t.id for t in found]).tobytes()
-            else:
-                rest.append(word)
-        for at in range(0, len(rest), 10_000):
-            part = rest[at : at + 10_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            self.known.update(zip(part, [array("I", e.ids).tobytes() for e in found], strict=True))
-
-    def encode(self, values: list[bytes]) -> list[bytes]:
-        """Little-endian u32 ids of each text, with the end id."""
-        end = array("I", [END_ID]).tobytes()
+    def of_part(self, part: bytes) -> bytes:
+        """Ids of small letters or of marks, straight from the model."""
+        text = part.decode() if part.isascii() else part.decode().translate(self.alphabet)
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+
+    def of_word(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():  # ASCII letters
+            return self.of_part(word)
+        if m := self.plain.fullmatch(word):
+            return self.parts[m[1]] + self.parts[m[2]] if m[2] else self.parts[m[1]]
+        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty), text after text with the end id, and each text's number of ids."""
+        texts = pc.fill_null(texts, "")
         if not self.by_words:
-            return [array("I", self.tokenizer.encode(v.decode(), add_special_tokens=False).ids).tobytes() + end for v in values]
-        texts = [(v if b"<|" in v or b"\xcc" in v or b"\xcd" in v else v.lower()).split() for v in values]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        seen: set[bytes] = set()
-        for ws in texts:
-            seen.update(ws)
-        self.learn(seen - self.known.keys())
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, ws)) + end for ws in texts]
-
-
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process and vocabulary."""
-    if path not in _memory:
-        _memory[path] = Encoder(path)
-    return _memory[path]
-
-
-def write_files(batches, tokenizer: str, folder: str, file_ids: int = FILE_IDS):
+            found = [np.array([*e.ids, END_ID], "<u4") for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, "<u4"), *found]), np.array([len(x) for x in found], np.int64)
+        as_is = pc.match_substring_regex(texts, r"<\||[\x{300}-\x{37F}]")
+        lists = pc.ascii_split_whitespace(pc.if_else(as_is, texts, pc.ascii_lower(texts)))
+        # Every distinct word is looked up once; Arrow tells words apart.
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary() if pa.types.is_string(coded.dictionary.type) else pa.large_binary()).to_pylist()
+        known = [self.words[w] if w else b"" for w in words] + [array("I", [END_ID]).tobytes()]
+        self.words.turn()
+        self.parts.turn()
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat, starts = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
+        per_text = lists.value_lengths().to_numpy()
+        at = np.insert(coded.indices.to_numpy(), np.cumsum(per_text), len(words))
+        n = sizes[at]
+        ids = flat[np.arange(n.sum()) + np.repeat(starts[at] - (np.cumsum(n) - n), n)]
+        first = np.cumsum(per_text + 1) - (per_text + 1)
+        return ids, np.add.reduceat(n, first) if len(first) else n
+
+
+def encoder(settings: bytes) -> Encoder:
+    """One encoder for each worker process, of the latest vocabulary."""
+    name = hashlib.blake2b(settings).hexdigest()
+    if name not in _memory:
+        _memory.clear()
+        _memory[name] = Encoder(settings)
+    return _memory[name]
+
+
+def write_files(batches, tokenizer: bytes, folder: str, file_ids: int = FILE_IDS):
     """Encodes sorted rows (d, t), writes files and yields (part, no, path, n_ids, n_docs) of each. A file appears under its name by a
     rename when it is complete, and a repeated task writes the same file again."""
     part, no = TaskContext.get().partitionId(), 0
     fs, root = open_shared(folder)
-    ids_of = encoder(tokenizer)
+    of = encoder(tokenizer)
     doc_ids: list[int | None] = []
-    held: list[bytes] = []
+    counts: list[int] = []
+    held: list[np.ndarray] = []
 
     def flush():
         nonlocal no
-        data = to_file(doc_ids, [len(x) // 4 for x in held], np.frombuffer(b"".join(held), "<u4"))
+        data = to_file(doc_ids, counts, np.concatenate(held))
         name = f"{root}/part-{part:06d}-{no:06d}.pfor"
         temporary = f"{root}/_{uuid.uuid4().hex}"
         fs.create_dir(root, recursive=True)
         with fs.open_output_stream(temporary) as out:
             out.write(data)
         fs.move(temporary, name)
-        row = {"part": [part], "no": [no], "path": [name.rsplit("/", 1)[-1]], "n_ids": [sum(len(x) // 4 for x in held)], "n_docs": [len(held)]}
+        row = {"part": [part], "no": [no], "path": [name.rsplit("/", 1)[-1]], "n_ids": [sum(counts)], "n_docs": [len(counts)]}
         no += 1
-        doc_ids.clear()
-        held.clear()
+        for x in (doc_ids, counts, held):
+            x.clear()
         return pa.RecordBatch.from_pydict(row, schema=pa.schema([("part", pa.int32()), ("no", pa.int32()), ("path", pa.string()), ("n_ids", pa.int64()), ("n_docs", pa.int64())]))
 
     size = 0
     for batch in chunks(batches, "t"):
-        for doc, ids in zip(batch.column("d").to_pylist(), ids_of.encode(utf8_values(batch.column("t"))), strict=True):
+        ids, each = of.encode(batch.column("t"))
+        begin, end = 0, 0
+        for doc, n in zip(batch.column("d").to_pylist(), each.tolist(), strict=True):
             doc_ids.append(doc)
-            held.append(ids)
-            size += len(ids) // 4
+            counts.append(n)
+            end += n
+            size += n
             if size >= file_ids:
+                held.append(ids[begin:end])
                 yield flush()
-                size = 0
+                begin, size = end, 0
+        if end > begin:
+            held.append(ids[begin:end])
     if held:
         yield flush()
 
@@ -249,13 +266,15 @@ def write_tokens(df: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_
     """Writes the ids of df's texts to files below `folder`, documents in ascending order of their id (null last, then by text), and
     returns the table of files (path, n_ids, n_docs, first_id: ids in the files before), itself written below `folder`.
 
-    The files come in order of (part, no). Null text counts as empty; repeated rows are repeated in the files; an empty table gives none.
+    The files come in order of (part, no). Ids are whole numbers, as the format has them, or strings of such; any other string id fails. Null
+    text counts as empty; repeated rows are repeated in the files; an empty table gives none; other columns are not read.
     """
     ship_code(df.sparkSession)
     rows = df.select(df[id_col].cast("long").alias("d"), df[text_col].alias("t"))
+    settings = Path(tokenizer).read_bytes()  # the file need not be on the executors
     key = [F.col("d").asc_nulls_last()]
     ordered = rows.repartitionByRange(*key).sortWithinPartitions(*key, "t")
-    files = written(ordered.mapInArrow(lambda x: write_files(x, tokenizer, f"{folder}/ids", file_ids), "part int, no int, path string, n_ids long, n_docs long"), folder, "files")
+    files = written(ordered.mapInArrow(lambda x: write_files(x, settings, f"{folder}/ids", file_ids), "part int, no int, path string, n_ids long, n_docs long"), folder, "files")
     # One row for a file of millions of ids: this window sees a few rows for each terabyte.
     order = Window.orderBy("part", "no")
     return files.withColumn("first_id", F.sum("n_ids").over(order) - F.col("n_ids"))

@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -218,22 +219,29 @@ def whole_ids(text):
     return [*t.encode(text or "", add_special_tokens=False).ids, 1]
 
 
+def encoded(path, texts):
+    import pyarrow as pa
+
+    encoder = tokens.Encoder(Path(path).read_bytes())
+    ids, counts = encoder.encode(pa.array(texts, pa.string()))
+    assert sum(counts) == len(ids)
+    return encoder, [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
 def test_encoder_equals_whole_texts(small):
     import pyarrow.parquet as pq
 
     texts = pq.read_table(f"{small}/documents.parquet")["text"].to_pylist()[:80]
-    texts += ["", "a\x1cb \x85 c d", "café ́x", "don't we'll <|endoftext|>x <|startoftext|>", "ΣΑΣ ΣΑΣ.", "　日本 語123 4٣", "a<|endof text|>", "İstanbul ǅ ﬁ I\u0307x É.. a.b, c!? 5. x÷. é, …. x\u0301.", "Tail."]
-    got = tokens.Encoder(queries.TOKENIZER).encode([t.encode() for t in texts])
-    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [whole_ids(t) for t in texts]
+    texts += ["", None, "a\x1cb \x85 c d", "  café ́x ", "don't we'll <|endoftext|>x <|startoftext|>", "ΣΑΣ ΣΑΣ.", "　日本 語123 4٣", "a<|endof text|>", "İstanbul ǅ ﬁ I\u0307x É.. a.b, c!? 5. x÷. é, …. x\u0301.", "Tail."]
+    assert encoded(queries.TOKENIZER, texts)[1] == [whole_ids(t) for t in texts]
 
 
 def test_encoder_of_words_and_marks():
     alphabet = ["a", "H", "t", "é", "É", "ß", "ÿ", "÷", "\u0331", "\u0308", "\u0301", "'", "s", ".", "!", "#", "<", "|", ">", "7", " ", "\t", "\u212a"]
     rng = np.random.default_rng(7)
     texts = ["".join(rng.choice(alphabet, 24)) for _ in range(600)] + ["H\u0331a T\u0308.", "ciez.### won't!' 's it's' mit'll"]
-    encoder = tokens.Encoder(queries.TOKENIZER)
-    got = encoder.encode([t.encode() for t in texts])
-    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    encoder, got = encoded(queries.TOKENIZER, texts)
+    assert got == [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
 
 
 def test_encoder_of_another_vocabulary():
@@ -241,15 +249,27 @@ def test_encoder_of_another_vocabulary():
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    texts = ["", "Hello  World.\n\tIt's É\u0301 fine", "<|endoftext|> a"]
-    encoder, whole = tokens.Encoder(path), Tokenizer.from_file(path)
-    assert not encoder.by_words and tokens.Encoder(queries.TOKENIZER).by_words
-    got = encoder.encode([t.encode() for t in texts])
-    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [[*whole.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    texts = ["", "Hello  World.\n\tIt's É\u0301 fine", "<|endoftext|> a", None]
+    (encoder, got), whole = encoded(path, texts), Tokenizer.from_file(path)
+    assert not encoder.by_words and encoded(queries.TOKENIZER, ["a"])[0].by_words
+    assert got == [[*whole.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_remembered_words():
+    from marlstone.llm.common import Remembered
+
+    made = []
+    memory = Remembered(lambda x: made.append(x) or x * 2, 3)
+    for x in (1, 2, 3, 4):
+        assert memory[x] == 2 * x
+    memory.turn()
+    assert memory[1] == 2 and made == [1, 2, 3, 4] and len(memory) == 1 and len(memory.old) == 4
+    memory.clear()
+    assert memory[1] == 2 and made[-1] == 1 and len(made) == 5
 
 
 def test_token_files(spark):
-    d = odd(spark).where("doc_id is null or doc_id <> 6")
+    d = odd(spark)
     got = sorted(map(tuple, tokens.token_table(d, queries.TOKENIZER, file_ids=8).collect()), key=lambda r: r[1])
     rows = sorted(((r["doc_id"], r["text"]) for r in d.select("doc_id", "text").collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or ""))
     start = 0
