@@ -1,29 +1,34 @@
 """Benchmark decontamination with suffix arrays of the training texts.
 
-Each shard of the training texts (a few megabytes, within one task) is turned into word numbers of the test vocabulary and gets a suffix
-array, sorted to the depth of a window. Suffixes that leave the test vocabulary before the shortest window ends cannot begin with a test
-window and are left out of the array. Every test suffix is binary-searched in every shard; the ranges found are the verbatim matches with
-their locations, and neighbouring ones on a diagonal join to the longest matches. Test sets come to the workers in blocks of bounded size.
+Each shard of the training texts (a few megabytes, within one task) is turned into word numbers of the test vocabulary. Words outside it
+end a suffix as the end of a text does, for no match reaches beyond them, and runs too short for any window are passed over; of all other
+suffixes the shard gets a suffix array, sorted to their full length. Every test suffix that begins a window is binary-searched in it (equal
+windows once): the range found are the places where the window stands. From the places where a match begins, the longest verbatim match
+and its location come from a binary search in the suffix array of the test set.
+
+The test set is written once as blocks of bounded size with their suffix arrays in the shared folder. Workers read the blocks there, one at
+a time, so the training texts are read in a single pass, whatever the size of the test set, and the driver holds neither.
 """
 
 from __future__ import annotations
 
 import hashlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_TABLE, chunks, shared_folder, ship_code, utf8_values, written
+from .common import ALNUM_TABLE, chunks, open_shared, shared_folder, ship_code, utf8_values, written
 
 #: Words of a window.
 WINDOW = 13
 #: A document is contaminated if at least one word in so many is hit.
 ONE_IN = 20
-#: Characters of test items in a block; bounds what a worker holds of the test set.
-BLOCK_CHARS = 8_000_000
+#: Bytes of test items in a block, about; bounds what a worker holds of the test set.
+BLOCK_BYTES = 8_000_000
+
+_blocks: dict[str, object] = {}
 
 
 def words_of(value: bytes) -> list[bytes]:
@@ -31,191 +36,260 @@ def words_of(value: bytes) -> list[bytes]:
     return value.translate(ALNUM_TABLE).split()
 
 
-class TestSuffixes:
-    """The windows of a block of test items, by length, as big-endian keys of word numbers."""
-
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
-        self.numbers: dict[bytes, int] = {}
-        self.names: list[str] = []
-        by_length: dict[int, dict[bytes, list[tuple[int, int]]]] = {}
+def suffix_array(ids: np.ndarray) -> np.ndarray:
+    """The places of all numbers but 0 in the order of their suffixes, which end before the next 0; by prefix doubling."""
+    places = np.flatnonzero(ids)
+    if not len(places):
+        return places
+    rank = ids.astype(np.int64)
+    ends = np.append(np.flatnonzero(ids == 0), len(ids))
+    longest = int((ends[np.searchsorted(ends, places)] - places).max())
+    span, order = 1, np.argsort(rank[places], kind="stable")
+    while span < longest:
+        after = np.zeros(len(ids), np.int64)
+        after[:-span] = rank[span:] if span < len(ids) else 0
+        # What lies beyond a suffix's end counts as nothing.
+        after[places[ends[np.searchsorted(ends, places)] - places <= span]] = 0
+        key = rank[places] * (rank.max() + 1) + after[places]
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+        new = np.cumsum(np.concatenate([[1], ordered[1:] != ordered[:-1]]))
+        rank[places[order]] = new
+        if new[-1] == len(places):
+            break
+        span *= 2
+    return places[order]
+
+
+def differing(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of each pair of suffixes a[at:] and b[bt:], `most` words at most; 0 ends both."""
+    out = most.copy()
+    active = np.arange(len(at))
+    k = 0
+    while len(active):
+        active = active[most[active] > k]
+        x, y = a[at[active] + k], b[bt[active] + k]
+        stop = (x != y) | (x == 0)
+        out[active[stop]] = k
+        active = active[~stop]
+        k += 1
+    return out
+
+
+def bound(text: np.ndarray, array: np.ndarray, needles: np.ndarray, at: np.ndarray, n: np.ndarray, after: bool) -> np.ndarray:
+    """Binary search of each needle, the n words from a place in `needles`, in a suffix array: how many suffixes are less than it, or with
+    `after`, less than it or begin with it."""
+    low, high = np.zeros(len(at), np.int64), np.full(len(at), len(array), np.int64)
+    while len(open_ := np.flatnonzero(low < high)):
+        middle = (low[open_] + high[open_]) // 2
+        k = differing(text, array[middle], needles, at[open_], n[open_])
+        whole = k == n[open_]
+        less = np.where(whole, after, text[array[middle] + k] < needles[at[open_] + np.minimum(k, n[open_] - 1)])
+        low[open_] = np.where(less, middle + 1, low[open_])
+        high[open_] = np.where(less, high[open_], middle)
+    return low
+
+
+class Block:
+    """A block of the test set: its words' numbers, its text as numbers with a 0 behind each item, and its suffix array."""
+
+    def __init__(self, names: list[str], words: list[bytes], ids: np.ndarray, array: np.ndarray, window: int):
+        self.names, self.ids, self.array = names, ids, array
+        self.numbers = {w: i + 1 for i, w in enumerate(words)}
+        ends = np.flatnonzero(ids == 0)
+        self.starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
+        self.at, self.n, self.owners = [], [], []
+        self.sets: list[list[int]] = []  # distinct sets of items that share windows
+        of_set: dict[tuple, int] = {}
+        sizes = np.minimum(ends - self.starts, window)
+        for n in np.unique(sizes):
+            items = np.flatnonzero(sizes == n)
+            count = (ends - self.starts)[items] - n + 1
+            item = np.repeat(items, count)
+            at = self.starts[item] + np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+            keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(ids, n)[at].astype(">u4")).view(f"S{4 * n}").ravel()
+            _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+            self.at.append(at[first])
+            self.n.append(np.full(len(first), n, np.int64))
+            order = np.lexsort((item, which))
+            for one in np.split(item[order], np.flatnonzero(np.diff(which[order])) + 1):
+                key = tuple(np.unique(one).tolist())
+                if key not in of_set:
+                    of_set[key] = len(self.sets)
+                    self.sets.append([*key])
+                self.owners.append(of_set[key])
+        self.at = np.concatenate(self.at) if self.at else np.zeros(0, np.int64)
+        self.n = np.concatenate(self.n) if self.n else np.zeros(0, np.int64)
+        self.owners = np.array(self.owners, np.int64)
+        self.shortest = int(self.n.min(initial=window))
+
+    @classmethod
+    def of(cls, items: list[tuple[str, bytes]], window: int = WINDOW) -> Block:
+        return cls.read(cls.row(items), window)
+
+    @staticmethod
+    def row(items: list[tuple[str, bytes]]) -> dict:
+        """A block's row of the table that holds the test set; items without words are left out."""
+        numbers: dict[bytes, int] = {}
+        names, ids = [], []
         for name, value in items:
-            words = words_of(value)
-            if not words:
-                continue
-            ids = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in words], ">u4")
-            n = min(window, len(ids))
-            for at in range(len(ids) - n + 1):
-                by_length.setdefault(n, {}).setdefault(ids[at : at + n].tobytes(), []).append((len(self.names), at))
-            self.names.append(name)
-        self.lengths = {n: (np.array(list(keys), f"S{4 * n}"), list(keys.values())) for n, keys in sorted(by_length.items())}
-        self.shortest = min(self.lengths, default=0)
-        self.depth = max(self.lengths, default=0)
-
-
-class Shard:
-    """Texts laid end to end with a separator, and their suffix array to a given depth."""
-
-    def __init__(self, texts: list[bytes], tests: TestSuffixes):
-        get, ids, self.starts, self.n_words = tests.numbers.get, [], [], []
-        for value in texts:
-            words = words_of(value)
-            self.starts.append(len(ids))
-            self.n_words.append(len(words))
-            ids += [get(w, 0) for w in words]
-            ids.append(0)
-        self.ids = np.array(ids + [0] * tests.depth, ">u4")
-        known = np.flatnonzero(self.ids[: len(ids)] == 0)
-        ends = known[np.searchsorted(known, np.arange(len(ids)))] if len(ids) else known
-        self.places = np.flatnonzero(ends - np.arange(len(ids)) >= max(1, tests.shortest))
-        if tests.depth and len(self.places):
-            rows = np.lib.stride_tricks.sliding_window_view(self.ids, tests.depth)[self.places]
-            keys = np.ascontiguousarray(rows).view(f"S{4 * tests.depth}").ravel()
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.places = keys[order], self.places[order]
-        else:
-            self.keys = np.array([], f"S{4 * max(1, tests.depth)}")
-
-    def search(self, needles: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """The range of suffixes that begin with each needle of n words."""
-        width = self.keys.dtype.itemsize
-        low = np.searchsorted(self.keys, needles.astype(f"S{width}"), "left")
-        after = np.frombuffer(b"".join(x.ljust(4 * n, b"\0").ljust(width, b"\xff") for x in needles.tolist()), f"S{width}")
-        return low, np.searchsorted(self.keys, after, "right")
-
-
-def matches_in(texts: list[bytes], tests: TestSuffixes):
-    """Word counts of the texts, and their longest matches as arrays (text, first word, words, item, first word in the item)."""
-    shard = Shard(texts, tests)
-    found = []
-    for n, (needles, owners) in tests.lengths.items():
-        low, high = shard.search(needles, n)
-        for k in np.flatnonzero(high > low):
-            places = shard.places[low[k] : high[k]]
-            for item, at in owners[k]:
-                found.append(np.stack([places, np.full(len(places), n), np.full(len(places), item), np.full(len(places), at)]))
-    if not found:
-        return shard.n_words, np.zeros((5, 0), np.int64)
-    at, n, item, item_at = np.concatenate(found, axis=1).astype(np.int64)
-    text = np.searchsorted(np.array(shard.starts), at, "right") - 1
-    at = at - np.array(shard.starts)[text]
-    order = np.lexsort((at, at - item_at, item, text))
-    text, at, n, item, item_at = (x[order] for x in (text, at, n, item, item_at))
-    new = np.ones(len(at), bool)
-    new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (at[1:] - item_at[1:] != at[:-1] - item_at[:-1]) | (at[1:] != at[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    return shard.n_words, np.stack([text[first], at[first], at[last] + n[last] - at[first], item[first], item_at[first]])
+            if words := words_of(value):
+                names.append(name)
+                ids += [numbers.setdefault(w, len(numbers) + 1) for w in words]
+                ids.append(0)
+        array = np.array(ids, "<u4")
+        return {"names": names, "words": b" ".join(numbers), "ids": array.tobytes(), "suffixes": suffix_array(array).astype("<u4").tobytes()}
+
+    @classmethod
+    def read(cls, row: dict, window: int) -> Block:
+        return cls(row["names"], row["words"].split(b" ") if row["words"] else [], np.frombuffer(row["ids"], "<u4").astype(np.int64), np.frombuffer(row["suffixes"], "<u4").astype(np.int64), window)
+
+
+class Found:
+    """What a block of the test set has in common with a shard: places (in the shard's words) with their windows, and longest matches."""
+
+    def __init__(self, words: list[bytes], starts: np.ndarray, block: Block):
+        get = block.numbers.get
+        ids = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+        # Runs of test words within a text, those that are long enough laid end to end with a 0 behind each.
+        edge = np.flatnonzero(np.concatenate([[True], (ids[1:] == 0) | (ids[:-1] == 0), [True]])) if len(ids) else np.zeros(1, np.int64)
+        edge = np.union1d(edge, np.append(starts, len(ids)))
+        begin, size = edge[:-1], np.diff(edge)
+        keep = (size >= max(1, block.shortest)) & (ids[begin] > 0) if len(begin) else np.zeros(0, bool)
+        begin, size = begin[keep], size[keep]
+        place = np.repeat(begin, size + 1) + np.arange((size + 1).sum()) - np.repeat(np.cumsum(size + 1) - (size + 1), size + 1)
+        last = np.cumsum(size + 1) - 1
+        text = ids[np.minimum(place, max(len(ids) - 1, 0))]
+        text[last] = 0
+        array = suffix_array(text)
+        low = bound(text, array, block.ids, block.at, block.n, False)
+        high = bound(text, array, block.ids, block.at, block.n, True)
+        count = high - low
+        self.window = np.repeat(np.arange(len(count)), count)
+        at = array[np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+        self.place, self.n = place[at], block.n[self.window]
+        # A match begins where the window a word earlier is none; its length is the common prefix with a neighbour in the test set.
+        begins = np.zeros(len(text) + 1, bool)
+        begins[at] = True
+        begins[1:] &= ~begins[:-1]
+        self.begin = np.flatnonzero(begins[: len(text)])
+        most = last[np.searchsorted(last, self.begin)] - self.begin if len(self.begin) else self.begin
+        spot = bound(block.ids, block.array, text, self.begin, most, False)
+        best, which = np.zeros(len(spot), np.int64), np.zeros(len(spot), np.int64)
+        for near in (spot, spot - 1):
+            ok = (near >= 0) & (near < len(block.array))
+            there = block.array[np.clip(near, 0, max(len(block.array) - 1, 0))] if len(block.array) else near
+            size = np.where(ok, differing(text, self.begin, block.ids, there, np.where(ok, most, 0)), 0)
+            which, best = np.where(size > best, there, which), np.maximum(best, size)
+        self.item = np.searchsorted(block.starts, which, "right") - 1
+        self.begin, self.words, self.item_start = place[self.begin], best, which - block.starts[np.maximum(self.item, 0)] if len(which) else which
+
+
+def blocks_in(uri: str, window: int):
+    """The blocks of the test set in a folder; a single one is kept by the worker."""
+    from pyarrow import dataset
+    from pyarrow.fs import FileSelector
+
+    if uri in _blocks:
+        yield _blocks[uri]
+        return
+    fs, root = open_shared(uri)
+    files = [f.path for f in fs.get_file_info(FileSelector(root)) if f.path.endswith(".parquet")]
+    whole = dataset.dataset(sorted(files), filesystem=fs, format="parquet")
+    rows = whole.count_rows()
+    for batch in whole.to_batches(batch_size=1):
+        for row in batch.to_pylist():
+            block = Block.read(row, window)
+            if rows == 1:
+                _blocks.clear()
+                _blocks[uri] = block
+            yield block
+
+
+def write_test_set(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> str:
+    """The URI of a table with the test set in blocks of about `block_bytes`, dealt by hash; a null id counts as the empty one."""
+    items = benchmark.select(F.coalesce(benchmark[item_col].cast("string"), F.lit("")).alias("name"), F.coalesce(benchmark[text_col], F.lit("")).alias("t"))
+    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    items = items.withColumn("block", F.pmod(F.xxhash64("name", "t"), F.lit(-(-size // block_bytes) or 1)))
+
+    def build(t: pa.Table) -> pa.Table:
+        return pa.Table.from_pylist([Block.row(sorted(zip(t["name"].to_pylist(), utf8_values(t["t"].combine_chunks()), strict=True)))], pa.schema([("names", pa.list_(pa.string())), ("words", pa.binary()), ("ids", pa.binary()), ("suffixes", pa.binary())]))
+
+    folder = shared_folder(benchmark.sparkSession)
+    written(items.groupBy("block").applyInArrow(build, "names array<string>, words binary, ids binary, suffixes binary"), folder, "tests")
+    return f"{folder}/tests"
+
+
+def searched(values: list[bytes], blocks) -> tuple[np.ndarray, np.ndarray, list[list[str]], list[list[dict]]]:
+    """For each text its number of words, words hit, sorted item ids, and longest matches, over all blocks of the test set."""
+    words, n_words = [], np.zeros(len(values), np.int64)
+    for i, value in enumerate(values):
+        own = words_of(value)
+        n_words[i] = len(own)
+        words += own
+    starts = np.cumsum(n_words) - n_words
+    text_of = np.repeat(np.arange(len(values)), n_words)
+    hit = np.zeros(len(words), bool)
+    items: list[set[str]] = [set() for _ in values]
+    matches: list[list[dict]] = [[] for _ in values]
+    for block in blocks:
+        found = Found(words, starts, block)
+        if not len(found.place):
+            continue
+        cover = np.zeros(len(words) + 1, np.int64)
+        np.add.at(cover, found.place, 1)
+        np.subtract.at(cover, found.place + found.n, 1)
+        hit |= np.cumsum(cover[:-1]) > 0
+        # Items are told by the sets that share windows, one at a time for a text.
+        pairs = np.unique(text_of[found.place] * len(block.sets) + block.owners[found.window])
+        for text, which in zip((pairs // len(block.sets)).tolist(), (pairs % len(block.sets)).tolist(), strict=True):
+            items[text].update(block.names[i] for i in block.sets[which])
+        for at, n, item, start in zip(found.begin.tolist(), found.words.tolist(), found.item.tolist(), found.item_start.tolist(), strict=True):
+            text = int(text_of[at])
+            matches[text].append({"start": at - int(starts[text]), "words": n, "item_id": block.names[item], "item_start": start})
+    n_hit = np.bincount(text_of[hit], minlength=len(values))
+    return n_words, n_hit, [sorted(x) for x in items], matches
 
 
 MATCHES = "array<struct<start:long,words:long,item_id:string,item_start:long>>"
 
 
-def find_matches(df: DataFrame, items: list[tuple[str, bytes]], text_col: str, keep: list[str], window: int = WINDOW) -> DataFrame:
-    """The columns `keep` of df with n_words and the longest matches with the items of one block."""
-    fields = [df.schema[c] for c in keep]
-    names = [f"c{i}" for i in range(len(keep))]
+def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, one_in: int = ONE_IN, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """For every row of df, in no order: doc_id, n_words, n_hit, n_items, items_sha256, contaminated and the longest matches, one for each
+    place where a match with a block begins: (start, words, item_id, item_start), the longest of the block there.
+
+    Null and empty texts have no words and no hits. Items without words are passed over; items that share an id count as one; a null
+    item id counts as the empty id. Repeated rows each get a result. Other columns are not read. Empty tables give empty results, or no
+    hits.
+    """
+    ship_code(df.sparkSession)
+    uri = write_test_set(benchmark, item_col, item_text, block_bytes)
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64()), ("item_id", pa.string()), ("item_start", pa.int64())]))
 
     def scan(batches):
-        tests = TestSuffixes(items, window)
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64()), ("item_id", pa.string()), ("item_start", pa.int64())]))
         for batch in chunks(batches, "t"):
-            n_words, (text, start, words, item, item_start) = matches_in(utf8_values(batch.column("t")), tests)
-            flat = pa.StructArray.from_arrays([pa.array(start), pa.array(words), pa.array([tests.names[i] for i in item], pa.string()), pa.array(item_start)], fields=list(kind.value_type))
-            offsets = pa.array(np.searchsorted(text, np.arange(len(n_words) + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(n_words, pa.int64()), pa.ListArray.from_arrays(offsets, flat).cast(kind)], [*names, "n_words", "matches"])
-
-    schema = ", ".join([*(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, fields, strict=True)), "n_words long", f"matches {MATCHES}"])
-    out = df.select(*(df[c].alias(n) for c, n in zip(keep, names, strict=True)), df[text_col].alias("t")).mapInArrow(scan, schema)
-    return out.select(*(F.col(n).alias(c) for c, n in zip(keep, names, strict=True)), "n_words", "matches")
-
-
-def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int):
-    """The test set in blocks of bounded size, read part by part."""
-    held, size = [], 0
-    for row in benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))).toLocalIterator():
-        if held and size + len(row[1]) > block_chars:
-            yield held
-            held, size = [], 0
-        held.append((row[0], row[1].encode()))
-        size += len(row[1])
-    yield held
+            n_words, n_hit, items, matches = searched(utf8_values(batch.column("t")), blocks_in(uri, window))
+            digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
+            bad = (n_hit > 0) & (one_in * n_hit >= n_words)
+            columns = [batch.column("d"), pa.array(n_words), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(digests, pa.string()), pa.array(bad), pa.array(matches, kind)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "matches"])
 
+    schema = f"doc_id {df.schema[id_col].dataType.simpleString()}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, matches {MATCHES}"
+    return df.select(df[id_col].alias("d"), df[text_col].alias("t")).mapInArrow(scan, schema)
 
-def summary(matches) -> tuple[int, int, str]:
-    """Words hit, items, and the SHA-256 of the sorted item ids, of one document's matches."""
-    hit, reach = 0, 0
-    for a, b in sorted((m["start"], m["start"] + m["words"]) for m in matches):
-        hit += max(0, b - max(a, reach))
-        reach = max(reach, b)
-    items = sorted({m["item_id"] for m in matches})
-    return hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest()
 
-
-def words_hit(matches: str) -> Column:
-    """Words that a column of longest matches covers; those of several matches count once."""
-    ends = F.array_sort(F.transform(matches, lambda m: F.struct(m["start"].alias("a"), (m["start"] + m["words"]).alias("b"))))
-    walk = F.aggregate(ends, F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).cast("long").alias("reach")), lambda s, m: F.struct((s["hit"] + F.greatest(F.lit(0).cast("long"), m["b"] - F.greatest(m["a"], s["reach"]))).alias("hit"), F.greatest(s["reach"], m["b"]).alias("reach")))
-    return walk["hit"]
-
-
-def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, one_in: int = ONE_IN, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """For every row of df, in no order: doc_id, n_words, n_hit, n_items, items_sha256, contaminated and the longest matches.
-
-    Null and empty texts have no words and no hits. Items without words are passed over; items that share an id count as one; a null
-    item id counts as the empty id. Repeated rows each get a result. Other columns are not read. Blocks of the test set beyond the first
-    are searched in further passes and their matches joined by row.
-    """
-    ship_code(df.sparkSession)
-    rows = df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"))
-    blocks = iter(blocks_of(benchmark, item_col, item_text, block_chars))
-    first, second = next(blocks), next(blocks, None)
-    if second is None:
-        found = find_matches(rows, first, "text", ["doc_id"], window)
-    else:
-        rows = written(rows.withColumn("uid", F.monotonically_increasing_id()), shared_folder(df.sparkSession), "numbered")
-        passes = [find_matches(rows, b, "text", ["doc_id", "uid"], window) for b in [first, second, *blocks]]
-        found = passes[0]
-        for x in passes[1:]:
-            found = found.unionByName(x)
-        found = found.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches")).drop("uid")
-
-    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
-    out = found.withColumns({"n_hit": words_hit("matches"), "n_items": F.size(items).cast("long"), "items_sha256": F.sha2(F.array_join(items, ",").cast("binary"), 256)})
-    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", ((F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "matches")
-
-
-def remove_contaminated(df: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, one_in: int = ONE_IN, block_chars: int = BLOCK_CHARS, **names) -> DataFrame:
-    """The rows of df, with all their columns, that are not contaminated; one pass over df for each block of the test set.
-
-    With more than one block the rows are numbered and each block's matches written before the next block is read; the words that any
-    block hits decide.
-    """
+def remove_contaminated(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, one_in: int = ONE_IN, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of df, with all their columns, that are not contaminated; one pass over df, whatever the size of the test set."""
     ship_code(df.sparkSession)
-    blocks = blocks_of(benchmark, names.get("item_col", "item_id"), names.get("item_text", "text"), block_chars)
-    items, second = next(blocks), next(blocks, None)
-    columns, schema = df.columns, df.schema
-    if second is not None:
-        folder, row = shared_folder(df.sparkSession), "_row"
-        while row in {c.lower() for c in columns}:
-            row += "_"
-        rows = written(df.withColumn(row, F.monotonically_increasing_id()), folder, "numbered")
-        found = None
-        for number, block in enumerate(chain((items, second), blocks)):
-            part = written(find_matches(rows, block, text_col, [row], window).where(F.size("matches") > 0), folder, f"matches-{number}")
-            found = part if found is None else found.unionByName(part)
-        found = found.groupBy(row).agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
-        gone = found.where(one_in * words_hit("matches") >= F.col("n_words")).select(row)
-        return rows.join(gone, row, "left_anti").select(*columns)
+    uri = write_test_set(benchmark, item_col, item_text, block_bytes)
+    at = df.columns.index(text_col)
 
     def scan(batches):
-        tests = TestSuffixes(items, window)
-        at = columns.index(text_col)
-        for batch in chunks(batches, text_col):
-            n_words, found = matches_in(utf8_values(batch.column(at)), tests)
-            by_text: dict[int, list[dict]] = {}
-            for text, start, words, _, _ in found.T.tolist():
-                by_text.setdefault(text, []).append({"start": start, "words": words, "item_id": ""})
-            stay = [i for i, n in enumerate(n_words) if i not in by_text or one_in * summary(by_text[i])[0] < n]
-            yield batch.take(pa.array(stay, pa.int64()))
-
-    return df.mapInArrow(scan, schema)
+        for batch in batches:
+            # Chunks are of texts alone: columns may have any names.
+            for part in chunks([pa.RecordBatch.from_arrays([batch.column(at), pa.array(np.arange(batch.num_rows))], ["t", "row"])], "t"):
+                n_words, n_hit, _, _ = searched(utf8_values(part.column("t")), blocks_in(uri, window))
+                stay = np.flatnonzero((n_hit == 0) | (one_in * n_hit < n_words))
+                yield batch.take(pa.array(part.column("row").to_numpy()[stay]))
+
+    return df.mapInArrow(scan, df.schema)

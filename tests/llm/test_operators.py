@@ -156,17 +156,17 @@ def brute_contamination(docs, items):
         yield doc, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)
 
 
-@pytest.mark.parametrize("block_chars", [8_000_000, 60])
-def test_contamination(spark, block_chars):
+@pytest.mark.parametrize("block_bytes", [8_000_000, 60])
+def test_contamination(spark, block_bytes):
     item = " ".join(f"w{i}" for i in range(20))
     items = [(1, item), (2, "Short ITEM here"), (3, ""), (4, None), (5, "!!"), (6, item), (7, "x")]
     docs = [(1, f"aa {item} bb {item.upper()}"), (2, "a short item, here; and short item here"), (3, " ".join(f"w{i}" for i in range(12))), (4, None), (5, ""), (None, "x y x"), (7, "pad " * 500 + item), (7, "pad " * 500 + item), (8, "short item")]
     columns = "doc_id long, text string"
     d = spark.createDataFrame(docs, columns).select("*", *(F.lit(1).alias(c) for c in ("uid", "t", "c0", "n_words", "matches")))
     b = spark.createDataFrame(items, "item_id long, text string")
-    got = sorted((tuple(r)[:-1] for r in decontam.contamination(d, b, block_chars=block_chars).collect()), key=str)
+    got = sorted((tuple(r)[:-1] for r in decontam.contamination(d, b, block_bytes=block_bytes).collect()), key=str)
     assert got == sorted(brute_contamination(docs, items), key=str)
-    if block_chars > 60:
+    if block_bytes > 60:
         kept = decontam.remove_contaminated(d, b)
         want = sorted(str(x[0]) for x in got if not x[-1])
         assert kept.columns == d.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == want
@@ -183,18 +183,51 @@ def test_removal_by_blocks(spark):
     d = spark.createDataFrame(docs, "doc_id long, text string").select("*", *(F.lit(1).alias(c) for c in ("uid", "t", "c0", "n_words", "matches", "_row")))
     b = spark.createDataFrame(items, "item_id long, text string")
     want = [r for r, x in zip(docs, brute_contamination(docs, items), strict=True) if not x[-1]]
-    for block_chars in (60, 8_000_000):
-        kept = decontam.remove_contaminated(d, b, block_chars=block_chars)
+    for block_bytes in (60, 8_000_000):
+        kept = decontam.remove_contaminated(d, b, block_bytes=block_bytes)
         assert kept.columns == d.columns and Counter(tuple(r)[:2] for r in kept.collect()) == Counter(want)
-    assert decontam.remove_contaminated(d.where("false"), b, block_chars=60).collect() == []
+    assert decontam.remove_contaminated(d.where("false"), b, block_bytes=60).collect() == []
 
 
 def test_longest_matches():
     item = b" ".join(b"w%d" % i for i in range(30))
-    tests = decontam.TestSuffixes([("i", item)])
-    text = b"q " + b" ".join(b"w%d" % i for i in range(5, 25)) + b" q"
-    _, found = decontam.matches_in([b"none", text], tests)
-    assert found.T.tolist() == [[1, 1, 20, 0, 5]]
+    block = decontam.Block.of([("h", b"w5 w6 w7"), ("i", item)])
+    text = b"q " + b" ".join(b"w%d" % i for i in range(5, 25)) + b" q w5 w6 w7"
+    n_words, n_hit, items, matches = decontam.searched([b"none", text, b""], [block])
+    assert n_words.tolist() == [1, 25, 0] and n_hit.tolist() == [0, 23, 0] and items == [[], ["h", "i"], []]
+    assert matches[1] == [{"start": 1, "words": 20, "item_id": "i", "item_start": 5}, {"start": 22, "words": 3, "item_id": matches[1][1]["item_id"], "item_start": matches[1][1]["item_start"]}]
+    assert matches[0] == matches[2] == []
+
+
+def test_suffix_arrays():
+    """Against sorting the suffixes themselves; searches against counting."""
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 2, 30, 300):
+        ids = rng.integers(0, 4, size) * (rng.random(size) < 0.95) if size else np.zeros(0, np.int64)
+        ids = np.append(ids, 0).astype(np.int64)
+        suffix = lambda i: ids[i : i + np.flatnonzero(ids[i:] == 0)[0]].tolist()
+        array = decontam.suffix_array(ids)
+        assert sorted(array.tolist()) == np.flatnonzero(ids).tolist()
+        suffixes = [suffix(i) for i in array]
+        assert suffixes == sorted(suffixes)
+        if len(array):
+            at = array[rng.integers(0, len(array), 20)]
+            n = np.array([int(rng.integers(1, len(suffix(i)) + 1)) for i in at])
+            for i, k, low, high in zip(at, n, decontam.bound(ids, array, ids, at, n, False), decontam.bound(ids, array, ids, at, n, True), strict=True):
+                assert [x[:k] == suffix(i)[:k] for x in suffixes] == [low <= j < high for j in range(len(array))]
+
+
+def test_random_matches():
+    """Texts of few words against brute force, in one block and in several."""
+    rng = np.random.default_rng(4)
+    text = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 4, n))
+    items = [(str(i), text(int(rng.integers(1, 20)))) for i in range(12)]
+    docs = [(i, text(int(rng.integers(0, 60)))) for i in range(60)]
+    want = [x[1:5] for x in brute_contamination(docs, items)]
+    for parts in (1, 3):
+        blocks = [decontam.Block.of([(k, t.encode()) for k, t in items[i::parts]]) for i in range(parts)]
+        n_words, n_hit, found, _ = decontam.searched([t.encode() for _, t in docs], blocks)
+        assert want == [(n, h, len(x), hashlib.sha256(",".join(x).encode()).hexdigest()) for n, h, x in zip(n_words.tolist(), n_hit.tolist(), found, strict=True)]
 
 
 # token files
