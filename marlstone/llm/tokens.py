@@ -39,8 +39,8 @@ PERCENTILE = 0.9
 FILE_IDS = 2_000_000
 #: The id after each document.
 END_ID = 1
-#: Words whose ids a worker remembers (see Remembered), and as many of their parts without marks.
-REMEMBERED = 150_000
+#: Words, and words without marks, whose ids a worker remembers (see Remembered).
+REMEMBERED = 250_000
 #: Blocks packed at once.
 AT_ONCE = 2048
 
@@ -160,7 +160,7 @@ class Encoder:
         bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.alphabet = {n: bytes_of.pre_tokenize_str(chr(n))[0][0] for n in range(0xDF, 0x100)}
         self.model = self.tokenizer.model
-        self.words, self.parts = Remembered(self.of_word, REMEMBERED), Remembered(self.of_part, REMEMBERED)
+        self.words = Remembered(self.of_word, REMEMBERED)
 
     @classmethod
     def splits_at_blanks(cls, settings: dict) -> bool:
@@ -174,7 +174,7 @@ class Encoder:
         )
 
     def of_part(self, part: bytes) -> bytes:
-        """Ids of small letters or of marks, straight from the model."""
+        """Ids of small letters, straight from the model."""
         text = part.decode() if part.isascii() else part.decode().translate(self.alphabet)
         return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
@@ -182,7 +182,7 @@ class Encoder:
         if word.isalpha() and word.islower():  # ASCII letters
             return self.of_part(word)
         if m := self.plain.fullmatch(word):
-            return self.parts[m[1]] + self.parts[m[2]] if m[2] else self.parts[m[1]]
+            return self.words[m[1]] + self.words[m[2]] if m[2] else self.of_part(word)
         return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +198,6 @@ class Encoder:
         words = coded.dictionary.cast(pa.binary() if pa.types.is_string(coded.dictionary.type) else pa.large_binary()).to_pylist()
         known = [self.words[w] if w else b"" for w in words] + [array("I", [END_ID]).tobytes()]
         self.words.turn()
-        self.parts.turn()
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
         flat, starts = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
         per_text = lists.value_lengths().to_numpy()
