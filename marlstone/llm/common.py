@@ -66,13 +66,25 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder (its URI) below spark.checkpoint.dir, which driver and executors share; a temporary one only where that is unset."""
+def shared_folder(spark: SparkSession, keep: bool = False) -> str:
+    """A new folder (its URI) below spark.checkpoint.dir, which driver and executors share. It is removed when the application ends, unless
+    `keep`. Where that setting is unset, a local session gets a temporary folder; on a cluster that is an error."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         top = Path(tempfile.mkdtemp(prefix="marlstone-")).as_uri()
         spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/work-{uuid.uuid4().hex}"
+    uri = f"{top.rstrip('/')}/work-{uuid.uuid4().hex}"
+    if not keep:
+        file_system(spark, uri)[0].deleteOnExit(file_system(spark, uri)[1])
+    return uri
+
+
+def file_system(spark: SparkSession, uri: str):
+    """Hadoop's (file system, path) of a URI."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -93,11 +105,11 @@ def looked_up(big: DataFrame, small: DataFrame, key: str, often: int = 512) -> D
     return split.where("_sent").select(*columns).unionByName(rest.select(*columns))
 
 
-def delete_folder(spark: SparkSession, uri: str) -> None:
-    """Removes a folder of the shared store through Hadoop's file system layer."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(uri)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def delete_tables(spark: SparkSession, folder: str, *names: str) -> None:
+    """Removes tables of a folder that nothing reads any more."""
+    for name in names:
+        fs, path = file_system(spark, f"{folder}/{name}")
+        fs.delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

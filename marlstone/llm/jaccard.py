@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, Remembered, chunks, looked_up, shared_folder, ship_code, utf8_values, written
+from .common import LOWER_TABLE, Remembered, chunks, delete_tables, looked_up, shared_folder, ship_code, utf8_values, written
 from .dedup import heavy_digests
 
 #: Words of a shingle and the threshold in hundredths.
@@ -415,6 +415,7 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets = asked.mapInArrow(collect_sets, "class long, label long, block int, low int, high int, shingles array<long>")
     found = sets.groupBy("label", "low", "high").applyInArrow(lambda t: linked_in(t, percent), "class long, root long, links long")
     found = written(found, folder, "found")
+    delete_tables(spark, folder, "shared", "hot", "known", "members", "placed")
     links = found.where("root <> class").select(F.col("root").alias("a"), F.col("class").alias("b"))
     labels = components(links, folder, "components").withColumnRenamed("node", "class")
 
@@ -426,3 +427,22 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of_class = looked_up(docs.where("n > 0"), named, "class").select("doc_id", F.col("n").alias("n_shingles"), "n_links", F.col("best.id").alias("component_id"), F.col("h").alias("text_hash"), stays.alias("stays"))
     alone = docs.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"), F.col("h").alias("text_hash"), F.lit(True).alias("stays"))
     return of_class.unionByName(alone)
+
+
+def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of df, with all their columns, that stay: of each component the one with the smallest id, null last, then with the smallest
+    hash of its text. Rows are told apart by id and text, so rows that share an id but no links all stay, as do all rows without words; of
+    rows that repeat both one stays, with the other columns of any of them."""
+    folder = shared_folder(df.sparkSession)
+    groups = jaccard_groups(df, id_col, text_col, words, percent).select("doc_id", "text_hash", "stays", "n_shingles")
+    groups = written(groups, folder, "groups")
+    names = [f"c{i}" for i in range(len(df.columns))]
+    rows = df.select(*(df[f"`{c}`"].alias(n) for c, n in zip(df.columns, names, strict=True)), df[id_col].alias("d"), text_key(df[text_col]).alias("h"))
+    of = lambda x: (rows["h"] == x["text_hash"]) & rows["d"].eqNullSafe(x["doc_id"])
+    gone = groups.where(~F.col("stays")).select("doc_id", "text_hash").distinct()
+    kept = rows.join(gone, of(gone), "left_anti")
+    again = groups.where("stays and n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1")
+    if not again.isEmpty():
+        one = rows.join(again, of(again), "left_semi").dropDuplicates(["d", "h"])
+        kept = kept.join(again, of(again), "left_anti").unionByName(one)
+    return kept.select(*(F.col(n).alias(c) for n, c in zip(names, df.columns, strict=True)))

@@ -58,11 +58,12 @@ def statistics(value: bytes) -> tuple[float, ...]:
 
 
 def with_statistics(df: DataFrame, keep: dict[str, Column], text_col: str = "text") -> DataFrame:
-    """The columns `keep` and the statistics of every row's text; null counts as empty. A kept text crosses to Python once."""
+    """The columns of `keep` as k0, k1 and so on, whatever their names, and the statistics of every row's text as _s_...; null counts as
+    empty. A kept text crosses to Python once."""
     ship_code(df.sparkSession)
-    names = list(keep)
-    text = text_col if text_col in keep else "_t"
-    chosen = df.select(*(c.alias(n) for n, c in keep.items()), *([] if text in keep else [df[text_col].alias("_t")]))
+    names = [f"k{i}" for i in range(len(keep))]
+    text = names[list(keep).index(text_col)] if text_col in keep else "t"
+    chosen = df.select(*(c.alias(n) for n, c in zip(names, keep.values(), strict=True)), *([] if text in names else [df[f"`{text_col}`"].alias("t")]))
     found_names = [f"_s_{s}" for s in STATISTICS]
 
     def scan(batches):
@@ -70,8 +71,8 @@ def with_statistics(df: DataFrame, keep: dict[str, Column], text_col: str = "tex
             found = np.array([statistics(v) for v in utf8_values(batch.column(text))], np.float64).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *(pa.array(found[:, i]) for i in range(len(STATISTICS)))], [*names, *found_names])
 
-    kept = [f"`{n}` {chosen.schema[n].dataType.simpleString()}" for n in names]
-    return chosen.mapInArrow(scan, ", ".join([*kept, *(f"`{s}` double" for s in found_names)]))
+    kept = [f"{n} {chosen.schema[n].dataType.simpleString()}" for n in names]
+    return chosen.mapInArrow(scan, ", ".join([*kept, *(f"{s} double" for s in found_names)]))
 
 
 @dataclass(frozen=True)
@@ -192,11 +193,18 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.orderBy(F.xxhash64("_label_id"), "_label_id").limit(sample)
     texts = df.select(df[id_col].alias("_id"), df[text_col].alias("_text")).join(F.broadcast(known), F.col("_id") == F.col("_label_id"))
     columns = [f"_s_{s}" for s in STATISTICS]
-    got = with_statistics(texts, {"_label": F.col("_label"), "_id": F.col("_id")}, "_text").toPandas().sort_values(["_id", "_label", *columns])
-    return fit_rules(got[columns].to_numpy(np.float64), got["_label"].to_numpy(np.float64))
+    got = with_statistics(texts, {"_id": F.col("_id"), "_label": F.col("_label")}, "_text").toPandas().sort_values(["k0", "k1", *columns])
+    return fit_rules(got[columns].to_numpy(np.float64), got["k1"].to_numpy(np.float64))
 
 
 def score(df: DataFrame, model: RuleEnsemble, keep: dict[str, Column], text_col: str = "text", name: str = "score") -> DataFrame:
     """The columns `keep` and the score (as `name`), between 0 and 1, for every row; empty and null texts have the statistics of an empty text."""
     scored = with_statistics(df, keep, text_col)
-    return scored.select(*keep, model.score().alias(name))
+    return scored.select(*(F.col(f"k{i}").alias(n) for i, n in enumerate(keep)), model.score().alias(name))
+
+
+def keep_good(df: DataFrame, model: RuleEnsemble, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of df, with all their columns, whose score is at least the threshold. Null and empty texts are scored as empty ones; rows
+    that repeat share their fate; columns may have any names."""
+    scored = with_statistics(df, {c: df[f"`{c}`"] for c in df.columns}, text_col)
+    return scored.where(model.score() >= threshold).select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(df.columns)))
