@@ -17,30 +17,43 @@ ORACLE_SQL = None
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score reaches the threshold; the classifier learns from the labelled ones among them, as its query does."""
+    """Documents whose score reaches the threshold; the classifier learns from the labelled ones among them, as its query does.
+
+    Null and empty texts are scored as empty ones; rows that repeat have one score; without labels all have the same. An empty table
+    stays empty; columns of any name pass through."""
     model = quality.train(docs, table(spark, sf_dir, "labels"), condition=remainder(F.col("doc_id"), 5) != 0)
-    scored = quality.score(docs, model, {c: docs[c] for c in docs.columns}, name="_quality_score")
-    return scored.where(F.col("_quality_score") >= quality.THRESHOLD).drop("_quality_score")
+    return quality.keep_good(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id; rows that repeat it in id and text are one document."""
-    groups = jaccard.jaccard_groups(docs)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """Of each component of near duplicates (five words, similarity 0.8) the document with the smallest id, null last.
+
+    Texts without words are nobody's copies and stay, also if they repeat; of rows that repeat an id and a text one stays; different
+    texts under one id, or without any, are different documents. An empty table stays empty; columns of any name pass through."""
+    return jaccard.first_of_groups(docs, words=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the test set: at most one word in twenty, or none, is in a window of an item.
+
+    Null and empty texts have no words and stay; rows that repeat share their fate; an empty test set or table removes nothing; columns
+    of any name pass through."""
     return decontam.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix draws them, sources by their target weights.
+
+    A null source is one of its own. Texts without words are drawn at the rate of their source, and not at all in a source without words;
+    rows that repeat in all columns have the draws of all. An empty table stays empty; columns of any name pass through."""
     return mixing.mix(docs)
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return tokens.token_table(docs, TOKENIZER)
+    """Writes the files of token ids below spark.checkpoint.dir, where they stay, and returns what is read back from them, a row a document.
+
+    Null and empty texts have the end id only; rows that repeat are repeated; null ids come last; an empty table gives no file and no row."""
+    return tokens.token_table(docs, TOKENIZER, shared_folder(spark, keep=True))
 
 
 STAGES = [
