@@ -62,3 +62,35 @@ def well_formed(candidates: DataFrame) -> DataFrame:
     for c in ("lane", "url", "name", "kind", "evidence"):
         required &= F.col(c).isNotNull()
     return candidates.where(required & (F.size("evidence") >= 1))
+
+
+def known_pairs(registry: DataFrame) -> DataFrame:
+    """The (name, url) pairs that every lane is handed, so that it can pass over what is known."""
+    return registry.select("name", "url").distinct()
+
+
+def duplicates(candidates: DataFrame, registry: DataFrame) -> DataFrame:
+    """Candidates whose canonical URL the registry has: what a vetter rejects as duplicates."""
+    return _canonical(candidates).join(known_urls(registry), "url", "left_semi")
+
+
+def worth_a_visit(candidates: DataFrame, registry: DataFrame) -> DataFrame:
+    """Candidates that a lane does not pass over. Facts, absent ones counting as false or none: is_gist, is_dotfiles, n_skill_files, mirror_of.
+    Passed over are known URLs and names, gists and dotfile repositories without a skill file, and mirrors of known sources."""
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    empty = (flag("is_gist") | flag("is_dotfiles")) & (F.coalesce("n_skill_files", F.lit(0)) == 0)
+    fresh = drop_known_names(drop_known_urls(candidates.where(~empty), registry), registry)
+    mirrors = known_urls(registry).withColumnRenamed("url", "_known")
+    return fresh.join(mirrors, canonical_url(F.col("mirror_of")) == F.col("_known"), "left_anti")
+
+
+def payload(candidates: DataFrame, registry: DataFrame, pretty: bool = False) -> DataFrame:
+    """One row (value): the JSON document {new_candidates, skipped}, survivors in source order with the keys that they have a value for.
+
+    A document is one value, so its survivors meet in one task here; write `new_candidates` itself where they are too many for one."""
+    fields = [c for c in candidates.columns if not c.startswith("_")]
+    new = new_candidates(candidates, registry).select("_pos", F.struct(*fields).alias("c"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("_pos", "c"))), lambda x: x["c"])
+    total = candidates.agg(F.count("*").alias("total"))
+    rows = new.agg(listed.alias("new_candidates")).crossJoin(total)
+    return rows.select(F.to_json(F.struct("new_candidates", (F.col("total") - F.size("new_candidates")).alias("skipped")), {"pretty": str(pretty).lower()}).alias("value"))

@@ -1,7 +1,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import GIT_KINDS, TARGET_FIELDS, has
+from ..schema import ENTRY_FIELDS, GIT_KINDS, TARGET_FIELDS, has
 
 
 def to_manifest(registry: DataFrame) -> DataFrame:
@@ -13,3 +13,10 @@ def to_manifest(registry: DataFrame) -> DataFrame:
     }
     fields = [F.when(has(n), F.col(n)).otherwise(defaults[n]).alias(n) if n in defaults else F.col(n) for n in TARGET_FIELDS]
     return registry.select("_pos", *fields)
+
+
+def borrowed(registry: DataFrame) -> DataFrame:
+    """(_pos, strict, filled): whether the manifest's fields of an entry are a strict subset of the registry's, and those that defaults fill."""
+    ours, theirs = F.array(*map(F.lit, TARGET_FIELDS)), F.array(*map(F.lit, ENTRY_FIELDS))
+    strict = (F.size(F.array_intersect(ours, theirs)) == len(TARGET_FIELDS)) & (F.size(theirs) > len(TARGET_FIELDS))
+    return registry.select("_pos", strict.alias("strict"), F.array_except(ours, F.coalesce(F.col("_keys"), F.array().cast("array<string>"))).alias("filled"))

@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.url import NAME_PATTERN, SPACE, URL_PATTERN, canonical_url, is_iso_date
+from ..functions.url import NAME_PATTERN, SPACE, URL_PATTERN, canonical_url, is_iso_date, source_name
 from ..operators import dedupe, manifest, merge, payload, report, seed, triage, validate
-from ..schema import GIT_KINDS, KINDS
+from ..schema import GIT_KINDS, KINDS, TARGET_FIELDS
+from . import arguments
 
 RUN_DATE = "2026-07-20"
 
@@ -57,6 +58,10 @@ INPUTS = {
           cast(null as {{S}}) as description, cast(null as {{S}}) as license, {{A}}'t', cast(k as {{S}}){{Z}} as tags, '2020-01-01' as last_verified, case when page_id % 10 = 0 then null else 'patched' end as notes, {{A}}'e1', {ID}{{Z}} as evidence
         from pages cross join (select 0 as k union all select 1 union all select 2)""",
     "bad_verdicts": "select _pos, case when _pos % 97 = 50 then 'maybe' else decision end as decision, reason, c_url, c_name, case when _pos % 89 = 30 then {A}'name', 'url'{Z} else _keys end as _keys, case when _pos % 7 = 3 then 'page-2' else name end as name, url, kind, ref, scan_paths, requires_crawler, description, license, tags, last_verified, notes from verdicts",
+    "visits": f"""
+        select _pos, lane, url, name, _pos % 6 = 0 as is_gist, case when _pos % 6 = 1 then true end as is_dotfiles, case when _pos % 4 = 0 then _pos % 3 end as n_skill_files,
+          case when _pos % 10 = 7 then concat('https://', substr(url, 9), '/') when _pos % 10 = 8 then 'https://site-0.example.com/none' end as mirror_of from candidates""",
+    "scouted": "select _pos, case when _pos % 11 = 1 then null else lane end as lane, url, name, case when _pos % 13 = 2 then null else 'collection' end as kind, case when _pos % 7 = 3 then null when _pos % 7 = 4 then cast({A}{Z} as {LIST}) else {A}'seen'{Z} end as evidence from candidates",
     "facts": f"""
         select page_id, case page_id % 6 when 0 then 'collection' when 1 then 'individual' when 2 then 'marketplace' when 3 then 'awesome-list' when 4 then 'vendor-skills' else 'registry' end as kind,
           page_id % 21 = 0 as duplicate, page_id % 22 = 1 as archived, case when page_id % 13 = 2 then 404 when page_id % 13 = 3 then 403 when page_id % 13 = 4 then null else 200 end as http_status,
@@ -73,7 +78,7 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "pages":
         return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     text = INPUTS[name].format(**SPARK)
-    below = "verdicts" if name == "bad_verdicts" else "pages"
+    below = {"bad_verdicts": "verdicts", "visits": "candidates", "scouted": "candidates"}.get(name, "pages")
     text = text.replace(f"from {below}", "from {" + below + "}")
     return spark.sql(text, **{below: source(spark, sf_dir, below)})
 
@@ -162,6 +167,7 @@ COUNTS = FOLD + ", " + DEFERRALS[DEFERRALS.index("events as (") :] + """, counts
 )"""
 
 PAYLOADS = ("""{"lane":"a","candidates":[{"url":"https://x/1","name":"n1","stars":5,"evidence":["e"]},{"url":"https://x/2","odd":true}]}""", """[{"candidates":[{"url":"https://x/3"}]},{"url":"https://x/4","name":null},{"candidates":[]}]""", """[{"url":"https://x/5","tags":["t","u"]}]""", "{broken", '{"lane":"b"}', "7", "[]")
+VERDICTS = """{"verdicts":[{"decision":"approve","candidate":{"url":"https://v/1","name":"v1"},"suggested_entry":{"name":"v1","url":"https://v/1","scan_paths":["a","b"],"notes":null}},{"decision":"defer","reason":"gated","candidate":{"url":"https://v/2"}},{"decision":"reject","reason":"stale","candidate":{"url":"https://v/3","name":"v3"},"suggested_entry":null}]}"""
 SEEDS = "# Sources\n\n```yaml seed\nname: zeta\nurl: https://z.example.com\nkind: registry\nscan_paths: []\n```\ntext\n```yaml\nname: not-tagged\n```\n```yaml seed\nname: alpha\nurl: https://a.example.com\nkind: collection\nscan_paths: [a, b]\nlast_verified: 2026-01-02\n```\n"
 
 
@@ -226,6 +232,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     add("vet_batches", "candidates")(lambda c: report.batches(c).select("_pos", "batch"))
     add("kind_counts", "entries")(lambda e: e.groupBy("kind").agg(F.count("*").alias("n")))
     add("tag_counts", "verdicts")(lambda v: v.select(F.explode("tags").alias("tag")).groupBy("tag").agg(F.count("*").alias("n")))
+    add("known_pairs", "known")(dedupe.known_pairs)
+    add("vetter_duplicates", "candidates", "known")(lambda c, k: dedupe.duplicates(c, k).select("_pos", "url"))
+    add("skip_rules", "visits", "known")(lambda c, k: dedupe.worth_a_visit(c, k).select("_pos", "url"))
+    add("dedupe_payload", "candidates", "known")(lambda c, k: dedupe.payload(c.fillna({"name": "none"}), k))
+    add("well_formed", "scouted")(lambda c: dedupe.well_formed(c).select("_pos"))
+    add("manifest_subset", "entries")(lambda e: manifest.borrowed(e).withColumn("filled", F.array_join("filled", ",")))
+    add("recent_posts", "facts")(lambda f: f.select("page_id", triage.recent(F.col("last_commit"), "2025-04-15").alias("recent")))
+    add("source_names", "candidates")(lambda c: c.select("_pos", source_name(canonical_url(F.col("url"))).alias("source_name")))
+    add("verdict_flatten")(lambda s: payload.flatten_verdicts(s.createDataFrame([(VERDICTS,)], "value string")).select("_pos", "decision", "reason", "c_url", "c_name", "name", "url", *joined("scan_paths"), F.array_join(F.array_sort("_keys"), ",").alias("keys")))
+    add("vendor_backlog")(arguments.vendors)
     return q
 
 
@@ -282,6 +298,18 @@ def oracle_sql() -> dict[str, str]:
         "triage_decision": f"{with_inputs('facts')} select page_id, split_part(r, ':', 1) as decision, split_part(r, ':', 2) as rule from (select page_id, {facts_rule} as r from facts)",
         "report_by_decision": f"{with_inputs('verdicts')} select decision, c_name as name, c_url as url, array_to_string(evidence, '; ') as evidence from verdicts",
         "vet_batches": f"{with_inputs('candidates')} select _pos, ((row_number() over (order by _pos) - 1) // 12)::bigint as batch from candidates",
+        "known_pairs": f"{with_inputs('known')} select distinct name, url from known",
+        "vetter_duplicates": f"{with_inputs('known', 'candidates')}, {KNOWN} select _pos, u as url from cands_u where u in (select u from known_u)",
+        "skip_rules": f"""{with_inputs('known', 'candidates', 'visits')}, {KNOWN}, asked as (select v.*, {canon('v.url')}, {canon('v.mirror_of', 'm')} from visits v)
+          select _pos, u as url from asked where u not in (select u from known_u) and (name is null or name not in (select name from known)) and (m is null or m not in (select u from known_u))
+          and not ((is_gist or coalesce(is_dotfiles, false)) and coalesce(n_skill_files, 0) = 0)""",
+        "dedupe_payload": f"""{NEW} select concat('{{"new_candidates":[', string_agg(concat('{{"lane":"', lane, '","url":"', url, '","name":"', coalesce(name, 'none'), '"}}'), ',' order by _pos), '],"skipped":', (select count(*) from candidates) - count(*), '}}') as value from survivors""",
+        "well_formed": f"{with_inputs('candidates', 'scouted')} select _pos from scouted where lane is not null and url is not null and name is not null and kind is not null and len(evidence) >= 1",
+        "manifest_subset": f"{with_inputs('entries')} select _pos, true as strict, array_to_string(list_filter({list(TARGET_FIELDS)}, lambda x: not list_contains(_keys, x)), ',') as filled from entries",
+        "recent_posts": f"{with_inputs('facts')} select page_id, last_commit::date >= date '2025-04-15' - 90 as recent from facts",
+        "source_names": f"""{with_inputs('known', 'candidates')}, {KNOWN} select _pos, regexp_replace(regexp_replace(lower(case when regexp_matches(u, '^https?://github\\.com/[^/]+/[^/?#]+') then concat(split_part(u, '/', 4), '-', regexp_extract(split_part(u, '/', 5), '^[^?#]*')) else regexp_extract(u, '^https?://(?:www\\.)?([^/.:]+)', 1) end), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as source_name from cands_u""",
+        "verdict_flatten": "select * from (values (0::bigint, 'approve', null, 'https://v/1', 'v1', 'v1', 'https://v/1', 'a,b', 'name,notes,scan_paths,url'), (1, 'defer', 'gated', 'https://v/2', null, null, null, null, null), (2, 'reject', 'stale', 'https://v/3', 'v3', null, null, null, null)) t(_pos, decision, reason, c_url, c_name, name, url, scan_paths, keys)",
+        "vendor_backlog": "select * from (values " + ", ".join(f"({i}::bigint, '{v}')" for i, v in enumerate(arguments.VENDORS)) + ") t(_pos, name)",
         "kind_counts": f"{with_inputs('entries')} select kind, count(*) as n from entries group by kind",
         "tag_counts": f"{with_inputs('verdicts')} select tag, count(*) as n from (select unnest(tags) as tag from verdicts) group by tag",
     }

@@ -11,6 +11,7 @@ import datetime
 import os
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
@@ -54,6 +55,17 @@ def load_rows(path: str, name: str, missing: str = "fail") -> tuple[dict, list[d
     return {k: _plain(v) for k, v in doc.items() if k != name}, [{k: _plain(v) for k, v in row.items()} for row in rows]
 
 
+def dump(rows: DataFrame, out, run_date: str, name: str = "entries") -> None:
+    """Writes a document to an open file, such as standard output, rows in the order of the DataFrame; they come part by part."""
+    import yaml
+
+    kept = []
+    for row in rows.toLocalIterator():
+        d = row.asDict(recursive=True)
+        kept.append({k: d[k] for k in d.get("_keys") or [c for c in rows.columns if not c.startswith("_")]})
+    yaml.safe_dump({"version": 1, "generated_at": run_date, name: kept}, out, allow_unicode=True, sort_keys=False, width=120)
+
+
 class YamlReader(DataSourceReader):
     def __init__(self, schema: StructType, options):
         self.fields, self.options = schema, options

@@ -1,16 +1,23 @@
 """Every catalogue query against its SQL, and what SQL does not show."""
 
+import io
+import json
 import random
+from functools import reduce
+from operator import or_
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.functions.url import canonical_url, is_iso_date
+from marlstone import cli
+from marlstone.functions.url import canonical_url, is_iso_date, source_name
 from marlstone.operators import dedupe, manifest, merge, payload, seed, triage, validate
-from marlstone.plans import registry
+from marlstone.plans import arguments, registry
 from marlstone.schema import DEFERRED, ENTRY, ENTRY_FIELDS
 from marlstone.sources import yaml_catalog
+from marlstone.sources.text import whole_texts
+from marlstone.streaming.verdicts import merge_stream
 
 QUERIES = registry.queries()
 
@@ -40,60 +47,52 @@ def test_dates(spark):
     assert got == [True, True, True, False, False, True, True, False]
 
 
-def test_dedupe_sequential(spark):
-    """A sequential reading of the same rules on random batches."""
-    rng = random.Random(2)
-    for _ in range(3):
-        known = [(i, f"https://h.com/{rng.randrange(8)}", f"n{rng.randrange(8)}") for i in range(4)]
-        cands = [(i, rng.choice(["https://H.com/{}", "http://h.com/{}/", "https://h.com/{}.git"]).format(rng.randrange(14)), rng.choice([None, f"n{rng.randrange(14)}"])) for i in range(30)]
-        urls, names, want = {u for _, u, _ in known}, {n for *_, n in known}, []
-        for pos, url, name in cands:
-            u = f"https://h.com/{url.rstrip('/').removesuffix('.git').rsplit('/', 1)[1]}"
-            if u in urls or name in names:
-                continue
-            urls.add(u)
-            want.append((pos, u, name))
-        got = dedupe.new_candidates(spark.createDataFrame(cands, "_pos int, url string, name string"), spark.createDataFrame(known, "_pos int, url string, name string"))
-        assert [tuple(r) for r in got.select("_pos", "url", "name").orderBy("_pos").collect()] == want
+def test_dedupe_cases(spark):
+    """A candidate for every way to be dropped or kept, with what becomes of it."""
+    known = [("https://h.com/1", "n1"), ("git@github.com:o/r.git", None), ("http://h.com/3/", "n3")]
+    cases = [
+        ("https://H.com/1/", "a", None),  # known address in another form
+        ("https://h.com/1.git", None, None),
+        ("https://github.com/o/r", "b", None),
+        ("https://h.com/10", "n3", None),  # known name
+        ("https://h.com/10", "c", "https://h.com/10"),  # the one before reserved nothing
+        ("http://h.com/10/", "d", None),  # second in source order
+        ("https://h.com/11", None, "https://h.com/11"),  # no name is no known name
+        ("https://h.com/12", "c", "https://h.com/12"),  # names of other candidates do not count
+        ("https://h.com/P", "e", "https://h.com/P"),
+        ("https://h.com/p", "e", "https://h.com/p"),  # paths keep their case
+        ("https://h.com/3", "n4", None),
+    ]
+    frame = lambda rows: spark.createDataFrame(rows, "_pos int, url string, name string")
+    got = dedupe.new_candidates(frame([(i, u, n) for i, (u, n, _) in enumerate(cases)]).repartition(3), frame([(i, *k) for i, k in enumerate(known)]))
+    assert [tuple(r) for r in got.select("_pos", "url", "name").orderBy("_pos").collect()] == [(i, u, n) for i, (_, n, u) in enumerate(cases) if u]
     with pytest.raises(Exception, match="no url"):
         dedupe.new_candidates(spark.createDataFrame([(1, None, "a")], "_pos int, url string, name string"), spark.createDataFrame([], "url string, name string")).collect()
 
 
-def sequential_merge(entries, queue, verdicts, run_date, compat):
-    rows = [dict(e) for e in entries]
-    index = {e["url"]: e for e in rows}
-    queued = {q["url"]: q for q in queue}
-    listed, counts = list(queue), dict.fromkeys(("added", "refreshed", "deferred", "rejected"), 0)
-    open_ = dict(queued)
-    for v in verdicts:
-        if v["decision"] == "approve":
-            patch = v["entry"] | {"last_verified": run_date}
-            if patch["url"] in index:
-                index[patch["url"]].update(patch)
-                counts["refreshed"] += 1
-            else:
-                rows.append(patch)
-                index[patch["url"]] = patch
-                counts["added"] += 1
-            queued.pop(v["url"], None)
-            open_.pop(v["url"], None)
-        elif v["decision"] == "defer":
-            row = {"url": v["url"], "name": v["name"], "reason": v.get("reason") or "deferred", "first_seen": run_date}
-            if v["url"] and v["url"] not in queued:
-                listed.append(row)
-                counts["deferred"] += 1
-            if v["url"]:
-                open_.setdefault(v["url"], row)
-        else:
-            queued.pop(v["url"], None)
-            open_.pop(v["url"], None)
-            counts["rejected"] += 1
-    rows.sort(key=lambda e: e["name"])
-    return rows, [*queued.values(), *(r for r in listed if r["url"] not in queued)] if compat else list(open_.values()), counts
+def expected_merge(entries, queue, verdicts, run_date, compat):
+    """Each address on its own: its patches in order, the place of its last resolution, and its deferrals before and after that."""
+    places = lambda kind, url: [i for i, v in enumerate(verdicts) if v["decision"] in kind and v["url"] == url]
+    patches = [v["entry"] | {"last_verified": run_date} for v in verdicts if v["decision"] == "approve"]
+    base = {e["url"]: e for e in entries}
+    urls = list(dict.fromkeys([*base, *(p["url"] for p in patches)]))
+    rows = [reduce(or_, [p for p in patches if p["url"] == u], base.get(u, {})) for u in urls]
+    settled = {u: max(places(("approve", "reject"), u), default=-1) for u in {v["url"] for v in verdicts} | {q["url"] for q in queue}}
+    kept = {q["url"]: q for q in queue if settled[q["url"]] < 0}
+    waiting = {q["url"] for q in queue}
+    row = lambda v: {"url": v["url"], "name": v["name"], "reason": v["reason"] or "deferred", "first_seen": run_date}
+    added = [(i, row(v)) for i, v in enumerate(verdicts) if v["decision"] == "defer" and v["url"] and (v["url"] not in waiting or min(places(("approve", "reject"), v["url"]), default=i) < i)]
+    n_new = len(set(urls) - set(base))
+    counts = {"added": n_new, "refreshed": len(patches) - n_new, "deferred": len(added), "rejected": sum(v["decision"] == "reject" for v in verdicts)}
+    if compat:
+        left = [*kept.values(), *(q for q in queue if q["url"] not in kept), *(r for _, r in added if r["url"] not in kept)]
+    else:
+        left = [*kept.values(), *{r["url"]: r for i, r in reversed(added) if i > settled[r["url"]] and r["url"] not in kept}.values()]
+    return sorted(rows, key=lambda e: e["name"]), left, counts
 
 
 @pytest.mark.parametrize("mode", ["strict", "compat"])
-def test_merge_sequential(spark, mode):
+def test_merge(spark, mode):
     rng = random.Random(7)
     for _ in range(2):
         entries = [{"name": f"n{i}", "url": f"u{i}", "kind": "collection", "scan_paths": ["a"], "notes": f"k{i}", "last_verified": "2020-01-01"} for i in range(5)]
@@ -105,7 +104,7 @@ def test_merge_sequential(spark, mode):
             if v["decision"] == "approve":
                 v["entry"] = {"name": f"n{k}", "url": f"u{k}", "kind": rng.choice(["registry", "marketplace"]), "scan_paths": [str(i)]} | rng.choice([{}, {"notes": None}, {"tags": [str(i)]}])
             verdicts.append(v)
-        want = sequential_merge(entries, queue, verdicts, "2026-07-20", mode == "compat")
+        want = expected_merge(entries, queue, verdicts, "2026-07-20", mode == "compat")
         e = spark.createDataFrame([(i, list(x), *(x.get(n) for n in ENTRY_FIELDS)) for i, x in enumerate(entries)], ENTRY)
         d = spark.createDataFrame([(i, x["url"], x["name"], x["reason"], x["first_seen"]) for i, x in enumerate(queue)], DEFERRED)
         schema = "_pos long, decision string, reason string, c_url string, c_name string, _keys array<string>, " + ", ".join(f"{n} {t.simpleString()}" for n, t in ENTRY_FIELDS.items())
@@ -172,3 +171,78 @@ def test_triage_contract(spark):
     v = spark.createDataFrame([("approve", ["name"], None), ("approve", [], None), ("defer", [], None), ("reject", [], "r")], "decision string, _keys array<string>, reason string")
     assert triage.verdict_contract(v).count() == 2
     assert spark.range(1).select(canonical_url(F.lit(None).cast("string"))).first()[0] is None
+
+
+ROW = {"name": "b", "url": "https://b.com/x", "kind": "collection", "scan_paths": ["s/*"], "last_verified": "2026-01-01"}
+
+
+def write_registry(path, *rows, version=1):
+    import yaml
+
+    path.write_text(yaml.safe_dump({"version": version, "generated_at": "2026-01-01", "entries": list(rows)}, sort_keys=False))
+    return str(path)
+
+
+def test_commands(spark, tmp_path, capsys, monkeypatch):
+    import yaml
+
+    good = write_registry(tmp_path / "good.yml", ROW, {**ROW, "name": "a", "url": "https://a.com/x", "kind": "registry"})
+    assert cli.main(["validate", good]) == 0 and capsys.readouterr().out == f"OK: 2 entries valid in {good}\n"
+    for bad in (write_registry(tmp_path / "bad.yml", ROW, ROW), write_registry(tmp_path / "old.yml", ROW, version=2)):
+        assert cli.main(["validate", bad]) == 1
+        out = capsys.readouterr()
+        assert out.out == "" and out.err.startswith("ERROR: ") and out.err.count("\n") == 1
+    assert cli.main(["manifest", good, "--run-date", "2026-07-20"]) == 0
+    doc = yaml.safe_load(capsys.readouterr().out)
+    assert list(doc) == ["version", "generated_at", "targets"] and doc["generated_at"] == "2026-07-20"
+    assert [(t["name"], t["ref"], t["requires_crawler"]) for t in doc["targets"]] == [("b", "main", False), ("a", "", False)]
+    (tmp_path / "seeds.md").write_text(registry.SEEDS)
+    assert cli.main(["seed", str(tmp_path / "seeds.md"), "--run-date", "2026-07-20"]) == 0
+    doc = yaml.safe_load(capsys.readouterr().out)
+    assert [e["name"] for e in doc["entries"]] == ["alpha", "zeta"] and doc["entries"][1]["last_verified"] == "2026-07-20"
+    found = {"lane": "a", "candidates": [{"url": "https://B.com/x/", "name": "q"}, {"url": "https://c.com/é", "name": "c", "evidence": ["e"]}, {"url": "https://c.com/é"}]}
+    monkeypatch.setattr("sys.stdin", io.StringIO(json.dumps(found)))
+    assert cli.main(["dedupe", "-", good]) == 0
+    text = capsys.readouterr().out
+    assert json.loads(text) == {"new_candidates": [{"url": "https://c.com/é", "name": "c", "evidence": ["e"]}], "skipped": 2}
+    assert text.count("\n") > 5 and text.endswith("}\n")
+    assert cli.main(["validate", str(tmp_path / "none.yml")]) == 1
+
+
+def test_arguments():
+    lanes = arguments.LANES
+    assert arguments.resolved([]) == (lanes, "interactive") and arguments.resolved(["headless"]) == (lanes, "headless")
+    assert arguments.resolved(["marketplaces"]) == (("marketplaces",), "interactive")
+    assert arguments.resolved(["vendor-orgs", "headless"]) == (("vendor-orgs",), "headless")
+    for words in (["elsewhere"], ["headless", "marketplaces"], ["marketplaces", "vendor-orgs", "headless"]):
+        with pytest.raises(ValueError, match="no lane or mode"):
+            arguments.resolved(words)
+
+
+def test_source_names(spark):
+    want = {"https://github.com/Own/Repo.Name": "own-repo-name", "https://www.site.example.com/a": "site", "http://x.org": "x", "https://github.com/own": "github", "": "", None: None}
+    got = spark.createDataFrame([(u,) for u in want], "u string").select("u", source_name(F.col("u"))).collect()
+    assert dict(map(tuple, got)) == want
+
+
+def test_stream_of_verdicts(spark, tmp_path):
+    """Files of verdicts, read whole, are merged one batch after the other; a file that was merged is not merged again."""
+    entry = lambda n: {"name": n, "url": f"https://{n}.com", "kind": "registry", "scan_paths": []}
+    state = [spark.createDataFrame([], ENTRY), spark.createDataFrame([], DEFERRED)]
+    totals = []
+
+    def save(rows, queue, counts):
+        state[:] = [spark.createDataFrame(rows.select(*ENTRY.names).collect(), ENTRY), spark.createDataFrame(queue.select(*DEFERRED.names).collect(), DEFERRED)]
+        totals.append(counts.first().asDict())
+
+    (tmp_path / "in").mkdir()
+    batches = [
+        [{"decision": "approve", "candidate": {"url": "https://a.com"}, "suggested_entry": entry("a")}, {"decision": "defer", "reason": "gated", "candidate": {"url": "https://b.com", "name": "b"}}],
+        [{"decision": "approve", "candidate": {"url": "https://b.com"}, "suggested_entry": entry("b")}],
+    ]
+    for i, verdicts in enumerate(batches):
+        (tmp_path / "in" / f"{i}.json").write_text(json.dumps({"verdicts": verdicts}, indent=1))
+        merge_stream(spark, str(tmp_path / "in"), str(tmp_path / "checkpoint"), lambda: tuple(state), save, "2026-07-20").awaitTermination()
+    assert whole_texts(spark, str(tmp_path / "in")).count() == 2
+    assert totals == [{"added": 1, "refreshed": 0, "deferred": 1, "rejected": 0}, {"added": 1, "refreshed": 0, "deferred": 0, "rejected": 0}]
+    assert sorted(r["name"] for r in state[0].collect()) == ["a", "b"] and state[1].count() == 0
