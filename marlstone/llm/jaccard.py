@@ -39,6 +39,8 @@ CROWD = 16
 PART_BLOCK, BLOCK, BLOCK_SHINGLES = 512, 512, 1 << 20
 #: Classes with more copies than about 2 in so many rows are indexed once only, by a broadcast list of them.
 COUNTERS = 1024
+#: Share of the shingles of unrelated sets that the allocation of segments takes to agree.
+AGREE = 0.03
 #: Words whose hashes a worker remembers while a task lasts.
 REMEMBERED = 200_000
 
@@ -109,14 +111,14 @@ class Bands:
     @staticmethod
     def cheapest(size: int, h: int, capacity: int, rows: int) -> int:
         """Of the segments with deletions, the number that costs least: rows of the index and pairs that meet by chance. In unrelated
-        sets one shingle in ten is taken to agree, and one class in eight to be in the band."""
+        sets a share of AGREE of the shingles is taken to agree, and one class in eight to be in the band."""
         if h == 0:
             return 0
 
         def cost(d: int) -> float:
             m = capacity - d
             t = size / m
-            met = (m - d) * 0.1**t + d * (1 + t) * 0.1 ** max(t - 1, 0)
+            met = (m - d) * AGREE**t + d * (1 + t) * AGREE ** max(t - 1, 0)
             return m + d * t + met * rows / 8
 
         return min(range(0, capacity // 2 + 1, max(1, capacity // 16)), key=cost)
