@@ -8,6 +8,8 @@ bounded, then ranks within a cell; so a source with a third of all rows is sprea
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,12 +21,19 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 #: No source is taken more often than this.
 MOST = 2
-#: The random offset of systematic sampling, drawn once; a parameter so that reruns agree.
-OFFSET = 0.6180339887
+#: Seed of the random offset, so that reruns agree.
+SEED = 1
+#: Keys of repeated rows that are broadcast: those with the most rows.
+OFTEN = 512
 #: Copies of one repeated row that one task emits together.
 EMITTED = 1000
 
 
+def drawn_offset(seed: int = SEED) -> float:
+    """The random offset of systematic sampling for a seed, from 0 to below 1."""
+    return int.from_bytes(hashlib.sha256(f"offset {seed}".encode()).digest()[:6], "big") / (1 << 48)
+
+
 def size_class(size: Column) -> Column:
     """Sorts as the size does, in steps of at most 1/8; at most 8 * 64 values."""
     bits = F.bin(size)
@@ -56,13 +65,14 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return level.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def mix_decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", offset: float = OFFSET, weights=WEIGHTS, share: float = SHARE, most: int = MOST, key: Column | None = None) -> DataFrame:
+def mix_decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, weights=WEIGHTS, share: float = SHARE, most: int = MOST, key: Column | None = None) -> DataFrame:
     """For every row of df: doc_id, source, size, source_size, target and copies; with key, that column too.
 
     The size is the number of words of a text (null or empty: 0). A null source is a source of its own, ordered last. A source without
     words has target 0 and gives no copies. Rows that repeat are separate rows; the result does not depend on their order. An empty
     table gives an empty result; other columns are not read.
     """
+    offset = drawn_offset(seed)
     also = [] if key is None else [key.alias("_key")]
     rows = df.select(df[id_col].alias("doc_id"), df[source_col].alias("source"), count_words(df[text_col]).alias("size"), *also)
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
@@ -103,7 +113,10 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     mixed = rows.join(drawn.where("_rows = 1").hint("shuffle_hash"), "_key").select(*names, copies(F.col("_copies")))
     repeated = drawn.where("_rows > 1")
     if not repeated.isEmpty():
-        one = rows.join(repeated, "_key").groupBy("_key").agg(*(F.first(n).alias(n) for n in names), F.first("_copies").alias("_copies"))
+        # The rows of the most frequent keys meet them where they are; only one row of each key is shuffled for these.
+        often = F.broadcast(repeated.orderBy(F.desc("_rows"), "_key").limit(OFTEN))
+        seldom = repeated.join(often.select("_key"), "_key", "left_anti")
+        one = rows.join(often, "_key").unionByName(rows.join(seldom, "_key")).groupBy("_key").agg(*(F.first(n).alias(n) for n in names), F.first("_copies").alias("_copies"))
         part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / EMITTED)))
         parts = one.withColumn("_part", part).repartition("_key", "_part")
         mixed = mixed.unionByName(parts.select(*names, copies(F.least(F.lit(EMITTED), F.col("_copies") - F.col("_part") * EMITTED))))

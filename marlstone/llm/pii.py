@@ -12,6 +12,7 @@ import datetime as dt
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import pyarrow as pa
@@ -167,6 +168,14 @@ def account(text: str, key: bytes) -> str | None:
     return "".join(c if c == " " else next(new) for c in text)
 
 
+def other_day(day: dt.date, key: bytes) -> dt.date:
+    """Days of other centuries are permuted among themselves."""
+    before, after = (FIRST_DAY - dt.date.min).days, (dt.date.max - LAST_DAY).days
+    value = (day - dt.date.min).days if day < FIRST_DAY else before + (day - LAST_DAY).days - 1
+    value = permuted(value, before + after, "otherdate", key)
+    return dt.date.min + dt.timedelta(value) if value < before else LAST_DAY + dt.timedelta(value - before + 1)
+
+
 def date(text: str, key: bytes) -> str | None:
     """ISO dates, and day or month first with / . or - between; a date that can be read both ways is read day first."""
     sep = next(c for c in text if not c.isdigit())
@@ -177,11 +186,12 @@ def date(text: str, key: bytes) -> str | None:
             day = dt.date(*((a, b, c)[i] for i in order))
         except ValueError:
             continue
-        if not FIRST_DAY <= day <= LAST_DAY:
-            return None
-        new = FIRST_DAY + dt.timedelta(permuted((day - FIRST_DAY).days, (LAST_DAY - FIRST_DAY).days + 1, "date", key))
+        if FIRST_DAY <= day <= LAST_DAY:
+            new = FIRST_DAY + dt.timedelta(permuted((day - FIRST_DAY).days, (LAST_DAY - FIRST_DAY).days + 1, "date", key))
+        else:
+            new = other_day(day, key)
         parts = [(new.year, new.month, new.day)[order.index(i)] for i in range(3)]
-        return sep.join(str(p).zfill(4 if p > 999 else 2) for p in parts)
+        return sep.join(str(p).zfill(4 if order[i] == 0 else 2) for i, p in enumerate(parts))
     return None
 
 
@@ -231,14 +241,16 @@ def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, dict[str, int]]:
             continue
         for m in pattern.finditer(text):
             a, b = m.span(1)
-            if any(a < y and x < b for x, y, _, _ in found):
+            # Places do not overlap, so only the two neighbours can be in the way.
+            at = bisect_left(found, (a,))
+            if at and found[at - 1][1] > a or at < len(found) and found[at][0] < b:
                 continue
             new = made(m[1], key)
             if new is not None:
-                found.append((a, b, kind, new))
+                found.insert(at, (a, b, kind, new))
     counts: dict[str, int] = {}
     parts, at = [], 0
-    for a, b, kind, new in sorted(found):
+    for a, b, kind, new in found:
         parts += [text[at:a], new]
         at = b
         counts[kind] = counts.get(kind, 0) + 1
