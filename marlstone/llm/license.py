@@ -1,18 +1,22 @@
 """License scans by diagonal voting, with DataFrame functions only.
 
-Every rolling pair of words of a text is hashed; hashes that occur in a template are joined with the places they have there. A hit votes
-for the diagonal (place in the text minus place in the template). A diagonal with all of a phrase's votes is a place where the phrase
-stands word for word; neighbouring diagonals of a template are merged, which bridges dropped or added words, and the merged spans are
-verified by the share of the template's pairs that they have. Hits are kept with their words, so votes are exact, not by hash alone.
+Every rolling k-gram of a text's words is hashed, pairs for short templates and five words for whole licence texts; hashes that occur in a
+template are joined with the places they have there. A hit votes for the diagonal (place in the text minus place in the template). A
+diagonal with all of a phrase's votes is a place where the phrase stands word for word. Around each diagonal that has the most votes of its
+neighbourhood the diagonals within a template's drift are merged, which bridges dropped or added words. A merged span is verified by the
+share of the template's grams that it has; its hits lie within the drift of one diagonal, so they are in order and the span is no longer
+than the template and twice the drift. Hits are kept with their words, so votes are exact, not by hash alone.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import lower_ascii
+from .license_texts import TEXTS
 
 #: Phrases whose places are counted, and their labels.
 PHRASES = (
@@ -22,7 +26,7 @@ PHRASES = (
     ("mit license", "mit"),
 )
 
-#: Usual notices, and the labels that the method adds for them.
+#: Usual short notices, and the labels that the method adds for them.
 NOTICES = (
     ("licensed under the apache license version 2 0", "apache-2.0"),
     ("licensed under the gnu general public license version 3", "gpl-3.0"),
@@ -33,82 +37,87 @@ NOTICES = (
     ("licensed under cc by sa 4 0", "cc-by-sa"),
     ("licensed under a creative commons attribution license", "cc-by"),
     ("released under the mit license", "mit"),
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit"),
-    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
-    ("subject to the terms of the mozilla public license v 2 0", "mpl-2.0"),
-    ("permission to use copy modify and or distribute this software for any purpose with or without fee", "isc"),
-    ("this is free and unencumbered software released into the public domain", "unlicense"),
     ("all rights reserved", "all-rights-reserved"),
 )
 
-#: Diagonals at most so far apart are one span.
-SHIFT = 2
-#: A span of a notice needs this share of the notice's pairs.
+#: Words of a gram: of phrases and notices, and of licence texts.
+SHORT, LONG = 2, 5
+#: A span's diagonals lie within so many words of one, or this share of the template's words.
+DRIFT, DRIFT_SHARE = 2, 0.1
+#: A span needs this share of the template's grams.
 COVERAGE = 0.6
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def template_places(spark, phrases=PHRASES, notices=NOTICES) -> DataFrame:
-    """One row for each pair of words of each template; a small fixed table."""
+def template_rows(phrases=PHRASES, notices=NOTICES, texts=TEXTS) -> list[tuple]:
+    """(template, base, label, k, grams, drift, at, gram): one row for each gram of each template; small and fixed."""
     rows = []
-    for number, (text, label) in enumerate([*phrases, *notices]):
-        words = text.split(" ")
-        for at in range(len(words) - 1):
-            rows.append((number, number < len(phrases), label, len(words) - 1, at, words[at], words[at + 1]))
-    schema = T.StructType([T.StructField(n, t) for n, t in (("template", T.IntegerType()), ("base", T.BooleanType()), ("label", T.StringType()), ("pairs", T.IntegerType()), ("at", T.IntegerType()), ("w1", T.StringType()), ("w2", T.StringType()))])
-    return spark.createDataFrame(rows, schema).withColumn("hash", F.xxhash64("w1", "w2"))
+    templates = [*((t, label, True, SHORT) for t, label in phrases), *((t, label, False, SHORT) for t, label in notices), *((t, label, False, LONG) for label, t in texts.items())]
+    for number, (text, label, base, k) in enumerate(templates):
+        words = [w for w in re.split(NO_WORD, text.lower()) if w]
+        grams = [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)]
+        drift = max(DRIFT, int(DRIFT_SHARE * len(words)))
+        rows += [(number, base, label, k, len(grams), drift, at, gram) for at, gram in enumerate(grams)]
+    return rows
+
 
+TEMPLATE_COLUMNS = "template int, base boolean, label string, k int, grams int, drift int, at int, gram string"
 
-def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, notices=NOTICES, shift: int = SHIFT, coverage: float = COVERAGE) -> DataFrame:
+
+def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, notices=NOTICES, texts=TEXTS, coverage: float = COVERAGE) -> DataFrame:
     """For every row of df: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and the verified spans.
 
     A-Z is lower-cased; words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`. n_base counts the places of the phrases; first_word and last_word
     are the smallest and the largest of their starts (null without any). Labels are distinct, sorted and joined by commas, empty without
-    any. The score is the largest share of a template that a span has. Null counts as empty: no words, no places, score 0. Phrases have
-    two words at least. Rows that repeat each get a result; other columns are not read; an empty table gives an empty result.
+    any. The score is the largest share of a template's grams that a verified span has, 1 for a phrase. Null counts as empty: no words, no
+    places, score 0. Phrases have two words at least. Rows that repeat each get a result; other columns are not read; an empty table gives
+    an empty result.
     """
     spark = df.sparkSession
-    places = template_places(spark, phrases, notices).persist()
-    hashes = [r["hash"] for r in places.select("hash").distinct().collect()]
+    rows = template_rows(phrases, notices, texts)
+    places = spark.createDataFrame(rows, TEMPLATE_COLUMNS).withColumnRenamed("gram", "template_gram").withColumn("hash", F.xxhash64("template_gram")).drop("k")
+    hashes = {k: spark.createDataFrame([(r[7],) for r in rows if r[3] == k] or [("",)], "g string").select(F.collect_set(F.xxhash64("g"))).first()[0] for k in (SHORT, LONG)}
     words = F.array_remove(F.split(lower_ascii(F.coalesce(df[text_col], F.lit(""))), NO_WORD), "")
-    rows = df.select(df[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("uid"), words.alias("words"))
-    pair = lambda at: F.xxhash64(F.get("words", at), F.get("words", at + 1))
-    kept = F.array_compact(F.transform("words", lambda w, i: F.when(F.xxhash64(w, F.get("words", i + 1)).isin(hashes), i)))
-    hits = F.transform(kept, lambda at: F.struct(at.alias("place"), pair(at).alias("hash"), F.get("words", at).alias("h1"), F.get("words", at + 1).alias("h2")))
-    votes = rows.select("uid", "doc_id", F.size("words").cast("long").alias("n_words"), F.inline_outer(hits))
-    voted = votes.join(F.broadcast(places), "hash", "left")
-    # A hit whose words are not the template's (equal hashes) loses its vote; its row stays for the document's sake.
-    same = F.coalesce((F.col("w1") == F.col("h1")) & (F.col("w2") == F.col("h2")), F.lit(False))
-    voted = voted.withColumn("template", F.when(same, F.col("template"))).repartition("uid")
+    docs = df.select(df[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("uid"), words.alias("words"))
+
+    def hits(k: int):
+        gram = lambda i: F.concat_ws(" ", *(F.get("words", i + j) for j in range(k)))
+        # Beyond the last word a gram would be shorter, and equal to no template's.
+        kept = F.array_compact(F.transform("words", lambda _, i: F.when(F.xxhash64(gram(i)).isin(hashes[k]), i)))
+        return F.transform(kept, lambda i: F.struct(i.alias("place"), F.lit(k).alias("k"), gram(i).alias("gram")))
+
+    votes = docs.select("uid", "doc_id", F.size("words").cast("long").alias("n_words"), F.inline_outer(F.concat(hits(SHORT), hits(LONG))))
+    # Equal hashes of other words, if ever, give no vote; the row stays for the document's sake.
+    voted = votes.withColumn("hash", F.xxhash64("gram")).join(F.broadcast(places), "hash", "left")
+    voted = voted.withColumn("template", F.when(F.col("gram") == F.col("template_gram"), F.col("template"))).repartition("uid")
 
     diagonal = F.when(F.col("template").isNotNull(), F.col("place") - F.col("at")).alias("diagonal")
-    whole = voted.groupBy("uid", "template", diagonal).agg(
-        *(F.first(c).alias(c) for c in ("doc_id", "n_words", "base", "label", "pairs")), F.collect_set("at").alias("at"), F.min("place").alias("from"), F.max(F.col("place") + 2).alias("to")
-    )
-    along = Window.partitionBy("uid", "template").orderBy("diagonal")
-    gap = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along), F.lit(0)) > shift
-    whole = whole.withColumn("span", F.sum(gap.cast("int")).over(along))
-    exact = F.col("base") & (F.size("at") == F.col("pairs"))
-    spans = whole.groupBy("uid", "template", "span").agg(
-        *(F.first(c).alias(c) for c in ("doc_id", "n_words", "label", "base", "pairs")),
-        F.count_if(exact).alias("n_base"),
-        F.min(F.when(exact, F.col("diagonal"))).alias("first_word"),
-        F.max(F.when(exact, F.col("diagonal"))).alias("last_word"),
-        (F.size(F.array_distinct(F.flatten(F.collect_list("at")))) / F.first("pairs")).alias("share"),
-        F.min("from").alias("from"),
-        F.max("to").alias("to"),
+    lines = voted.groupBy("uid", "template", diagonal).agg(
+        *(F.first(c).alias(c) for c in ("doc_id", "n_words", "base", "label", "grams", "drift")), F.collect_set("at").alias("at"), F.min("place").alias("from"), F.max(F.col("place") + F.col("k")).alias("to")
     )
-    verified = F.col("template").isNotNull() & F.when(F.col("base"), F.col("n_base") > 0).otherwise(F.col("share") >= coverage)
+    # Diagonals in millionths of the template's drift, so that one range serves all templates.
+    lines = lines.withColumns({"votes": F.size("at"), "offset": F.expr("diagonal * 1000000L div drift")})
+    near = Window.partitionBy("uid", "template").orderBy("offset").rangeBetween(-1_000_000, 1_000_000)
+    # Of diagonals with equal votes the first one is the centre.
+    first = F.max(F.when(F.col("template").isNotNull(), F.struct("votes", (-F.col("diagonal")).alias("d"))))
+    spans = lines.withColumns({
+        "share": F.size(F.array_distinct(F.flatten(F.collect_list("at").over(near)))) / F.col("grams"),
+        "best": first.over(near), "start": F.min("from").over(near), "end": F.max("to").over(near),
+    })
+    exact = F.col("base") & (F.col("votes") == F.col("grams"))
+    centre = (F.col("best.votes") == F.col("votes")) & (F.col("best.d") == -F.col("diagonal"))
+    verified = F.col("template").isNotNull() & F.when(F.col("base"), exact).otherwise(centre & (F.col("share") >= coverage))
+    share = F.when(F.col("base"), F.lit(1.0)).otherwise(F.col("share"))
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     return spans.groupBy("uid").agg(
         F.first("doc_id").alias("doc_id"),
         F.first("n_words").alias("n_words"),
-        F.sum("n_base").cast("long").alias("n_base"),
-        F.min("first_word").cast("long").alias("first_word"),
-        F.max("last_word").cast("long").alias("last_word"),
-        joined(F.when(F.col("n_base") > 0, F.col("label"))).alias("base_labels"),
+        F.count_if(exact).alias("n_base"),
+        F.min(F.when(exact, F.col("diagonal"))).cast("long").alias("first_word"),
+        F.max(F.when(exact, F.col("diagonal"))).cast("long").alias("last_word"),
+        joined(F.when(exact, F.col("label"))).alias("base_labels"),
         joined(F.when(verified, F.col("label"))).alias("labels"),
-        F.coalesce(F.max(F.when(verified, F.least(F.col("share"), F.lit(1.0)))), F.lit(0.0)).alias("score"),
-        F.array_sort(F.collect_list(F.when(verified, F.struct("from", "to", "label", "share")))).alias("spans"),
+        F.coalesce(F.max(F.when(verified, share)), F.lit(0.0)).alias("score"),
+        F.array_sort(F.collect_list(F.when(verified, F.struct(F.when(F.col("base"), F.col("from")).otherwise(F.col("start")).alias("from"), F.when(F.col("base"), F.col("to")).otherwise(F.col("end")).alias("to"), "label", share.alias("share"))))).alias("spans"),
     ).drop("uid")

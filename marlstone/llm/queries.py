@@ -94,9 +94,9 @@ with docs as (
   from laid l join targets t on l.source is not distinct from t.source
 )
 select doc_id, size, source_size, target,
-  ((floor(rate * rank + 0.6180339887::double) - floor(rate * (rank - 1) + 0.6180339887::double))::bigint * size)::bigint as taken
+  ((floor(rate * rank + @offset::double) - floor(rate * (rank - 1) + @offset::double))::bigint * size)::bigint as taken
 from placed
-"""
+""".replace("@offset", repr(mixing.drawn_offset()))
 
 OP4_SQL = r"""
 with docs as (
@@ -135,6 +135,64 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from doc_words left join words_hit using (uid) left join items_hit using (uid)
 """
 
+OP7_SQL = r"""
+with templates (template, base, label, k, grams, drift, spot, gram) as (values
+  @templates
+), words as (
+  select row_number() over () as uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), grams as (
+  select uid, k, i - 1 as place, array_to_string(w[i:i + k - 1], ' ') as gram
+  from (select uid, w, k, unnest(range(1, len(w) - k + 2)) as i from words, (select distinct k from templates) where len(w) >= k)
+), lines as (
+  select uid, template, any_value(base) as base, any_value(label) as label, any_value(t.grams) as grams, any_value(drift) as drift, place - spot as diagonal,
+    list(distinct spot) as spots, count(distinct spot) as votes
+  from grams join templates t using (k, gram) group by uid, template, place - spot
+), spans as (
+  select *, len(list_distinct(flatten(list(spots) over near)))::double / grams as share, max(votes * 1000000000 - diagonal) over near as best
+  from lines
+  window near as (partition by uid, template order by diagonal * 1000000 // drift range between 1000000 preceding and 1000000 following)
+), judged as (
+  select *, base and votes = grams as exact, not base and best = votes * 1000000000 - diagonal and share >= 0.6 as merged from spans
+), found as (
+  select uid, count(*) filter (exact) as n_base, min(diagonal) filter (exact) as first_word, max(diagonal) filter (exact) as last_word,
+    string_agg(distinct label, ',' order by label) filter (exact) as base_labels, string_agg(distinct label, ',' order by label) filter (exact or merged) as labels,
+    max(case when exact then 1.0::double when merged then share end) as score
+  from judged group by uid
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0)::double as score
+from words left join found using (uid)
+""".replace("@templates", ",\n  ".join(f"({t}, {str(base).lower()}, '{label}', {k}, {grams}, {drift}, {at}, '{gram}')" for t, base, label, k, grams, drift, at, gram in license.template_rows()))
+
+OP10_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), shingles as (
+  select distinct doc_id, array_to_string(w[i:i + 3], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i from words where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select x.doc_id as a, y.doc_id as b, count(*) as common from shingles x join shingles y using (s) where x.doc_id <> y.doc_id group by all
+), links as (
+  select a, b, common = x.n and common = y.n as equal from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * common >= 85 * (x.n + y.n - common)
+), classes as (
+  select d.doc_id, least(d.doc_id, coalesce(min(b) filter (equal), d.doc_id)) as class from sizes d left join links on a = d.doc_id group by d.doc_id
+), degrees as (
+  select a as doc_id, count(distinct class) as n_links from links join classes on classes.doc_id = b where not equal group by a
+), reached as (
+  select doc_id as a, doc_id as b from sizes
+  union
+  select reached.a, links.b from reached join links on links.a = reached.b
+), components as (
+  select a as doc_id, min(b) as component_id from reached group by a
+)
+select w.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(component_id, w.doc_id) as component_id, coalesce(n_links, 0)::bigint as n_links
+from words w left join sizes using (doc_id) left join components using (doc_id) left join degrees using (doc_id)
+"""
+
+
 OP10_SQL = r"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
@@ -164,4 +222,4 @@ from words w left join sizes using (doc_id) left join components using (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_systematic_mix": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op5_suffix_decontamination": OP5_SQL, "op10_jaccard_join": OP10_SQL}
+    return {"op3_systematic_mix": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op5_suffix_decontamination": OP5_SQL, "op7_license_diagonals": OP7_SQL, "op10_jaccard_join": OP10_SQL}
