@@ -1,13 +1,14 @@
 """Language-model scores by prediction by partial matching (PPM, method C) over bytes, with symbol exclusion.
 
-A context trie of order 3 is learnt from all training texts: byte 4-grams are counted in every partition and added up by key, and the
+A context trie of order 5 is learnt from all training texts: byte 6-grams are counted in every partition and added up by key, and the
 shorter contexts are their marginals. A symbol's probability in the longest context that the trie has is count / (total + distinct); the
 escape, distinct / (total + distinct), leads to the next shorter context, in which the symbols of the longer one are excluded; below order
-0 the remaining byte values are equally likely. The seen sets are nested, so the whole back-off of a (context, symbol) pair is worked out
-once in a table, and a text is scored by two look-ups a byte. Byte 0xFF, which UTF-8 never has, begins and ends each text.
+0 the remaining byte values are equally likely. The seen sets are nested, so of an excluded context its total, its number of symbols and
+the count that the shorter context has of them are enough. Byte 0xFF, which UTF-8 never has, begins and ends each text.
 
-The CONTEXTS most frequent contexts of order 2 and of order 3 are sent to all workers as tables. The counts of all contexts stay in the
-shared folder; 4-grams whose contexts the tables lack are counted by text and joined with them, so the scores do not depend on CONTEXTS.
+The trie is two tables in the shared folder, of contexts and of their symbols, whatever its size. Contexts of a frequency that keeps
+their symbols within GRAMS are read by all workers; if a context is among them, so are the shorter ones, so a place there is scored at once.
+The distinct 6-grams at all other places are counted by text and joined with the tables. Scores do not depend on GRAMS.
 """
 
 from __future__ import annotations
@@ -20,16 +21,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, chunks, shared_folder, ship_code, utf8_values, written
+from .common import LOWER_TABLE, chunks, open_shared, shared_folder, ship_code, utf8_values, written
 
-ORDER = 3
-#: Contexts of order 2 and of order 3 that are sent to all workers; bounds the broadcast model (256 symbols of 12 bytes each at most).
-CONTEXTS = 32_768
-#: Most frequent tokens whose counts are sent to all workers; the counts of all others are joined.
+ORDER = 5
+#: Symbols of contexts, of all orders, that all workers read (16 bytes each); the rest of the trie is joined.
+GRAMS = 1_200_000
+#: Most frequent tokens whose counts all workers read; the counts of all others are joined.
 FREQUENT = 150_000
-#: Distinct tokens or 4-grams that a worker holds before it passes its counts on.
+#: Distinct tokens or 6-grams that a worker holds before it passes its counts on.
 HELD = 300_000
-EDGE = 255
+#: Bytes of text that one step takes.
+STEP_BYTES = 2_000_000
 
 _models: dict[str, object] = {}
 
@@ -42,114 +44,84 @@ def laid_out(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return raw, ORDER + np.concatenate([[0], np.cumsum(sizes + ORDER)[:-1]]).astype(np.int64), sizes + 1
 
 
-def symbol_places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places of all symbols to be scored, text after text."""
-    total = int(sizes.sum())
-    return np.arange(total) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-
-
-def gram_keys(values: list[bytes]) -> np.ndarray:
-    """The 4-gram that ends at each symbol, as a number."""
+def gram_keys(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The 6-gram that ends at each symbol, as a number with the symbol in the lowest byte, and the symbols of each text."""
     raw, starts, sizes = laid_out(values)
-    at = symbol_places(starts, sizes)
-    wide = raw.astype(np.uint32)
-    return ((wide[:-3] << 24) | (wide[1:-2] << 16) | (wide[2:-1] << 8) | wide[3:])[at - 3]
+    total = int(sizes.sum())
+    at = np.arange(total) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    key = np.zeros(len(raw), np.int64)
+    for k in range(ORDER, -1, -1):
+        key[ORDER:] = (key[ORDER:] << 8) | raw[ORDER - k : len(raw) - k]
+    return key[at], sizes
 
 
-def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys with counts from parts of such."""
+    keys, counts = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-class Trie:
-    """Back-off tables of a trie. levels[k - 1]: (keys, counts) of the strings of k context bytes and a symbol, for k from 1 to 3; the
-    counts of a kept context are those of the whole corpus, and a context is used only if the context without its first byte is there."""
-
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
-        levels = [(k.astype(np.int64), n.astype(np.float64)) for k, n in levels]
-        symbols = np.unique(levels[0][0] & 255)
-        self.width = a = len(symbols) + 1  # the last symbol number stands for every byte without a count
-        self.number = np.full(256, a - 1, np.int64)
-        self.number[symbols] = np.arange(a - 1)
-        unseen = 256 - len(symbols)
-        counts = np.bincount(self.number[levels[0][0] & 255], levels[0][1], a)[None, :]
-        # back: what a symbol that a context lacks gets from the shorter ones, the context's own symbols excluded
-        back = np.full((1, a), -math.log10(unseen) if unseen else 0.0)
-        tables = [self._own(counts, back)]
-        node, kept, rows = np.zeros(1, np.int64), np.zeros(1, np.int64), 1
-        for order, (keys, n) in enumerate(levels, 1):
-            context = np.zeros(len(keys), np.int64)
-            for k in range(order, 0, -1):
-                context = context * a + self.number[(keys >> (8 * k)) & 255]
-            uniq, inverse = np.unique(context, return_inverse=True)
-            parent = uniq % a ** (order - 1)
-            at = np.minimum(np.searchsorted(kept, parent), max(len(kept) - 1, 0))
-            ok = kept[at] == parent if len(kept) else np.zeros(len(uniq), bool)
-            # the last symbol number is no byte, so no context may hold it
-            for k in range(order):
-                ok &= (uniq // a**k) % a < a - 1
-            place = np.where(ok, np.cumsum(ok) - 1, -1)[inverse]
-            own = np.zeros((int(ok.sum()), a))
-            np.add.at(own, (place[place >= 0], self.number[keys & 255][place >= 0]), n[place >= 0])
-            table, deeper = np.zeros(own.shape, np.float32), np.zeros(own.shape)
-            for part in range(0, len(own), 4096):
-                c, up = own[part : part + 4096], at[ok][part : part + 4096]
-                deeper[part : part + 4096] = self._back(c, counts[up], back[up])
-                table[part : part + 4096] = self._own(c, deeper[part : part + 4096])
-            tables.append(table)
-            node = np.tile(node, a)  # strings of `order` symbols fall back to the one without the first symbol
-            node[uniq[ok]] = rows + np.arange(len(own))
-            self.longest = rows  # the first row of the order in hand, at last of the longest contexts
-            rows, kept, counts, back = rows + len(own), uniq[ok], own, deeper
-        self.node, self.table = node.astype(np.int32), np.concatenate([t.astype(np.float32) for t in tables])
-
-    @staticmethod
-    def _own(c: np.ndarray, back: np.ndarray) -> np.ndarray:
-        """log10 probabilities in contexts with counts c."""
-        total, distinct = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
-        whole = np.maximum(total + distinct, 1)
-        escape = np.where(distinct > 0, np.log10(np.maximum(distinct, 1) / whole), 0.0)
-        return np.where(c > 0, np.log10(np.maximum(c, 1) / whole), escape + back)
-
-    @staticmethod
-    def _back(c: np.ndarray, shorter: np.ndarray, back: np.ndarray) -> np.ndarray:
-        """What symbols without a count in c get from the shorter context, its counts for c's symbols being excluded."""
-        left = np.where(c > 0, 0, shorter)
-        total, distinct = left.sum(1, keepdims=True), (left > 0).sum(1, keepdims=True)
-        whole = np.maximum(total + distinct, 1)
-        escape = np.where(distinct > 0, np.log10(np.maximum(distinct, 1) / whole), 0.0)
-        return np.where(left > 0, np.log10(np.maximum(left, 1) / whole), escape + back)
-
-    def places(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability at each place, and the places (as indices of `at`) whose longest context the trie lacks."""
-        s = self.number[raw]
-        a = self.width
-        node = self.node[(s[:-3] * a + s[1:-2]) * a + s[2:-1]]
-        return self.table[node, s[3:]][at - 3].astype(np.float64), np.flatnonzero(node[at - 3] < self.longest)
-
-    def log10(self, values: list[bytes]) -> np.ndarray:
-        """log10 probability of each text, its end included."""
-        if not values:
-            return np.zeros(0)
-        raw, starts, sizes = laid_out(values)
-        per_place, _ = self.places(raw, symbol_places(starts, sizes))
-        return np.add.reduceat(per_place, np.cumsum(sizes) - sizes)
+def looked_for(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted numbers among sorted keys, and whether they are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
 
-    def in_part(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The sum over the places of each text whose longest context the trie has; of all others (text, 4-gram, times)."""
+
+class Trie:
+    """Contexts and symbols of a trie, or of its frequent part. contexts: for each order its sorted contexts, their totals, numbers of
+    symbols and counts of these in the shorter context; grams: for each order its sorted grams and their counts. whole: whether all of the
+    trie is here; if not, each context that is here has all its symbols, and the contexts without its first bytes are here too."""
+
+    def __init__(self, contexts: list[tuple], grams: list[tuple], whole: bool = True):
+        self.contexts, self.grams, self.whole = contexts, grams, whole
+
+    def values(self, keys: np.ndarray) -> np.ndarray:
+        """log10 probability of each 6-gram's last byte after the others; NaN where a context is not here but may be in the trie."""
+        value, done = np.zeros(len(keys)), np.zeros(len(keys), bool)
+        same, seen = np.zeros(len(keys)), np.zeros(len(keys))
+        for k in range(ORDER, -1, -1):
+            gram = keys & (256 ** (k + 1) - 1)
+            at, there = looked_for(self.contexts[k][0], gram >> 8)
+            there &= ~done
+            if not self.whole:
+                lost = ~there & ~done
+                value[lost] = np.nan
+                done |= lost
+            _, total, distinct, shared = self.contexts[k]
+            if not len(total):
+                continue
+            left = distinct[at] - seen
+            room = total[at] - same + left
+            spot, hit = looked_for(self.grams[k][0], gram)
+            hit &= there
+            if len(self.grams[k][1]):
+                value[hit] += np.log10(self.grams[k][1][spot[hit]] / room[hit])
+            done |= hit
+            missed = there & ~hit
+            escape = missed & (left > 0)
+            value[escape] += np.log10(left[escape] / room[escape])
+            same, seen = np.where(missed, shared[at], same), np.where(missed, distinct[at], seen)
+        value[~done] -= np.log10(256 - seen[~done])
+        return value
+
+    def scores(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The log10 probability of each text, its end included, without the places that are not here; of these (text, 6-gram, times)."""
         if not values:
             return np.zeros(0), *(np.zeros(0, np.int64) for _ in range(3))
-        raw, starts, sizes = laid_out(values)
-        at = symbol_places(starts, sizes)
-        per_place, other = self.places(raw, at)
-        per_place[other] = 0
-        key = np.searchsorted(np.cumsum(sizes), other, "right")
-        for k in (3, 2, 1, 0):
-            key = (key << 8) | raw[at[other] - k]
-        key, times = np.unique(key, return_counts=True)
-        return np.add.reduceat(per_place, np.cumsum(sizes) - sizes), key >> 32, key & 0xFFFFFFFF, times
+        keys, sizes = gram_keys(values)
+        uniq, where = np.unique(keys, return_inverse=True)
+        value = self.values(uniq)
+        lost = np.isnan(value)
+        score = np.add.reduceat(np.where(lost, 0, value)[where], np.cumsum(sizes) - sizes)
+        other = np.flatnonzero(lost[where]) if lost.any() else np.zeros(0, np.int64)
+        text = np.searchsorted(np.cumsum(sizes), other, "right")
+        pair, times = np.unique(text * len(uniq) + where[other], return_counts=True)
+        return score, pair // len(uniq), uniq[pair % len(uniq)], times
 
 
 class AdaptivePPM:
@@ -192,87 +164,117 @@ def adaptive_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for batch in chunks(batches, "t"):
             yield pa.RecordBatch.from_arrays([batch.column("d"), pa.array([AdaptivePPM(order).log10(v) for v in utf8_values(batch.column("t"))], pa.float64())], ["doc_id", "score"])
 
-    return df.select(df[id_col].cast("long").alias("d"), df[text_col].alias("t")).mapInArrow(scan, "doc_id long, score double")
+    return df.select(df[id_col].alias("d"), df[text_col].alias("t")).mapInArrow(scan, f"doc_id {df.schema[id_col].dataType.simpleString()}, score double")
 
 
 def counted(batches):
     """Training texts (t) to partial counts: (gram, token, n), one of gram and token being null; the token of an end is empty."""
     tokens: Counter = Counter()
-    keys, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    grams: list[tuple[np.ndarray, np.ndarray]] = []
 
     def of_tokens():
         out = pa.RecordBatch.from_arrays([pa.nulls(len(tokens), pa.int64()), pa.array(list(tokens), pa.binary()), pa.array(list(tokens.values()), pa.int64())], ["gram", "token", "n"])
         tokens.clear()
         return out
 
-    def of_grams():
-        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.nulls(len(keys), pa.binary()), pa.array(counts)], ["gram", "token", "n"])
+    def of_grams(keys, counts):
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.binary()), pa.array(counts)], ["gram", "token", "n"])
 
-    for batch in chunks(batches, "t"):
+    for batch in chunks(batches, "t", STEP_BYTES):
         values = utf8_values(batch.column("t"))
         for v in values:
             tokens.update(v.translate(LOWER_TABLE).split())
         tokens[b""] += len(values)
-        new = np.sort(gram_keys(values))
+        new = np.sort(gram_keys(values)[0])
         first = np.flatnonzero(np.concatenate([[True], new[1:] != new[:-1]]))
-        keys, counts = added(np.concatenate([keys, new[first]]), np.concatenate([counts, np.diff(np.append(first, len(new)))]))
+        grams.append((new[first], np.diff(np.append(first, len(new)))))
         if len(tokens) > HELD:
             yield of_tokens()
-        if len(keys) > 4 * HELD:
-            yield of_grams()
-            keys, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if sum(len(x) for x, _ in grams) > 8 * HELD:
+            grams = [added(grams)]
+            if len(grams[0][0]) > 4 * HELD:
+                yield of_grams(*grams.pop())
     yield of_tokens()
-    yield of_grams()
-
-
-def collected_levels(grams: DataFrame, contexts: int = CONTEXTS) -> tuple[list[tuple[np.ndarray, np.ndarray]], bool]:
-    """The trie's levels on the driver, at most 256 * contexts counts of order 2 and of order 3, and 65,536 of order 1; whether these are
-    certain to be all."""
-    levels, whole = [], True
-    for order in (1, 2, 3):
-        key = F.col("gram").bitwiseAND(F.lit(256 ** (order + 1) - 1))
-        level = grams.groupBy(key.alias("gram")).agg(F.sum("n").alias("n")).withColumn("context", F.shiftright("gram", 8))
-        if order > 1:
-            top = level.groupBy("context").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "context").limit(contexts)
-            level = level.join(F.broadcast(top.select("context")), "context")
-        got = level.select("gram", "n").toArrow()
-        levels.append((got["gram"].to_numpy(), got["n"].to_numpy()))
-        whole &= order == 1 or len(np.unique(levels[-1][0] >> 8)) < contexts
-    return levels, whole
-
-
-def resolved(wanted: DataFrame, grams: DataFrame) -> DataFrame:
-    """(gram, value): log10 probabilities of the last bytes of the wanted 4-grams after the three before, from the counts of all contexts.
-
-    Of a context its counts' total and their number are enough, and the total that the shorter context has of the same symbols: these are
-    the ones excluded there.
-    """
-    ends = lambda k: F.col("gram").bitwiseAND(F.lit(256 ** (k + 1) - 1))
-    small = lambda k, df: F.broadcast(df) if k < 2 else df
-    levels = [grams.groupBy(ends(k).alias("gram")).agg(F.sum("n").alias("n")) for k in range(3)] + [grams]
+    if grams:
+        yield of_grams(*added(grams))
+
+
+def least_count(df: DataFrame, count: str, weight: Column, most: int) -> tuple[int, bool]:
+    """The least count such that rows of at least that count weigh no more than `most` together, and whether that is all rows. A histogram
+    of a few hundred steps of the count is all that comes to the driver."""
+    step = F.floor(F.log2(F.col(count)) * 16).alias("step")
+    steps = df.groupBy(step).agg(F.sum(weight).alias("weight"), F.min(count).alias("least")).orderBy(F.desc("step")).collect()
+    least, sum_ = 1 << 62, 0
+    for row in steps:
+        sum_ += row["weight"]
+        if sum_ > most:
+            return least, False
+        least = row["least"]
+    return least, True
+
+
+def trie_tables(grams: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The whole trie, written: (k, gram, n) of all orders, and (k, context, total, distinct, same)."""
+    low = lambda k: F.col("gram").bitwiseAND(F.lit(256 ** (k + 1) - 1))
+    levels = grams.select(F.lit(ORDER).alias("k"), "gram", "n")
+    for k in range(ORDER):
+        levels = levels.unionByName(grams.groupBy(low(k).alias("gram")).agg(F.sum("n").alias("n")).select(F.lit(k).alias("k"), "gram", "n"))
+    levels = written(levels, folder, "levels")
+    masks = F.element_at(F.array(*(F.lit(256**k - 1) for k in range(ORDER + 1))), F.col("k") + 1)
+    shorter = levels.select((F.col("k") + 1).alias("k"), F.col("gram").alias("up"), F.col("n").alias("up_n"))
+    up = levels.withColumn("up", F.col("gram").bitwiseAND(masks)).join(shorter, ["k", "up"], "left")
+    contexts = up.groupBy("k", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("distinct"), F.sum(F.coalesce("up_n", F.lit(0))).alias("same"))
+    return levels, written(contexts, folder, "contexts")
+
+
+def read_table(uri: str):
+    from pyarrow import dataset
+    from pyarrow.fs import FileSelector
+
+    fs, root = open_shared(uri)
+    files = sorted(f.path for f in fs.get_file_info(FileSelector(root)) if f.path.endswith(".parquet"))
+    return dataset.dataset(files, filesystem=fs, format="parquet").to_table()
+
+
+def read_model(folder: str, whole: bool) -> tuple[Trie, dict[bytes, int]]:
+    """The frequent part of the trie and the frequent tokens, as a worker has them."""
+    contexts, grams, tokens = (read_table(f"{folder}/{name}") for name in ("top_contexts", "top_grams", "top_tokens"))
+
+    def by_order(t: pa.Table, key: str, *columns: str) -> list[tuple]:
+        k, keys = t["k"].to_numpy(), t[key].to_numpy()
+        order = np.lexsort((keys, k))
+        ends = np.searchsorted(k[order], np.arange(ORDER + 2))
+        own = [keys[order], *(t[c].to_numpy().astype(np.float64)[order] for c in columns)]
+        return [tuple(x[a:b] for x in own) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    return Trie(by_order(contexts, "context", "total", "distinct", "same"), by_order(grams, "gram", "n"), whole), dict(zip(tokens["token"].to_pylist(), tokens["n"].to_pylist(), strict=True))
+
+
+def resolved(wanted: DataFrame, levels: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(gram, value): log10 probabilities of the last bytes of the wanted 6-grams after the bytes before, from the whole trie."""
     out = wanted.select("gram")
-    for k, level in enumerate(levels):
-        with_up = level.withColumn("up_n", F.lit(0)) if k == 0 else level.withColumn("up", ends(k - 1)).join(small(k - 1, levels[k - 1].select(F.col("gram").alias("up"), F.col("n").alias("up_n"))), "up")
-        of = with_up.groupBy(F.shiftright("gram", 8).alias(f"context{k}")).agg(F.sum("n").alias(f"total{k}"), F.count("*").alias(f"distinct{k}"), F.sum("up_n").alias(f"same{k}"))
-        out = out.withColumn(f"gram{k}", ends(k)).withColumn(f"context{k}", F.shiftright(f"gram{k}", 8))
-        out = out.join(small(k, of), f"context{k}", "left").join(small(k, level.select(F.col("gram").alias(f"gram{k}"), F.col("n").alias(f"n{k}"))), f"gram{k}", "left")
+    for k in range(ORDER + 1):
+        out = out.withColumn(f"gram{k}", F.col("gram").bitwiseAND(F.lit(256 ** (k + 1) - 1))).withColumn(f"context{k}", F.shiftright(f"gram{k}", 8))
+        of = contexts.where(F.col("k") == k).select(F.col("context").alias(f"context{k}"), *(F.col(c).alias(f"{c}{k}") for c in ("total", "distinct", "same")))
+        out = out.join(of, f"context{k}", "left").join(levels.where(F.col("k") == k).select(F.col("gram").alias(f"gram{k}"), F.col("n").alias(f"n{k}")), f"gram{k}", "left")
     value = -F.log10(256 - F.col("distinct0"))
-    for k in range(4):
-        gone, gone_distinct = (F.coalesce(f"same{k + 1}", F.lit(0)), F.coalesce(f"distinct{k + 1}", F.lit(0))) if k < 3 else (F.lit(0), F.lit(0))
+    for k in range(ORDER + 1):
+        gone, gone_distinct = (F.coalesce(f"same{k + 1}", F.lit(0)), F.coalesce(f"distinct{k + 1}", F.lit(0))) if k < ORDER else (F.lit(0), F.lit(0))
         distinct = F.col(f"distinct{k}") - gone_distinct
         left = F.col(f"total{k}") - gone + distinct
         value = F.when(F.col(f"n{k}") > 0, F.log10(F.col(f"n{k}") / left)).otherwise(F.when(distinct > 0, F.log10(distinct / left)).otherwise(0.0) + value)
     return out.select("gram", value.alias("value"))
 
 
-def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", train: Column | None = None, contexts: int = CONTEXTS, frequent: int = FREQUENT) -> DataFrame:
+def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", train: Column | None = None, grams: int = GRAMS, frequent: int = FREQUENT) -> DataFrame:
     """For every row of df: doc_id, n_tokens, n_known, train_tokens, base_score and score.
 
     train: a condition on df's columns; rows for which it holds are learnt from (default: all; null: not). The score is the log10
-    probability of the text by the trie of all contexts, however many `contexts` are sent to all workers, base_score that of its tokens by add-one smoothed counts: words `[^\x20\x09-\x0D]+` after
-    lower-casing A-Z, and one end. Null text counts as empty and has an end only. Repeated rows count as often as they are there. Without
-    training rows all probabilities are those of a model without counts (base_score then is 0, for lack of a vocabulary). Other columns
-    are not read; an empty table gives an empty result.
+    probability of the text by the whole trie, however many of its `grams` all workers read, base_score that of its tokens by add-one
+    smoothed counts: words `[^\x20\x09-\x0D]+` after lower-casing A-Z, and one end. Null text counts as empty and has an end only.
+    Repeated rows count as often as they are there. Without training rows all probabilities are those of a model without counts
+    (base_score then is 0, for lack of a vocabulary). Ids may be of any type; other columns are not read; an empty table gives an empty
+    result.
     """
     spark = df.sparkSession
     ship_code(spark)
@@ -280,66 +282,70 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
     learnt = df if train is None else df.where(train)
     counts = written(learnt.select(df[text_col].alias("t")).mapInArrow(counted, "gram long, token binary, n long").groupBy("gram", "token").agg(F.sum("n").alias("n")), folder, "counts")
     tokens = counts.where("gram is null").select("token", "n")
-    grams = counts.where("gram is not null").select("gram", "n")
-    levels, all_contexts = collected_levels(grams, contexts)
+    levels, contexts = trie_tables(counts.where("gram is not null").select("gram", "n"), folder)
+    least, whole_trie = least_count(contexts, "total", F.col("distinct"), grams)
+    top = contexts.where(F.col("total") >= least)
+    written(top, folder, "top_contexts")
+    written(levels.join(top.select("k", "context"), (F.shiftright("gram", 8) == F.col("context")) & (levels["k"] == top["k"]), "left_semi"), folder, "top_grams")
+    least, all_tokens = least_count(tokens, "n", F.lit(1), frequent)
+    written(tokens.where(F.col("n") >= least), folder, "top_tokens")
     train_tokens, distinct = (x or 0 for x in tokens.agg(F.sum("n"), F.count("*")).first())
-    top = tokens.orderBy(F.desc("n"), "token").limit(frequent).toArrow()
-    sent = spark.sparkContext.broadcast((folder, levels, [x.as_py() for x in top["token"]], top["n"].to_numpy()))
     whole = train_tokens + distinct + 1
+    id_type = df.schema[id_col].dataType.simpleString()
 
     def scan(batches):
-        name, levels, top_tokens, top_counts = sent.value
-        if name not in _models:
+        if folder not in _models:
             _models.clear()
-            _models[name] = (Trie(levels), dict(zip(top_tokens, top_counts.tolist(), strict=True)))
-        trie, known = _models[name]
+            _models[folder] = read_model(folder, whole_trie)
+        trie, known = _models[folder]
         get = known.get
-        for batch in chunks(batches, "t"):
+        for batch in chunks(batches, "t", STEP_BYTES):
             values = utf8_values(batch.column("t"))
             uids = batch.column("uid").to_pylist()
             n_tokens, n_known, base, tail = [], [], [], []
-            for uid, v in zip(uids, values, strict=True):
+            for v in values:
                 words = v.translate(LOWER_TABLE).split()
                 words.append(b"")
                 found = [get(w) for w in words]
-                rare = [w for w, c in zip(words, found, strict=True) if c is None]
+                rare = [] if all_tokens else [w for w, c in zip(words, found, strict=True) if c is None]
                 have = np.array([c for c in found if c is not None], np.float64)
                 n_tokens.append(len(words))
                 n_known.append(len(have))
-                base.append(float(np.log10((have + 1) / whole).sum()))
+                base.append(float(np.log10((have + 1) / whole).sum()) - (len(words) - len(have) - len(rare)) * math.log10(whole))
                 tail.append(list(Counter(rare).items()))
-            if all_contexts:
-                score, at, grams, times = trie.log10(values), *(np.zeros(0, np.int64) for _ in range(3))
-            else:
-                score, at, grams, times = trie.in_part(values)
+            score, at, keys, times = trie.scores(values)
             sizes = [len(x) for x in tail]
             n, m, g = len(values), sum(sizes), len(at)
             numbers = np.array(uids, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([numbers, np.repeat(numbers, sizes), numbers[at]])),
-                    pa.concat_arrays([batch.column("d").cast(pa.int64()), pa.nulls(m + g, pa.int64())]),
+                    pa.concat_arrays([batch.column("d"), pa.nulls(m + g, batch.column("d").type)]),
                     pa.array(n_tokens + [w[1] for x in tail for w in x] + times.tolist(), pa.int64()),
                     pa.concat_arrays([pa.array(n_known, pa.int64()), pa.nulls(m + g, pa.int64())]),
                     pa.concat_arrays([pa.array(base, pa.float64()), pa.nulls(m + g, pa.float64())]),
                     pa.concat_arrays([pa.array(score, pa.float64()), pa.nulls(m + g, pa.float64())]),
                     pa.array([None] * n + [w[0] for x in tail for w in x] + [None] * g, pa.binary()),
-                    pa.concat_arrays([pa.nulls(n + m, pa.int64()), pa.array(grams)]),
+                    pa.concat_arrays([pa.nulls(n + m, pa.int64()), pa.array(keys)]),
                 ],
                 ["uid", "doc_id", "n", "n_known", "base", "score", "token", "gram"],
             )
 
-    rows = df.select(df[id_col].cast("long").alias("d"), df[text_col].alias("t"), F.monotonically_increasing_id().alias("uid"))
-    rows = written(rows.mapInArrow(scan, "uid long, doc_id long, n long, n_known long, base double, score double, token binary, gram long"), folder, "scored")
-    rare = rows.where("token is not null").select("uid", "token", F.col("n").alias("times"))
-    rare = rare.join(tokens, "token", "left").groupBy("uid").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more"),
-        F.sum(F.col("times") * F.log10((F.coalesce(F.col("n"), F.lit(0)) + 1) / F.lit(float(whole)))).alias("rest"),
-    )
-    docs = rows.where("token is null and gram is null").select("uid", "doc_id", F.col("n").alias("n_tokens"), "n_known", "base", "score").join(rare, "uid", "left")
-    if not all_contexts:
+    rows = df.select(df[id_col].alias("d"), df[text_col].alias("t"), F.monotonically_increasing_id().alias("uid"))
+    rows = written(rows.mapInArrow(scan, f"uid long, doc_id {id_type}, n long, n_known long, base double, score double, token binary, gram long"), folder, "scored")
+    docs = rows.where("token is null and gram is null").select("uid", "doc_id", F.col("n").alias("n_tokens"), "n_known", "base", "score")
+    if all_tokens:
+        docs = docs.withColumns({"more": F.lit(0), "rest": F.lit(0.0)})
+    else:
+        rare = rows.where("token is not null").select("uid", "token", F.col("n").alias("times"))
+        rare = rare.join(tokens, "token", "left").groupBy("uid").agg(
+            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more"),
+            F.sum(F.col("times") * F.log10((F.coalesce(F.col("n"), F.lit(0)) + 1) / F.lit(float(whole)))).alias("rest"),
+        )
+        docs = docs.join(rare, "uid", "left")
+    if not whole_trie:
         beyond = rows.where("gram is not null").select("uid", "gram", F.col("n").alias("times"))
-        values = written(resolved(beyond.select("gram").distinct(), grams), folder, "resolved")
+        values = written(resolved(beyond.select("gram").distinct(), levels, contexts), folder, "resolved")
         beyond = beyond.join(values, "gram").groupBy("uid").agg(F.sum(F.col("times") * F.col("value")).alias("beyond"))
         docs = docs.join(beyond, "uid", "left").withColumn("score", F.col("score") + F.coalesce("beyond", F.lit(0.0)))
     return docs.select(
