@@ -116,6 +116,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it, whatever signs it has."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -160,3 +165,13 @@ def open_shared(uri: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
+
+
+def shared_dataset(uri: str):
+    """A table of the shared store as a pyarrow dataset, for Python workers."""
+    from pyarrow import dataset
+    from pyarrow.fs import FileSelector
+
+    fs, root = open_shared(uri)
+    files = sorted(f.path for f in fs.get_file_info(FileSelector(root)) if f.path.endswith(".parquet"))
+    return dataset.dataset(files, filesystem=fs, format="parquet")

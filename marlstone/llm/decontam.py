@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_TABLE, chunks, open_shared, shared_folder, ship_code, utf8_values, written
+from .common import ALNUM_TABLE, chunks, shared_dataset, shared_folder, ship_code, utf8_values, written
 
 #: Words of a window.
 WINDOW = 13
@@ -187,15 +187,10 @@ class Found:
 
 def blocks_in(uri: str, window: int):
     """The blocks of the test set in a folder; a single one is kept by the worker."""
-    from pyarrow import dataset
-    from pyarrow.fs import FileSelector
-
     if uri in _blocks:
         yield _blocks[uri]
         return
-    fs, root = open_shared(uri)
-    files = [f.path for f in fs.get_file_info(FileSelector(root)) if f.path.endswith(".parquet")]
-    whole = dataset.dataset(sorted(files), filesystem=fs, format="parquet")
+    whole = shared_dataset(uri)
     rows = whole.count_rows()
     for batch in whole.to_batches(batch_size=1):
         for row in batch.to_pylist():

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, Remembered, chunks, delete_tables, looked_up, shared_folder, ship_code, utf8_values, written
+from .common import LOWER_TABLE, Remembered, chunks, delete_tables, looked_up, quoted, shared_folder, ship_code, utf8_values, written
 from .dedup import heavy_digests
 
 #: Words of a shingle and the threshold in hundredths.
@@ -439,7 +439,7 @@ def first_of_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = jaccard_groups(df, id_col, text_col, words, percent).select("doc_id", "text_hash", "stays", "n_shingles")
     groups = written(groups, folder, "groups")
     names = [f"c{i}" for i in range(len(df.columns))]
-    rows = df.select(*(df[f"`{c}`"].alias(n) for c, n in zip(df.columns, names, strict=True)), df[id_col].alias("d"), text_key(df[text_col]).alias("h"))
+    rows = df.select(*(df[quoted(c)].alias(n) for c, n in zip(df.columns, names, strict=True)), df[id_col].alias("d"), text_key(df[text_col]).alias("h"))
     of = lambda x: (rows["h"] == x["text_hash"]) & rows["d"].eqNullSafe(x["doc_id"])
     gone = groups.where(~F.col("stays")).select("doc_id", "text_hash").distinct()
     kept = rows.join(gone, of(gone), "left_anti")

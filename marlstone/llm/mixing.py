@@ -13,7 +13,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import count_words, shared_folder, written
+from .common import count_words, quoted, shared_folder, written
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -94,7 +94,7 @@ def mix_decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def row_key(df: DataFrame, id_col: str) -> Column:
     """Tells rows apart by their id and a hash of all columns (but maps) and of which of them are null."""
-    plain = [df[f"`{f.name}`"] for f in df.schema if "map<" not in f.dataType.simpleString()]
+    plain = [df[quoted(f.name)] for f in df.schema if "map<" not in f.dataType.simpleString()]
     return F.concat_ws("|", F.hex(F.xxhash64(*plain, *(c.isNull() for c in plain))), df[id_col].cast("string"))
 
 
@@ -108,7 +108,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     drawn = drawn.groupBy("_key").agg(F.count("*").alias("_rows"), F.sum("copies").alias("_copies")).where("_copies > 0")
     drawn = written(drawn, shared_folder(df.sparkSession), "drawn")
     names = [f"c{i}" for i in range(len(df.columns))]
-    rows = df.select(*(df[f"`{c}`"].alias(n) for c, n in zip(df.columns, names, strict=True)), row_key(df, id_col).alias("_key"))
+    rows = df.select(*(df[quoted(c)].alias(n) for c, n in zip(df.columns, names, strict=True)), row_key(df, id_col).alias("_key"))
     copies = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("_copy")
     mixed = rows.join(drawn.where("_rows = 1").hint("shuffle_hash"), "_key").select(*names, copies(F.col("_copies")))
     repeated = drawn.where("_rows > 1")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, ship_code, utf8_values
+from .common import chunks, quoted, ship_code, utf8_values
 
 #: Labelled rows that the classifier is fitted on, chosen by a hash of their id; the bound of what the driver collects.
 SAMPLE = 20_000
@@ -63,7 +63,7 @@ def with_statistics(df: DataFrame, keep: dict[str, Column], text_col: str = "tex
     ship_code(df.sparkSession)
     names = [f"k{i}" for i in range(len(keep))]
     text = names[list(keep).index(text_col)] if text_col in keep else "t"
-    chosen = df.select(*(c.alias(n) for n, c in zip(names, keep.values(), strict=True)), *([] if text in names else [df[f"`{text_col}`"].alias("t")]))
+    chosen = df.select(*(c.alias(n) for n, c in zip(names, keep.values(), strict=True)), *([] if text in names else [df[quoted(text_col)].alias("t")]))
     found_names = [f"_s_{s}" for s in STATISTICS]
 
     def scan(batches):
@@ -209,5 +209,5 @@ def score(df: DataFrame, model: RuleEnsemble, keep: dict[str, Column], text_col:
 def keep_good(df: DataFrame, model: RuleEnsemble, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of df, with all their columns, whose score is at least the threshold. Null and empty texts are scored as empty ones; rows
     that repeat share their fate; columns may have any names."""
-    scored = with_statistics(df, {c: df[f"`{c}`"] for c in df.columns}, text_col)
+    scored = with_statistics(df, {c: df[quoted(c)] for c in df.columns}, text_col)
     return scored.where(model.score() >= threshold).select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(df.columns)))

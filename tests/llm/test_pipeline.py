@@ -42,10 +42,34 @@ def test_quality_stage(spark, small, steps):
 def test_near_duplicate_stage(steps):
     before, after = steps["n-gram Jaccard join"]
     whole = rows_of(before)
-    stay = {d for d, _, c in brute_groups([r[:2] for r in whole]) if d == c}
+    stay = {d for d, _, c in brute_groups([r[:2] for r in whole], 5, 80) if d == c}
     assert Counter(rows_of(after)) == Counter(r for r in whole if str(r[0]) in stay)
 
 
+def test_near_duplicates_by_row(spark, small):
+    """Ids that are null or repeated drop no unrelated text; copies go whatever their ids; texts without words all stay."""
+    text = lambda k: " ".join(f"{k}{i}" for i in range(30))
+    rows = [
+        (1, text("a"), "keep"), (None, text("b"), "keep"), (None, text("a") + " more", "copy"), (5, text("c"), "keep"), (5, text("d"), "keep"), (7, text("c"), "copy"), (None, text("b"), "same"),
+        (8, text("e"), "keep"), (8, text("e"), "same"), (9, "", "keep"), (9, "", "keep"), (None, None, "keep"), (10, text("d").replace("d3 ", "x "), "copy"), (0, text("f"), "keep"), (None, text("f"), "copy"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, note string").repartition(3)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, small).collect()
+    got = Counter((r["doc_id"], r["text"]) for r in kept)
+    assert got == Counter(dict.fromkeys(((d, t) for d, t, n in rows if n == "keep"), 1)) + Counter([(9, "")])
+
+
+def test_columns_of_any_name(spark, small):
+    """Names that stages use inside, dotted and quoted ones, pass through every stage."""
+    names = ["_quality_score", "_s_bytes", "k0", "t", "d", "h", "c0", "_key", "_copy", "row", "stays", "a.b", "x`y", "label", "_d"]
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(60).select("*", *(F.lit(i).alias(n) for i, n in enumerate(names)))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, small)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(list(r)[len(ROWS) :] == list(range(len(names))) for r in rows)
+
+
 def test_benchmark_stage(spark, small, steps):
     before, after = steps["benchmark decontamination"]
     whole = rows_of(before)
