@@ -18,14 +18,15 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, chunks, open_shared, shared_folder, ship_code, utf8_values, written
+from .common import chunks, shared_dataset, shared_folder, ship_code, utf8_values, written
 
 ORDER = 5
-#: Symbols of contexts, of all orders, that all workers read (16 bytes each); the rest of the trie is joined.
-GRAMS = 1_200_000
+#: Symbols of contexts, of all orders, that all workers read (16 bytes each, and 32 for a context); the rest of the trie is joined.
+GRAMS = 3_000_000
 #: Most frequent tokens whose counts all workers read; the counts of all others are joined.
 FREQUENT = 150_000
 #: Distinct tokens or 6-grams that a worker holds before it passes its counts on.
@@ -167,6 +168,22 @@ def adaptive_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return df.select(df[id_col].alias("d"), df[text_col].alias("t")).mapInArrow(scan, f"doc_id {df.schema[id_col].dataType.simpleString()}, score double")
 
 
+def token_codes(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct tokens of the texts, the end among them, each token's place among these, text after text, and the tokens of each text.
+    Tokens are told apart by Arrow; null is empty."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = lists.flatten().dictionary_encode()
+    tokens = coded.dictionary.cast(pa.binary() if pa.types.is_string(coded.dictionary.type) else pa.large_binary()).to_pylist()
+    # White space at the ends of a text leaves an empty token; the end of a text is the empty token too, so that one is told by place.
+    codes, sizes = coded.indices.to_numpy().astype(np.int64), lists.value_lengths().to_numpy().astype(np.int64)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    if b"" in tokens:
+        real = codes != tokens.index(b"")
+        codes, text = codes[real], text[real]
+    sizes = np.bincount(text, minlength=len(sizes))
+    return [*tokens, b""], np.insert(codes, np.cumsum(sizes), len(tokens)), sizes + 1
+
+
 def counted(batches):
     """Training texts (t) to partial counts: (gram, token, n), one of gram and token being null; the token of an end is empty."""
     tokens: Counter = Counter()
@@ -181,11 +198,11 @@ def counted(batches):
         return pa.RecordBatch.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.binary()), pa.array(counts)], ["gram", "token", "n"])
 
     for batch in chunks(batches, "t", STEP_BYTES):
-        values = utf8_values(batch.column("t"))
-        for v in values:
-            tokens.update(v.translate(LOWER_TABLE).split())
-        tokens[b""] += len(values)
-        new = np.sort(gram_keys(values)[0])
+        names, codes, _ = token_codes(batch.column("t"))
+        for name, n in zip(names, np.bincount(codes, minlength=len(names)).tolist(), strict=True):
+            if n:
+                tokens[name] += n
+        new = np.sort(gram_keys(utf8_values(batch.column("t")))[0])
         first = np.flatnonzero(np.concatenate([[True], new[1:] != new[:-1]]))
         grams.append((new[first], np.diff(np.append(first, len(new)))))
         if len(tokens) > HELD:
@@ -227,18 +244,9 @@ def trie_tables(grams: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     return levels, written(contexts, folder, "contexts")
 
 
-def read_table(uri: str):
-    from pyarrow import dataset
-    from pyarrow.fs import FileSelector
-
-    fs, root = open_shared(uri)
-    files = sorted(f.path for f in fs.get_file_info(FileSelector(root)) if f.path.endswith(".parquet"))
-    return dataset.dataset(files, filesystem=fs, format="parquet").to_table()
-
-
 def read_model(folder: str, whole: bool) -> tuple[Trie, dict[bytes, int]]:
     """The frequent part of the trie and the frequent tokens, as a worker has them."""
-    contexts, grams, tokens = (read_table(f"{folder}/{name}") for name in ("top_contexts", "top_grams", "top_tokens"))
+    contexts, grams, tokens = (shared_dataset(f"{folder}/{name}").to_table() for name in ("top_contexts", "top_grams", "top_tokens"))
 
     def by_order(t: pa.Table, key: str, *columns: str) -> list[tuple]:
         k, keys = t["k"].to_numpy(), t[key].to_numpy()
@@ -298,34 +306,31 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
             _models.clear()
             _models[folder] = read_model(folder, whole_trie)
         trie, known = _models[folder]
-        get = known.get
         for batch in chunks(batches, "t", STEP_BYTES):
-            values = utf8_values(batch.column("t"))
-            uids = batch.column("uid").to_pylist()
-            n_tokens, n_known, base, tail = [], [], [], []
-            for v in values:
-                words = v.translate(LOWER_TABLE).split()
-                words.append(b"")
-                found = [get(w) for w in words]
-                rare = [] if all_tokens else [w for w, c in zip(words, found, strict=True) if c is None]
-                have = np.array([c for c in found if c is not None], np.float64)
-                n_tokens.append(len(words))
-                n_known.append(len(have))
-                base.append(float(np.log10((have + 1) / whole).sum()) - (len(words) - len(have) - len(rare)) * math.log10(whole))
-                tail.append(list(Counter(rare).items()))
-            score, at, keys, times = trie.scores(values)
-            sizes = [len(x) for x in tail]
-            n, m, g = len(values), sum(sizes), len(at)
-            numbers = np.array(uids, np.int64)
+            names, codes, sizes = token_codes(batch.column("t"))
+            count = np.array([known.get(w, -1) for w in names], np.float64)
+            begin = np.cumsum(sizes) - sizes
+            own = np.log10((np.maximum(count, 0) + 1) / whole)
+            # A token that may have a count elsewhere is left to the join; if all tokens are here, it has none.
+            away = (count < 0) & (not all_tokens)
+            base = np.add.reduceat(np.where(away, 0.0, own)[codes], begin) if len(begin) else np.zeros(0)
+            n_known = np.add.reduceat((count >= 0)[codes].astype(np.int64), begin) if len(begin) else np.zeros(0, np.int64)
+            rare = np.flatnonzero(away[codes])
+            pair, often = np.unique(np.searchsorted(begin, rare, "right") * len(names) + codes[rare], return_counts=True)
+            of_text, of_name = pair // len(names) - 1, pair % len(names)
+            score, at, keys, times = trie.scores(utf8_values(batch.column("t")))
+            n, m, g = batch.num_rows, len(pair), len(at)
+            numbers = batch.column("uid").to_numpy()
+            tokens = pa.array(names, pa.binary()).take(pa.array(of_name))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([numbers, np.repeat(numbers, sizes), numbers[at]])),
+                    pa.array(np.concatenate([numbers, numbers[of_text], numbers[at]])),
                     pa.concat_arrays([batch.column("d"), pa.nulls(m + g, batch.column("d").type)]),
-                    pa.array(n_tokens + [w[1] for x in tail for w in x] + times.tolist(), pa.int64()),
-                    pa.concat_arrays([pa.array(n_known, pa.int64()), pa.nulls(m + g, pa.int64())]),
-                    pa.concat_arrays([pa.array(base, pa.float64()), pa.nulls(m + g, pa.float64())]),
+                    pa.array(np.concatenate([sizes, often, times]).astype(np.int64)),
+                    pa.concat_arrays([pa.array(n_known), pa.nulls(m + g, pa.int64())]),
+                    pa.concat_arrays([pa.array(base), pa.nulls(m + g, pa.float64())]),
                     pa.concat_arrays([pa.array(score, pa.float64()), pa.nulls(m + g, pa.float64())]),
-                    pa.array([None] * n + [w[0] for x in tail for w in x] + [None] * g, pa.binary()),
+                    pa.concat_arrays([pa.nulls(n, pa.binary()), tokens, pa.nulls(g, pa.binary())]),
                     pa.concat_arrays([pa.nulls(n + m, pa.int64()), pa.array(keys)]),
                 ],
                 ["uid", "doc_id", "n", "n_known", "base", "score", "token", "gram"],
