@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_TABLE, chunks, shared_dataset, shared_folder, ship_code, utf8_values, written
+from .common import ALNUM_TABLE, chunks, quoted, shared_dataset, shared_folder, ship_code, utf8_values, written
 
 #: Words of a window.
 WINDOW = 13
@@ -277,14 +277,15 @@ def remove_contaminated(df: DataFrame, benchmark: DataFrame, text_col: str = "te
     """The rows of df, with all their columns, that are not contaminated; one pass over df, whatever the size of the test set."""
     ship_code(df.sparkSession)
     uri = write_test_set(benchmark, item_col, item_text, block_bytes)
+    names = [f"c{i}" for i in range(len(df.columns))]
     at = df.columns.index(text_col)
 
     def scan(batches):
         for batch in batches:
-            # Chunks are of texts alone: columns may have any names.
             for part in chunks([pa.RecordBatch.from_arrays([batch.column(at), pa.array(np.arange(batch.num_rows))], ["t", "row"])], "t"):
                 n_words, n_hit, _, _ = searched(utf8_values(part.column("t")), blocks_in(uri, window))
                 stay = np.flatnonzero((n_hit == 0) | (one_in * n_hit < n_words))
                 yield batch.take(pa.array(part.column("row").to_numpy()[stay]))
 
-    return df.mapInArrow(scan, df.schema)
+    rows = df.select(*(df[quoted(c)].alias(n) for c, n in zip(df.columns, names, strict=True)))
+    return rows.mapInArrow(scan, rows.schema).select(*(F.col(n).alias(c) for n, c in zip(names, df.columns, strict=True)))

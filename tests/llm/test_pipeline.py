@@ -51,7 +51,7 @@ def test_near_duplicates_by_row(spark, small):
     text = lambda k: " ".join(f"{k}{i}" for i in range(30))
     rows = [
         (1, text("a"), "keep"), (None, text("b"), "keep"), (None, text("a") + " more", "copy"), (5, text("c"), "keep"), (5, text("d"), "keep"), (7, text("c"), "copy"), (None, text("b"), "same"),
-        (8, text("e"), "keep"), (8, text("e"), "same"), (9, "", "keep"), (9, "", "keep"), (None, None, "keep"), (10, text("d").replace("d3 ", "x "), "copy"), (0, text("f"), "keep"), (None, text("f"), "copy"),
+        (8, text("e"), "keep"), (8, text("e"), "same"), (9, "", "keep"), (9, "", "keep"), (None, None, "keep"), (10, text("d").replace("d29", "x"), "copy"), (0, text("f"), "keep"), (None, text("f"), "copy"),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, note string").repartition(3)
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, small).collect()
