@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -146,8 +147,16 @@ def utf8_values(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()]
 
 
+def return_memory() -> None:
+    """Gives freed memory back to the system: workers outlive the tasks that needed it, and share an executor's memory. Where the C library
+    has no such call, it keeps what it has."""
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def chunks(batches, text: str, limit: int = CHUNK_BYTES):
-    """Arrow batches cut so that each holds about `limit` bytes of text, or one row."""
+    """Arrow batches cut so that each holds about `limit` bytes of text, or one row. After the last one freed memory is given back."""
     for batch in batches:
         sizes = [0 if x is None else x for x in pa.compute.binary_length(batch.column(text)).to_pylist()]
         start, held = 0, 0
@@ -158,6 +167,13 @@ def chunks(batches, text: str, limit: int = CHUNK_BYTES):
             held += n
         if start < len(sizes):
             yield batch.slice(start)
+    return_memory()
+
+
+def in_parts(batch: pa.RecordBatch, rows: int = 100_000):
+    """A large batch in parts: the JVM holds a whole one outside its heap."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
 
 
 def open_shared(uri: str):

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, shared_dataset, shared_folder, ship_code, utf8_values, written
+from .common import chunks, in_parts, return_memory, shared_dataset, shared_folder, ship_code, utf8_values, written
 
 ORDER = 5
 #: Symbols of contexts, of all orders, that all workers read (16 bytes each, and 32 for a context); the rest of the trie is joined.
@@ -32,7 +32,7 @@ FREQUENT = 150_000
 #: Distinct tokens or 6-grams that a worker holds before it passes its counts on.
 HELD = 300_000
 #: Bytes of text that one step takes.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 
 _models: dict[str, object] = {}
 
@@ -83,31 +83,28 @@ class Trie:
 
     def values(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of each 6-gram's last byte after the others; NaN where a context is not here but may be in the trie."""
-        value, done = np.zeros(len(keys)), np.zeros(len(keys), bool)
+        value = np.zeros(len(keys))
+        rest = np.arange(len(keys))  # those that no context has settled
         same, seen = np.zeros(len(keys)), np.zeros(len(keys))
         for k in range(ORDER, -1, -1):
-            gram = keys & (256 ** (k + 1) - 1)
+            gram = keys[rest] & (256 ** (k + 1) - 1)
             at, there = looked_for(self.contexts[k][0], gram >> 8)
-            there &= ~done
             if not self.whole:
-                lost = ~there & ~done
-                value[lost] = np.nan
-                done |= lost
+                value[rest[~there]] = np.nan
+                rest, gram, at, same, seen, there = (x[there] for x in (rest, gram, at, same, seen, there))
             _, total, distinct, shared = self.contexts[k]
             if not len(total):
                 continue
-            left = distinct[at] - seen
-            room = total[at] - same + left
+            left = np.where(there, distinct[at] - seen, 0)
+            room = np.where(there, total[at] - same + left, 1)
             spot, hit = looked_for(self.grams[k][0], gram)
-            hit &= there
             if len(self.grams[k][1]):
-                value[hit] += np.log10(self.grams[k][1][spot[hit]] / room[hit])
-            done |= hit
-            missed = there & ~hit
-            escape = missed & (left > 0)
-            value[escape] += np.log10(left[escape] / room[escape])
-            same, seen = np.where(missed, shared[at], same), np.where(missed, distinct[at], seen)
-        value[~done] -= np.log10(256 - seen[~done])
+                value[rest[hit]] += np.log10(self.grams[k][1][spot[hit]] / room[hit])
+            escape = (left > 0) & ~hit
+            value[rest[escape]] += np.log10(left[escape] / room[escape])
+            same, seen = np.where(there, shared[at], same), np.where(there, distinct[at], seen)
+            rest, same, seen = rest[~hit], same[~hit], seen[~hit]
+        value[rest] -= np.log10(256 - seen)
         return value
 
     def scores(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -206,14 +203,16 @@ def counted(batches):
         first = np.flatnonzero(np.concatenate([[True], new[1:] != new[:-1]]))
         grams.append((new[first], np.diff(np.append(first, len(new)))))
         if len(tokens) > HELD:
-            yield of_tokens()
-        if sum(len(x) for x, _ in grams) > 8 * HELD:
+            yield from in_parts(of_tokens())
+        if sum(len(x) for x, _ in grams) > 4 * HELD:
             grams = [added(grams)]
-            if len(grams[0][0]) > 4 * HELD:
-                yield of_grams(*grams.pop())
-    yield of_tokens()
+            if len(grams[0][0]) > 2 * HELD:
+                yield from in_parts(of_grams(*grams.pop()))
+    yield from in_parts(of_tokens())
     if grams:
-        yield of_grams(*added(grams))
+        yield from in_parts(of_grams(*added(grams)))
+    tokens, grams = Counter(), []
+    return_memory()
 
 
 def least_count(df: DataFrame, count: str, weight: Column, most: int) -> tuple[int, bool]:
@@ -246,16 +245,18 @@ def trie_tables(grams: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
 
 def read_model(folder: str, whole: bool) -> tuple[Trie, dict[bytes, int]]:
     """The frequent part of the trie and the frequent tokens, as a worker has them."""
-    contexts, grams, tokens = (shared_dataset(f"{folder}/{name}").to_table() for name in ("top_contexts", "top_grams", "top_tokens"))
 
-    def by_order(t: pa.Table, key: str, *columns: str) -> list[tuple]:
-        k, keys = t["k"].to_numpy(), t[key].to_numpy()
-        order = np.lexsort((keys, k))
-        ends = np.searchsorted(k[order], np.arange(ORDER + 2))
-        own = [keys[order], *(t[c].to_numpy().astype(np.float64)[order] for c in columns)]
-        return [tuple(x[a:b] for x in own) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    def by_order(name: str, key: str, *columns: str) -> list[tuple]:
+        found, whole_table = [], shared_dataset(f"{folder}/{name}")
+        for k in range(ORDER + 1):
+            t = whole_table.to_table(columns=[key, *columns], filter=pc.field("k") == k)
+            order = np.argsort(t[key].to_numpy())
+            found.append((t[key].to_numpy()[order], *(t[c].to_numpy()[order].astype(np.float64) for c in columns)))
+        return found
 
-    return Trie(by_order(contexts, "context", "total", "distinct", "same"), by_order(grams, "gram", "n"), whole), dict(zip(tokens["token"].to_pylist(), tokens["n"].to_pylist(), strict=True))
+    tokens = shared_dataset(f"{folder}/top_tokens").to_table()
+    known = dict(zip(tokens["token"].to_pylist(), tokens["n"].to_pylist(), strict=True))
+    return Trie(by_order("top_contexts", "context", "total", "distinct", "same"), by_order("top_grams", "gram", "n"), whole), known
 
 
 def resolved(wanted: DataFrame, levels: DataFrame, contexts: DataFrame) -> DataFrame:
@@ -305,6 +306,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
         if folder not in _models:
             _models.clear()
             _models[folder] = read_model(folder, whole_trie)
+            return_memory()
         trie, known = _models[folder]
         for batch in chunks(batches, "t", STEP_BYTES):
             names, codes, sizes = token_codes(batch.column("t"))
