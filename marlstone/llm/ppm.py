@@ -14,7 +14,6 @@ The distinct 6-grams at all other places are counted by text and joined with the
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -165,53 +164,58 @@ def adaptive_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return df.select(df[id_col].alias("d"), df[text_col].alias("t")).mapInArrow(scan, f"doc_id {df.schema[id_col].dataType.simpleString()}, score double")
 
 
-def token_codes(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The distinct tokens of the texts, the end among them, each token's place among these, text after text, and the tokens of each text.
+def token_codes(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct tokens of the texts, the end as the last, each token's place among these, text after text, and the tokens of each text.
     Tokens are told apart by Arrow; null is empty."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     coded = lists.flatten().dictionary_encode()
-    tokens = coded.dictionary.cast(pa.binary() if pa.types.is_string(coded.dictionary.type) else pa.large_binary()).to_pylist()
-    # White space at the ends of a text leaves an empty token; the end of a text is the empty token too, so that one is told by place.
+    kind = pa.binary() if pa.types.is_string(coded.dictionary.type) else pa.large_binary()
+    tokens = coded.dictionary.cast(kind)
+    # White space at the ends of a text leaves an empty token; the end of a text is an empty token too, but told by its place.
     codes, sizes = coded.indices.to_numpy().astype(np.int64), lists.value_lengths().to_numpy().astype(np.int64)
     text = np.repeat(np.arange(len(sizes)), sizes)
-    if b"" in tokens:
-        real = codes != tokens.index(b"")
+    if (blank := pc.index(tokens, pa.scalar(b"", kind)).as_py()) >= 0:
+        real = codes != blank
         codes, text = codes[real], text[real]
     sizes = np.bincount(text, minlength=len(sizes))
-    return [*tokens, b""], np.insert(codes, np.cumsum(sizes), len(tokens)), sizes + 1
+    return pa.concat_arrays([tokens, pa.array([b""], kind)]), np.insert(codes, np.cumsum(sizes), len(tokens)), sizes + 1
 
 
 def counted(batches):
     """Training texts (t) to partial counts: (gram, token, n), one of gram and token being null; the token of an end is empty."""
-    tokens: Counter = Counter()
+    tokens: list[pa.Table] = []
     grams: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def of_tokens():
-        out = pa.RecordBatch.from_arrays([pa.nulls(len(tokens), pa.int64()), pa.array(list(tokens), pa.binary()), pa.array(list(tokens.values()), pa.int64())], ["gram", "token", "n"])
-        tokens.clear()
-        return out
+    def added_tokens() -> pa.Table:
+        return pa.concat_tables(tokens).group_by("token").aggregate([("n", "sum")]).rename_columns(["token", "n"])
+
+    def of_tokens(t: pa.Table):
+        token, n = (t[c].combine_chunks() for c in ("token", "n"))
+        return pa.RecordBatch.from_arrays([pa.nulls(len(t), pa.int64()), token.cast(pa.binary()), n], ["gram", "token", "n"])
 
     def of_grams(keys, counts):
         return pa.RecordBatch.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.binary()), pa.array(counts)], ["gram", "token", "n"])
 
     for batch in chunks(batches, "t", STEP_BYTES):
         names, codes, _ = token_codes(batch.column("t"))
-        for name, n in zip(names, np.bincount(codes, minlength=len(names)).tolist(), strict=True):
-            if n:
-                tokens[name] += n
+        n = np.bincount(codes, minlength=len(names))
+        tokens.append(pa.table({"token": names, "n": n}).filter(pa.array(n > 0)))
         new = np.sort(gram_keys(utf8_values(batch.column("t")))[0])
         first = np.flatnonzero(np.concatenate([[True], new[1:] != new[:-1]]))
         grams.append((new[first], np.diff(np.append(first, len(new)))))
-        if len(tokens) > HELD:
-            yield from in_parts(of_tokens())
+        if sum(map(len, tokens)) > 2 * HELD:
+            tokens = [added_tokens()]
+            if len(tokens[0]) > HELD:
+                yield from in_parts(of_tokens(tokens.pop()))
         if sum(len(x) for x, _ in grams) > 4 * HELD:
             grams = [added(grams)]
             if len(grams[0][0]) > 2 * HELD:
                 yield from in_parts(of_grams(*grams.pop()))
-    yield from in_parts(of_tokens())
+    if tokens:
+        yield from in_parts(of_tokens(added_tokens()))
     if grams:
         yield from in_parts(of_grams(*added(grams)))
-    tokens, grams = Counter(), []
+    tokens, grams = [], []
     return_memory()
 
 
@@ -310,7 +314,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
         trie, known = _models[folder]
         for batch in chunks(batches, "t", STEP_BYTES):
             names, codes, sizes = token_codes(batch.column("t"))
-            count = np.array([known.get(w, -1) for w in names], np.float64)
+            count = np.array([known.get(w, -1) for w in names.to_pylist()], np.float64)
             begin = np.cumsum(sizes) - sizes
             own = np.log10((np.maximum(count, 0) + 1) / whole)
             # A token that may have a count elsewhere is left to the join; if all tokens are here, it has none.
@@ -323,7 +327,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
             score, at, keys, times = trie.scores(utf8_values(batch.column("t")))
             n, m, g = batch.num_rows, len(pair), len(at)
             numbers = batch.column("uid").to_numpy()
-            tokens = pa.array(names, pa.binary()).take(pa.array(of_name))
+            tokens = names.take(pa.array(of_name)).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([numbers, numbers[of_text], numbers[at]])),

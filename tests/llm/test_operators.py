@@ -541,6 +541,22 @@ def test_adaptive(spark):
     assert len(got) == 10 and all(r["score"] < 0 for r in got)
 
 
+def test_token_counts_of_slices(small):
+    """Texts in slices of a batch, with white space at their ends, nulls and empty ones, against counting word by word."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table(f"{small}/documents.parquet")["text"].to_pylist() + ["", None, " A\ta\n", "\x0b", "é É"]
+    batch = pa.record_batch([pa.array(["skip", *texts], pa.string())], ["t"]).slice(1)
+    want = Counter(w for t in texts for w in [*re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode())), b""])
+    got = Counter()
+    for out in ppm.counted([batch.slice(i, 37) for i in range(0, len(texts), 37)]):
+        for token, n in zip(out.column("token").to_pylist(), out.column("n").to_pylist(), strict=True):
+            if token is not None:
+                got[token] += n
+    assert got == want
+
+
 @pytest.mark.parametrize("frequent", [150_000, 5])
 def test_base_scores(spark, small, frequent):
     docs = documents(spark, small).select("doc_id", "text").unionByName(odd(spark).select("doc_id", "text"))
