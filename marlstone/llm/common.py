@@ -156,7 +156,7 @@ def return_memory() -> None:
 
 
 def chunks(batches, text: str, limit: int = CHUNK_BYTES):
-    """Arrow batches cut so that each holds about `limit` bytes of text, or one row. After the last one freed memory is given back."""
+    """Arrow batches cut so that each holds about `limit` bytes of text, or one row. After each of the batches freed memory is given back."""
     for batch in batches:
         sizes = [0 if x is None else x for x in pa.compute.binary_length(batch.column(text)).to_pylist()]
         start, held = 0, 0
@@ -167,7 +167,7 @@ def chunks(batches, text: str, limit: int = CHUNK_BYTES):
             held += n
         if start < len(sizes):
             yield batch.slice(start)
-    return_memory()
+        return_memory()
 
 
 def in_parts(batch: pa.RecordBatch, rows: int = 100_000):

@@ -27,11 +27,11 @@ ORDER = 5
 #: Symbols of contexts, of all orders, that all workers read (16 bytes each, and 32 for a context); the rest of the trie is joined.
 GRAMS = 3_000_000
 #: Most frequent tokens whose counts all workers read; the counts of all others are joined.
-FREQUENT = 150_000
+FREQUENT = 100_000
 #: Distinct tokens or 6-grams that a worker holds before it passes its counts on.
-HELD = 300_000
+HELD = 200_000
 #: Bytes of text that one step takes.
-STEP_BYTES = 1_000_000
+STEP_BYTES = 600_000
 
 _models: dict[str, object] = {}
 
@@ -94,7 +94,7 @@ class Trie:
             _, total, distinct, shared = self.contexts[k]
             if not len(total):
                 continue
-            left = np.where(there, distinct[at] - seen, 0)
+            left = np.where(there, distinct[at] - seen, 0.0)
             room = np.where(there, total[at] - same + left, 1)
             spot, hit = looked_for(self.grams[k][0], gram)
             if len(self.grams[k][1]):
@@ -187,7 +187,7 @@ def counted(batches):
     grams: list[tuple[np.ndarray, np.ndarray]] = []
 
     def added_tokens() -> pa.Table:
-        return pa.concat_tables(tokens).group_by("token").aggregate([("n", "sum")]).rename_columns(["token", "n"])
+        return pa.concat_tables(tokens).group_by("token", use_threads=False).aggregate([("n", "sum")]).rename_columns(["token", "n"])
 
     def of_tokens(t: pa.Table):
         token, n = (t[c].combine_chunks() for c in ("token", "n"))
@@ -253,12 +253,16 @@ def read_model(folder: str, whole: bool) -> tuple[Trie, dict[bytes, int]]:
     def by_order(name: str, key: str, *columns: str) -> list[tuple]:
         found, whole_table = [], shared_dataset(f"{folder}/{name}")
         for k in range(ORDER + 1):
-            t = whole_table.to_table(columns=[key, *columns], filter=pc.field("k") == k)
+            t = whole_table.to_table(columns=[key, *columns], filter=pc.field("k") == k, use_threads=False, memory_pool=pa.system_memory_pool())
             order = np.argsort(t[key].to_numpy())
-            found.append((t[key].to_numpy()[order], *(t[c].to_numpy()[order].astype(np.float64) for c in columns)))
+            # Counts that fit take half the room.
+            small = [t[c].to_numpy() for c in columns]
+            small = [x.astype(np.int32) if len(x) and x.max() < 1 << 31 else x for x in small]
+            found.append((t[key].to_numpy()[order], *(x[order] for x in small)))
+            del t
         return found
 
-    tokens = shared_dataset(f"{folder}/top_tokens").to_table()
+    tokens = shared_dataset(f"{folder}/top_tokens").to_table(use_threads=False)
     known = dict(zip(tokens["token"].to_pylist(), tokens["n"].to_pylist(), strict=True))
     return Trie(by_order("top_contexts", "context", "total", "distinct", "same"), by_order("top_grams", "gram", "n"), whole), known
 
