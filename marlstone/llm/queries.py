@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, dedup, html, jaccard, license, mixing, pii, ppm, quality, tokens
+from . import bpe, decontam, dedup, divergence, drake, html, jaccard, license, mixing, pii, ppm, quality, tokens
 from .common import remainder, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -60,8 +60,23 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op11_drake_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drake.cluster_report(table(spark, sf_dir, "embeddings")).drop("moved_in")
+
+
+def op12_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER), TOKENIZER))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_pii_pseudonyms, op2_quality_rules, op3_systematic_mix, op4_exact_dedup, op5_suffix_decontamination, op6_pfor_tokens, op7_license_diagonals, op8_html_text, op9_ppm_scores, op10_jaccard_join)
+    found = (
+        op1_pii_pseudonyms, op2_quality_rules, op3_systematic_mix, op4_exact_dedup, op5_suffix_decontamination, op6_pfor_tokens, op7_license_diagonals, op8_html_text, op9_ppm_scores,
+        op10_jaccard_join, op11_drake_clusters, op12_bpe_transducer, op13_source_divergence,
+    )
     return {f.__name__: f for f in found}
 
 
@@ -193,33 +208,66 @@ from words w left join sizes using (doc_id) left join components using (doc_id)
 """
 
 
-OP10_SQL = r"""
-with recursive words as (
-  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
-), shingles as (
-  select distinct doc_id, array_to_string(w[i:i + 3], ' ') as s
-  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i from words where len(w) > 0)
-), sizes as (
-  select doc_id, count(*) as n from shingles group by doc_id
-), shared as (
-  select x.doc_id as a, y.doc_id as b, count(*) as common from shingles x join shingles y using (s) where x.doc_id <> y.doc_id group by all
-), links as (
-  select a, b, common = x.n and common = y.n as equal from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * common >= 85 * (x.n + y.n - common)
-), classes as (
-  select d.doc_id, least(d.doc_id, coalesce(min(b) filter (equal), d.doc_id)) as class from sizes d left join links on a = d.doc_id group by d.doc_id
-), degrees as (
-  select a as doc_id, count(distinct class) as n_links from links join classes on classes.doc_id = b where not equal group by a
-), reached as (
-  select doc_id as a, doc_id as b from sizes
-  union
-  select reached.a, links.b from reached join links on links.a = reached.b
-), components as (
-  select a as doc_id, min(b) as component_id from reached group by a
+
+def op11_sql(rounds: int = drake.ROUNDS, k: int = drake.CENTROIDS, dimensions: int = drake.DIMENSIONS, scale: int = drake.SCALE) -> str:
+    """Every round measures every vector; a round is two tables, the assignment and the new centroids."""
+    assign = """select vec_id, x, list_position(d, list_min(d)) as cluster, list_min(d) as distance from (
+  select vec_id, x, list_transform(c, lambda y: list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint) as d from kept, {centroids})"""
+    steps = [f"""kept as materialized (
+  select vec_id, list_transform(embedding, lambda v: floor({scale} * v::double)::bigint) as x from embeddings
+  where len(embedding) = {dimensions} and len(list_filter(embedding, lambda v: v is not null and isfinite(v))) = {dimensions}
+), c0 as materialized (
+  select list(x order by key, x) as c from (select x, sha256(concat('3:', vec_id)) as key from kept order by key, x limit {k})
+)"""]
+    for n in range(rounds):
+        steps.append(f"""a{n} as materialized ({assign.format(centroids=f"c{n}")}
+), c{n + 1} as materialized (
+  select list(x order by cluster) as c from (
+    select cluster, list(m order by dim) as x from (
+      select i as cluster, dim, case when max(n) is null then max(old) else (max(s) - ((max(s) % max(n)) + max(n)) % max(n)) // max(n) end::bigint as m from (
+        select i, dim, c[i][dim] as old from c{n}, (select unnest(range(1, {k} + 1)) as i), (select unnest(range(1, {dimensions} + 1)) as dim) where i <= len(c)
+      ) left join (
+        select cluster as i, dim, sum(v)::hugeint as s, count(*)::hugeint as n from (select cluster, unnest(x) as v, unnest(range(1, {dimensions} + 1)) as dim from a{n}) group by cluster, dim
+      ) using (i, dim) group by i, dim
+    ) group by cluster
+  )
+)""")
+    return "with " + ", ".join(steps) + f""", last_ as ({assign.format(centroids=f"c{rounds}")})
+select vec_id, (cluster - 1)::int as cluster, distance, (sum(distance) over (partition by cluster))::bigint as cluster_inertia, (sum(distance) over ())::bigint as inertia,
+  sha256(array_to_string(c[cluster], ',')) as centroid_sha256
+from last_, c{rounds}
+"""
+
+
+OP13_SQL = r"""
+with docs as (
+  select row_number() over () as uid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), groups as (select distinct lang, source from docs
+), words as (select uid, lang, source, unnest(w) as term from docs
+), kept as (select lang, term from words group by all having count(distinct uid) >= 30
+), sizes as (select lang, count(*) as v from kept group by lang
+), counts as (select lang, source, term, count(*) as n from words join kept using (lang, term) group by all
+), cells as (
+  select g.lang, g.source, k.term, coalesce(n, 0) as n from groups g join kept k using (lang) left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), shares as (
+  select lang, source, term, n, 1 + (1000000000::hugeint * (n + 5)) // ((sum(n) over (partition by lang, source))::hugeint + 5 * v) as p from cells join sizes using (lang)
+), whole as (
+  select lang, term, 1 + (1000000000::hugeint * (n + 5)) // ((sum(n) over (partition by lang))::hugeint + 5 * v) as q
+  from (select lang, term, sum(n) as n from cells group by all) join sizes using (lang)
+), pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join (select x.lang, x.source as s, y.source as t, sum(abs(x.p - y.p)) as value from shares x join shares y using (lang, term) where x.source <> y.source group by all) d
+    on d.lang = a.lang and d.s = a.source and d.t = b.source
+), terms as (
+  select lang, source, 'term' as part, term as item, (p - q)::bigint as value from shares join whole using (lang, term) where n > 0 and p > q
 )
-select w.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(component_id, w.doc_id) as component_id, coalesce(n_links, 0)::bigint as n_links
-from words w left join sizes using (doc_id) left join components using (doc_id) left join degrees using (doc_id)
+select lang, source, part, item, value, (row_number() over (partition by lang, source, part order by value desc, encode(item)))::int as rank
+from (select * from pairs union all select * from terms) qualify part = 'pair' or rank <= 50
 """
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_systematic_mix": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op5_suffix_decontamination": OP5_SQL, "op7_license_diagonals": OP7_SQL, "op10_jaccard_join": OP10_SQL}
+    return {"op3_systematic_mix": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op5_suffix_decontamination": OP5_SQL, "op7_license_diagonals": OP7_SQL, "op10_jaccard_join": OP10_SQL, "op11_drake_clusters": op11_sql(), "op13_source_divergence": OP13_SQL}
