@@ -18,6 +18,8 @@ from .common import chunks, looked_up, quoted, shared_folder, ship_code, written
 
 #: A language keeps the terms that so many of its documents have.
 LEAST = 30
+#: Bytes of text that are counted at a time.
+BYTES = 8_000_000
 #: Added to every count; shares are parts of this; terms are listed to this rank.
 ADDED, WHOLE, TOP = 5, 1_000_000_000, 50
 #: bytes.translate table: A-Z lower-cased, what is no letter of `[^\x00-\x40\x5B-\x60\x7B-\x7F]` to a blank.
@@ -71,7 +73,7 @@ def term_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     read = lambda c, name: F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")).alias(name)
 
     def run(batches):
-        for batch in chunks(batches, "t"):
+        for batch in chunks(batches, "t", BYTES):
             yield counted(batch)
 
     rows = df.select(read(lang_col, "lang"), read(source_col, "source"), read(text_col, "t"))
@@ -100,7 +102,8 @@ def audit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_
     listed = groups.groupBy("lang").agg(F.array_sort(F.collect_list("source")).alias("sources"))
     wide = counts.where("term <> ''").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.map_from_entries(F.collect_list(F.struct("source", "n"))).alias("of"))
     # One wide row for a term: its count in every source of the language, in the order of the list.
-    kept = looked_up(wide.where(F.col("docs") >= least).drop("docs"), listed, "lang")
+    wide = written(wide.where(F.col("docs") >= least).drop("docs"), folder, "wide")
+    kept = looked_up(wide, listed, "lang")
     terms = written(kept.select("lang", "term", F.transform("sources", lambda s: F.coalesce(F.col("of")[s], F.lit(0).cast("long"))).alias("n")), folder, "terms")
 
     placed = terms.select("lang", F.posexplode("n").alias("at", "n"))
