@@ -1,18 +1,25 @@
-"""Commands over catalogue files: `python -m marlstone.cli validate | manifest | seed | dedupe ...`.
+"""Commands over catalogue files: `python -m marlstone.cli validate | manifest | seed | dedupe | merge ...`.
 
-Documents go to standard output; errors are a line on standard error and exit code 1.
+Documents go to standard output; errors are a line on standard error and exit code 1. Every command that reads a registry first undoes what
+an interrupted merge has left.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime
+import json
+import re
 import sys
 
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import dedupe, manifest, payload, seed, validate
+from .operators import dedupe, manifest, merge, payload, seed, validate
+from .schema import DEFERRED, ENTRY
 from .sources import yaml_catalog
+from .sources.storage import Replacement
 from .sources.text import whole_texts
 
 
@@ -22,48 +29,99 @@ def session() -> SparkSession:
     return spark
 
 
+def recovered(spark: SparkSession, path: str) -> str:
+    """The path of a registry, after what an interrupted merge has left there is undone."""
+    Replacement(spark, path, yaml_catalog.queue_path(path)).recover()
+    return path
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    yaml_catalog.register(spark)
-    return spark.read.format("yaml_catalog").option("path", path).load()
+    return yaml_catalog.read(spark, recovered(spark, path))
 
 
 def validate_command(spark: SparkSession, args) -> None:
-    envelope, rows = yaml_catalog.load_rows(args.registry, "entries")
-    n = validate.assert_valid(read_registry(spark, args.registry), envelope.get("version"), isinstance(rows, list))
+    rows = read_registry(spark, args.registry)
+    n = validate.assert_document(yaml_catalog.envelope(spark, args.registry), rows)
     print(f"OK: {n} entries valid in {args.registry}")
 
 
+def new_head(run_date: str, name: str) -> dict:
+    return {"version": yaml_catalog.VERSION, yaml_catalog.DATED: run_date, name: None}
+
+
 def manifest_command(spark: SparkSession, args) -> None:
-    yaml_catalog.dump(manifest.to_manifest(read_registry(spark, args.registry)).orderBy("_pos"), sys.stdout, args.run_date, "targets")
+    name = yaml_catalog.TARGETS
+    yaml_catalog.dump(manifest.with_source_keys(read_registry(spark, args.registry)).orderBy("_pos"), sys.stdout, new_head(args.run_date, name), name)
 
 
 def seed_command(spark: SparkSession, args) -> None:
-    yaml_catalog.dump(seed.seed_entries(whole_texts(spark, args.document), args.run_date).orderBy("name", "_pos"), sys.stdout, args.run_date, "entries")
+    rows = seed.seed_entries(whole_texts(spark, args.document), args.run_date).orderBy("name", "_pos")
+    yaml_catalog.dump(rows, sys.stdout, new_head(args.run_date, yaml_catalog.ENTRIES))
 
 
 def dedupe_command(spark: SparkSession, args) -> None:
     text = sys.stdin.read() if args.candidates == "-" else None
     payloads = spark.createDataFrame([(text,)], "value string") if text is not None else whole_texts(spark, args.candidates)
+    flat = payload.flatten_candidates(payloads)
     # One document is one row, so its places are those of the flattened rows.
-    flat = payload.flatten_candidates(payloads).drop("_extra")
-    placed = flat.selectExpr("cast(_outer as long) * 2147483648 + _inner as _pos", *(c for c in flat.columns if not c.startswith("_")))
-    print(dedupe.payload(placed, read_registry(spark, args.registry), pretty=True).first()["value"])
+    placed = flat.selectExpr("cast(_outer as long) * 2147483648 + _inner as _pos", "url", "name", "_fields")
+    survivors = dedupe.as_json(dedupe.new_candidates(placed, read_registry(spark, args.registry))).orderBy("_pos")
+    total, new = placed.count(), 0
+    print('{\n  "new_candidates": [', end="")
+    for row in survivors.toLocalIterator():  # rows come part by part, in order
+        lines = json.dumps(json.loads(row["value"]), indent=2).splitlines()
+        print("," if new else "", *(f"    {line}" for line in lines), sep="\n", end="")
+        new += 1
+    print("\n  " if new else "", f'],\n  "skipped": {total - new}\n}}', sep="")
+
+
+def merge_command(spark: SparkSession, args) -> None:
+    """Registry and queue change together or not at all; the counters are computed before."""
+    queue_file = yaml_catalog.queue_path(args.registry)
+    both = Replacement(spark, args.registry, queue_file)
+    both.recover()
+    read = lambda path, schema: yaml_catalog.read(spark, path, schema, missing="empty")
+    head = lambda path: yaml_catalog.dated(yaml_catalog.head_of(yaml_catalog.envelope(spark, path, missing="empty").first()), args.run_date)
+    registry, queue = read(args.registry, ENTRY), read(queue_file, merge.with_keys(DEFERRED))
+    merge.assert_usable(registry, "name", "url")
+    merge.assert_usable(queue, "url")
+    verdicts = payload.flatten_verdicts(whole_texts(spark, args.verdicts))
+    entries, queued, counts = merge.merge(registry, queue, verdicts, args.run_date, args.mode)
+    line = counts.select(F.format_string("added=%d refreshed=%d deferred=%d rejected=%d", *counts.columns)).first()[0]
+    staged = [
+        yaml_catalog.stage(entries.orderBy("name", "_pos"), args.registry, head(args.registry)),
+        yaml_catalog.stage(queued.orderBy("part", "_pos").drop("part"), queue_file, head(queue_file)),
+    ]
+    both.replace(staged)
+    print(line)
+
+
+def told(error: Exception) -> str:
+    """One line of an error; of one in a worker, what the worker said."""
+    lines = str(error).splitlines()
+    said = [m[1] for line in lines if (m := re.match(r"(?:\w+\.)*\w*Error: (.+)", line))] if isinstance(error, PythonException) else []
+    return (said or lines or [type(error).__name__])[-1 if said else 0]
 
 
 def main(words: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="marlstone")
     commands = parser.add_subparsers(required=True)
-    for name, run, files in (("validate", validate_command, ["registry"]), ("manifest", manifest_command, ["registry"]), ("seed", seed_command, ["document"]), ("dedupe", dedupe_command, ["candidates", "registry"])):
+    for name, run, files in (
+        ("validate", validate_command, ["registry"]), ("manifest", manifest_command, ["registry"]), ("seed", seed_command, ["document"]),
+        ("dedupe", dedupe_command, ["candidates", "registry"]), ("merge", merge_command, ["registry", "verdicts"]),
+    ):
         command = commands.add_parser(name)
         command.set_defaults(run=run)
         command.add_argument("--run-date", default=datetime.date.today().isoformat())
         for file in files:
             command.add_argument(file)
+        if run is merge_command:
+            command.add_argument("--mode", choices=("strict", "compat"), default="strict")
     args = parser.parse_args(words)
     try:
         args.run(session(), args)
     except Exception as error:
-        print(f"ERROR: {str(error).splitlines()[0] if str(error) else type(error).__name__}", file=sys.stderr)
+        print(f"ERROR: {told(error)}", file=sys.stderr)
         return 1
     return 0
 

@@ -84,13 +84,22 @@ def worth_a_visit(candidates: DataFrame, registry: DataFrame) -> DataFrame:
     return fresh.join(mirrors, canonical_url(F.col("mirror_of")) == F.col("_known"), "left_anti")
 
 
-def payload(candidates: DataFrame, registry: DataFrame, pretty: bool = False) -> DataFrame:
-    """One row (value): the JSON document {new_candidates, skipped}, survivors in source order with the keys that they have a value for.
-
-    A document is one value, so its survivors meet in one task here; write `new_candidates` itself where they are too many for one."""
-    fields = [c for c in candidates.columns if not c.startswith("_")]
-    new = new_candidates(candidates, registry).select("_pos", F.struct(*fields).alias("c"))
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("_pos", "c"))), lambda x: x["c"])
-    total = candidates.agg(F.count("*").alias("total"))
-    rows = new.agg(listed.alias("new_candidates")).crossJoin(total)
-    return rows.select(F.to_json(F.struct("new_candidates", (F.col("total") - F.size("new_candidates")).alias("skipped")), {"pretty": str(pretty).lower()}).alias("value"))
+def as_json(survivors: DataFrame) -> DataFrame:
+    """(_pos, value): the JSON text of each survivor, its URL canonical. Candidates with `_fields` (see payload) keep all their keys in order and
+    their nulls; others have the columns that have a value."""
+    if "_fields" in survivors.columns:
+        whole = F.transform_values("_fields", lambda k, v: F.when(k == "url", F.col("url").cast("variant")).otherwise(v))
+    else:
+        whole = F.struct(*(c for c in survivors.columns if not c.startswith("_")))
+    return survivors.select("_pos", F.to_json(whole).alias("value"))
+
+
+def payload(candidates: DataFrame, registry: DataFrame) -> DataFrame:
+    """One row (value): the JSON document {new_candidates, skipped}, survivors in source order.
+
+    A document is one value, so its survivors meet in one task here; write `as_json(new_candidates(...))` itself where they are too many for
+    one, as the command does."""
+    listed = as_json(new_candidates(candidates, registry).select(*candidates.columns)).agg(F.array_sort(F.collect_list(F.struct("_pos", "value"))).alias("found"))
+    rows = listed.crossJoin(candidates.agg(F.count("*").alias("total")))
+    text = F.array_join(F.transform("found", lambda x: x["value"]), ",")
+    return rows.select(F.concat(F.lit('{"new_candidates":['), text, F.lit('],"skipped":'), (F.col("total") - F.size("found")).cast("string"), F.lit("}")).alias("value"))

@@ -1,7 +1,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import ENTRY_FIELDS, GIT_KINDS, TARGET_FIELDS, has
+from ..schema import ENTRY_FIELDS, GIT_KINDS, TARGET_FIELDS, has, with_rest
 
 
 def to_manifest(registry: DataFrame) -> DataFrame:
@@ -15,6 +15,16 @@ def to_manifest(registry: DataFrame) -> DataFrame:
     return registry.select("_pos", *fields)
 
 
+def with_source_keys(registry: DataFrame) -> DataFrame:
+    """The manifest with `_keys`, in the order of a target's keys: those that the entry has, then those that defaults fill; and with `_rest`, so
+    that a value of another type than its field's stays as it is."""
+    present = F.filter(F.array(*map(F.lit, TARGET_FIELDS)), lambda k: F.array_contains("_keys", k))
+    # Defaults are filled in this order.
+    filled = F.array_except(F.array(*map(F.lit, ("requires_crawler", "ref", "scan_paths"))), present)
+    kept = with_rest(registry).select("_pos", F.concat(present, filled).alias("_keys"), F.map_filter("_rest", lambda k, _: k.isin(*TARGET_FIELDS)).alias("_rest"))
+    return to_manifest(registry).join(kept, "_pos")
+
+
 def borrowed(registry: DataFrame) -> DataFrame:
     """(_pos, strict, filled): whether the manifest's fields of an entry are a strict subset of the registry's, and those that defaults fill."""
     ours, theirs = F.array(*map(F.lit, TARGET_FIELDS)), F.array(*map(F.lit, ENTRY_FIELDS))

@@ -5,11 +5,26 @@ The sequential rules become keyed folds: order is in `_pos` alone. Guards run be
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schema import ENTRY_FIELDS, MERGE_REQUIRED, has
+from ..schema import ENTRY_FIELDS, MERGE_REQUIRED, has, with_rest
 
 #: Stands for the reason of a deferral that gives none.
 NO_REASON = "deferred"
+#: Columns of a queue.
+QUEUE = ("_pos", "url", "name", "reason", "first_seen")
+
+
+def with_keys(schema: T.StructType) -> T.StructType:
+    """A schema whose rows tell the keys that they have."""
+    return schema if "_keys" in schema.names else T.StructType([*schema.fields, T.StructField("_keys", T.ArrayType(T.StringType()))])
+
+
+def assert_usable(rows: DataFrame, *keys: str) -> None:
+    """Raises on the first row of a document that is no mapping or lacks a key that a merge goes by."""
+    lacks = F.array_except(F.array(*map(F.lit, keys)), F.coalesce("_keys", F.array().cast("array<string>")))
+    if bad := rows.where((F.col("_type") != "mapping") | (F.size(lacks) > 0)).agg(F.min(F.struct("_pos", "_type", lacks.alias("lacks"))).alias("v")).first()["v"]:
+        raise ValueError(f"entry {bad._pos} is no mapping" if bad._type != "mapping" else f"entry {bad._pos} has no {bad.lacks[0]}")
 
 
 def last_by(df: DataFrame, key: str) -> DataFrame:
@@ -48,20 +63,30 @@ def first_guard(verdicts: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def fold(approved: DataFrame) -> DataFrame:
-    """Approvals of one URL as one patch: for each field the last approval that has it, an explicit null included."""
+    """Approvals of one URL as one patch: for each key the last approval that has it, an explicit null included; keys in the order in which
+    they first came. Keys are grouped before URLs, so a URL's approvals never meet in one value, only its distinct keys do."""
+    approved = with_rest(approved)
     fields = [F.max_by(F.struct(F.col(n).alias("x")), F.when(has(n), F.col("_pos"))).alias(n) for n in ENTRY_FIELDS if n != "url"]
-    keys = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_keys"))), lambda s: s["_keys"])))
-    folded = approved.groupBy("url").agg(*fields, keys.alias("_keys"), F.min("_pos").alias("_pos"), F.count("*").alias("n"))
-    return folded.select("url", "_keys", "_pos", "n", *(F.col(n)["x"].alias(n) for n in ENTRY_FIELDS if n != "url"))
+    folded = approved.groupBy("url").agg(*fields, F.min("_pos").alias("_pos"), F.count("*").alias("n"))
+    each = approved.select("url", "_pos", "_rest", F.posexplode("_keys").alias("_at", "_key"))
+    last = F.max_by(F.struct(F.col("_rest")[F.col("_key")].alias("x")), "_pos").alias("_last")
+    by_key = each.groupBy("url", "_key").agg(F.min(F.struct("_pos", "_at")).alias("_first"), last)
+    keys = F.transform(F.array_sort(F.collect_list(F.struct("_first", "_key"))), lambda s: s["_key"]).alias("_keys")
+    rest = F.map_from_entries(F.collect_list(F.when(F.col("_last.x").isNotNull(), F.struct("_key", F.col("_last.x"))))).alias("_rest")
+    by_url = by_key.groupBy(F.col("url").alias("_url")).agg(keys, rest)
+    both = folded.join(by_url, F.col("url").eqNullSafe(F.col("_url")), "left")
+    return both.select("url", "_keys", "_pos", "n", *(F.col(n)["x"].alias(n) for n in ENTRY_FIELDS if n != "url"), "_rest")
 
 
 def upsert(registry: DataFrame, verdicts: DataFrame, run_date: str) -> DataFrame:
     """The registry with all approvals, in name order (`_pos` renumbered by nothing: sort by name, then `_pos`).
 
-    Matched by the URL as written. Of a URL that the registry has twice the last row is patched. No row is ever removed.
+    Matched by the URL as written. Of a URL that the registry has twice the last row is patched. No row is ever removed. Keys without a
+    field are patched as those with one, in `_rest`.
     """
+    registry = with_rest(registry)
     patch = fold(approvals(verdicts, run_date))
-    patch = patch.select("url", F.col("_keys").alias("p_keys"), F.col("_pos").alias("p_pos"), *(F.col(n).alias(f"p_{n}") for n in ENTRY_FIELDS if n != "url"))
+    patch = patch.select("url", F.col("_keys").alias("p_keys"), F.col("_pos").alias("p_pos"), F.col("_rest").alias("p_rest"), *(F.col(n).alias(f"p_{n}") for n in ENTRY_FIELDS if n != "url"))
     last = F.row_number().over(Window.partitionBy("url").orderBy(F.desc("_pos"))) == 1
     rows = registry.withColumn("_url", F.when(last, F.col("url"))).withColumn("_old", F.lit(True))
     both = rows.join(patch.withColumnRenamed("url", "p_url"), F.col("_url") == F.col("p_url"), "full_outer")
@@ -70,7 +95,11 @@ def upsert(registry: DataFrame, verdicts: DataFrame, run_date: str) -> DataFrame
     # New entries come after all old ones with the same name.
     pos = F.coalesce(F.col("_pos"), F.col("p_pos") + (1 << 40))
     keys = F.array_union(F.coalesce("_keys", none), F.coalesce("p_keys", none))
-    return both.select(pos.alias("_pos"), keys.alias("_keys"), *(F.coalesce("url", "p_url").alias("url") if n == "url" else pick(n) for n in ENTRY_FIELDS))
+    empty = F.create_map().cast("map<string,string>")
+    old = F.map_filter(F.coalesce("_rest", empty), lambda k, _: ~F.array_contains(F.coalesce("p_keys", none), k))
+    rest = F.map_concat(old, F.coalesce("p_rest", empty))
+    fields = (F.coalesce("url", "p_url").alias("url") if n == "url" else pick(n) for n in ENTRY_FIELDS)
+    return both.select(pos.alias("_pos"), keys.alias("_keys"), *fields, F.when(F.size(rest) > 0, rest).alias("_rest"))
 
 
 def _events(verdicts: DataFrame, queue: DataFrame) -> DataFrame:
@@ -84,20 +113,33 @@ def _events(verdicts: DataFrame, queue: DataFrame) -> DataFrame:
 def deferrals(verdicts: DataFrame, queue: DataFrame, run_date: str) -> DataFrame:
     """Queue rows that the deferrals add: those whose URL is not queued when they come."""
     added = _events(verdicts, queue).where(F.col("_queued").isNull() | F.col("_resolved").isNotNull())
-    return added.select("_pos", F.col("c_url").alias("url"), F.col("c_name").alias("name"), F.coalesce("reason", F.lit(NO_REASON)).alias("reason"), F.lit(run_date).alias("first_seen"))
+    # A reason that is null is none that is absent, where verdicts tell them apart.
+    given = F.col("has_reason") if "has_reason" in verdicts.columns else F.col("reason").isNotNull()
+    reason = F.when(given, F.col("reason")).otherwise(NO_REASON)
+    return added.select("_pos", F.col("c_url").alias("url"), F.col("c_name").alias("name"), reason.alias("reason"), F.lit(run_date).alias("first_seen"))
 
 
 def _resolutions(verdicts: DataFrame) -> DataFrame:
     return verdicts.where(F.col("decision").isin("approve", "reject")).groupBy(F.col("c_url").alias("url")).agg(F.max("_pos").alias("_last"))
 
 
+def _queue_columns(queue: DataFrame) -> list[str]:
+    """Columns of a queue's rows; `_keys` and `_rest` where it has them."""
+    return [*QUEUE, *(c for c in ("_keys", "_rest") if c in queue.columns)]
+
+
+def _as_queued(added: DataFrame, queue: DataFrame) -> DataFrame:
+    extra = {"_keys": F.array(*map(F.lit, QUEUE[1:])), "_rest": F.lit(None).cast("map<string,string>")}
+    return added.withColumns({c: extra[c] for c in _queue_columns(queue) if c in extra} or {"reason": F.col("reason")})
+
+
 def queue_strict(queue: DataFrame, verdicts: DataFrame, run_date: str) -> DataFrame:
     """One row for each open URL: resolved ones leave, a queued one keeps its row, a URL deferred after its resolution is new."""
-    resolved = _resolutions(verdicts)
-    old = last_by(queue, "url").join(resolved.select("url"), "url", "left_anti").select("_pos", "url", "name", "reason", "first_seen", F.lit(0).alias("part"))
+    resolved, names = _resolutions(verdicts), _queue_columns(queue)
+    old = last_by(queue, "url").join(resolved.select("url"), "url", "left_anti").select(*names, F.lit(0).alias("part"))
     order = Window.partitionBy("url").orderBy("_pos")
-    new = deferrals(verdicts, queue, run_date).join(resolved, "url", "left").where("_last is null or _pos > _last")
-    new = new.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").select("_pos", "url", "name", "reason", "first_seen", F.lit(1).alias("part"))
+    new = _as_queued(deferrals(verdicts, queue, run_date), queue).join(resolved, "url", "left").where("_last is null or _pos > _last")
+    new = new.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").select(*names, F.lit(1).alias("part"))
     return old.unionByName(new)
 
 
@@ -107,8 +149,8 @@ def queue_compat(queue: DataFrame, verdicts: DataFrame, run_date: str) -> DataFr
     resolved = _resolutions(verdicts).select("url")
     indexed = last_by(queue, "url").join(resolved, "url", "left_anti")
     tail = queue.join(resolved, "url", "left_semi").withColumn("part", F.lit(1))
-    added = deferrals(verdicts, queue, run_date).join(indexed.select("url"), "url", "left_anti").withColumn("part", F.lit(2))
-    names = ["_pos", "url", "name", "reason", "first_seen", "part"]
+    added = _as_queued(deferrals(verdicts, queue, run_date), queue).join(indexed.select("url"), "url", "left_anti").withColumn("part", F.lit(2))
+    names = [*_queue_columns(queue), "part"]
     return indexed.withColumn("part", F.lit(0)).select(*names).unionByName(tail.select(*names)).unionByName(added.select(*names))
 
 

@@ -1,4 +1,9 @@
-"""Lane and mode of a run from positional words."""
+"""Lane and mode of a run from positional words, and the vendors that a run still has to probe."""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.url import canonical_url
 
 #: The lanes and the modes, and vendors to look into that are no entries.
 LANES = ("github-awesome", "marketplaces", "vendor-orgs", "recent-posts")
@@ -16,5 +21,10 @@ def resolved(words: list[str]) -> tuple[tuple[str, ...], str]:
     return tuple(words) or LANES, mode
 
 
-def vendors(spark):
-    return spark.createDataFrame([(i, v) for i, v in enumerate(VENDORS)], "_pos long, name string")
+def vendor_backlog(spark: SparkSession, sources: DataFrame) -> DataFrame:
+    """(_pos, name, n_sources): each vendor to look into, and how many sources (url) are of an organisation of its name; 0 is still to be probed.
+    Names agree by letters and digits alone, in lower case."""
+    plain = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
+    vendors = spark.createDataFrame([(i, v) for i, v in enumerate(VENDORS)], "_pos long, name string")
+    orgs = sources.groupBy(plain(F.regexp_extract(canonical_url(F.col("url")), r"^https://github\.com/([^/?#]+)", 1)).alias("_org")).agg(F.count("*").alias("n"))
+    return vendors.join(orgs, plain(F.col("name")) == F.col("_org"), "left").select("_pos", "name", F.coalesce("n", F.lit(0)).cast("long").alias("n_sources"))

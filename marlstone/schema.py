@@ -1,12 +1,12 @@
 """Rows of the catalogue. `_pos` is the place in source order; `_keys` lists the keys that a row really has, since null is not absent."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _string, _strings = T.StringType(), T.ArrayType(T.StringType())
 
-#: Fields of an entry in their usual order.
+#: Fields of an entry in their usual order, those of a manifest, the kinds, and what a merge and a valid registry require.
 ENTRY_FIELDS = {
     "name": _string, "url": _string, "kind": _string, "ref": _string, "scan_paths": _strings, "requires_crawler": T.BooleanType(),
     "description": _string, "license": _string, "tags": _strings, "last_verified": _string, "notes": _string,
@@ -30,3 +30,8 @@ CANDIDATE = T.StructType([
 def has(key: str, keys: str = "_keys") -> Column:
     """Whether a row has the key at all."""
     return F.coalesce(F.array_contains(keys, key), F.lit(False))
+
+
+def with_rest(rows: DataFrame) -> DataFrame:
+    """rows with a `_rest`: values that no field holds, by their keys, as JSON texts."""
+    return rows if "_rest" in rows.columns else rows.withColumn("_rest", F.lit(None).cast("map<string,string>"))

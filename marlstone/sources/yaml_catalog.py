@@ -1,23 +1,34 @@
-"""YAML documents with an envelope and a list of rows, as a Python data source: `spark.read.format("yaml_catalog")`.
+"""YAML documents with an envelope and a list of rows.
 
-Options: path; list (`entries` or `targets`); onMissing (`fail`, or `empty` for a missing file). One document is one task, as YAML cannot be
-split. Written documents keep the order of keys that a row has, Unicode as it is, and lines up to 120 columns; a document is complete
-before it replaces the old one.
+All files go through Hadoop's file systems. A document is read as one row of bytes and parsed in one task, as YAML cannot be split. Rows
+have a column for every field, `_pos`, `_keys` (the keys that a row has, in order), `_type` (mapping, or what else stands there) and
+`_rest`: the JSON text of each value that no field holds, be its key unknown or its type another one. Written rows have their keys in
+order, so a document that is read and written again keeps what it had. Writing is Spark's: tasks write rows as text, and the driver
+appends their files one after the other, a few kilobytes at a time.
 """
 
 from __future__ import annotations
 
 import datetime
+import json
 import os
-import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, WriterCommitMessage
-from pyspark.sql.types import StructType
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import DEFERRED, ENTRY
+from .storage import Store, beside, ship_package
 
 QUEUE_NAME = "deferred.yml"
+#: The version and the names in an envelope.
+VERSION, ENTRIES, TARGETS, DATED = 1, "entries", "targets", "generated_at"
+#: A date in JSON, which YAML writes without quotes.
+DATE_MARK = "!date"
+REST = T.StructField("_rest", T.MapType(T.StringType(), T.StringType()))
+EXTRA = [T.StructField("_type", T.StringType()), REST]
 
 
 def queue_path(registry_path: str) -> str:
@@ -25,114 +36,187 @@ def queue_path(registry_path: str) -> str:
     return os.path.join(os.path.dirname(registry_path), QUEUE_NAME)
 
 
-def _plain(value):
-    """Dates are strings here, as they are in most documents."""
-    if isinstance(value, datetime.date):
-        return value.isoformat()
-    return [_plain(v) for v in value] if isinstance(value, list) else value
+def to_json(value) -> str:
+    return json.dumps(value, ensure_ascii=False, default=lambda x: {DATE_MARK: x.isoformat()} if isinstance(x, datetime.date) else str(x))
 
 
-def _fitting(value, field):
-    kind = field.dataType.typeName()
+def from_json(text: str):
+    def dated(d):
+        return (datetime.date if len(d[DATE_MARK]) == 10 else datetime.datetime).fromisoformat(d[DATE_MARK]) if list(d) == [DATE_MARK] else d
+
+    return json.loads(text, object_hook=dated)
+
+
+def type_of(value) -> str:
+    for name, kinds in (("null", type(None)), ("boolean", bool), ("number", (int, float)), ("string", str), ("date", datetime.date), ("list", list), ("mapping", dict)):
+        if isinstance(value, kinds):
+            return name
+    return type(value).__name__
+
+
+def plain(value, kind: str):
+    """A value as its field's type, and whether that is all of it."""
     if value is None:
-        return None
+        return None, True
     if kind == "array":
-        return [str(v) for v in value] if isinstance(value, list) else None
+        return ([str(v) for v in value], all(isinstance(v, str) for v in value)) if isinstance(value, list) else (None, False)
     if kind == "boolean":
-        return bool(value)
-    return str(value)
+        return bool(value), isinstance(value, bool)
+    if isinstance(value, list | dict):
+        return None, False
+    return value.isoformat() if isinstance(value, datetime.date) else str(value), isinstance(value, str)
 
 
-def load_rows(path: str, name: str, missing: str = "fail") -> tuple[dict, list[dict]]:
-    """The envelope and the rows of a document; an empty document is an empty envelope."""
+def loaded(text: bytes) -> object:
     import yaml
 
-    if missing == "empty" and not os.path.exists(path):
-        return {"version": 1}, []
-    with open(path, encoding="utf-8") as file:
-        doc = yaml.safe_load(file) or {}
-    rows = doc.get(name) or []
-    return {k: _plain(v) for k, v in doc.items() if k != name}, [{k: _plain(v) for k, v in row.items()} for row in rows]
+    doc = yaml.safe_load(text)
+    return {} if doc is None or doc == "" else doc
 
 
-def dump(rows: DataFrame, out, run_date: str, name: str = "entries") -> None:
-    """Writes a document to an open file, such as standard output, rows in the order of the DataFrame; they come part by part."""
-    import yaml
+def laid_out(row, at: int, schema: T.StructType) -> dict:
+    """A row of a document as the columns of schema, `_type` and `_rest`."""
+    out = {f.name: None for f in schema} | {"_pos": at, "_type": type_of(row), "_rest": None}
+    if not isinstance(row, dict):
+        out["_rest"] = {"": to_json(row)}
+        return out
+    keys = [str(k) for k in row]
+    if "_keys" in out:
+        out["_keys"] = keys
+    kinds = {f.name: f.dataType.typeName() for f in schema if not f.name.startswith("_")}
+    rest = {}
+    for key, value in zip(keys, row.values(), strict=True):
+        if key in kinds:
+            out[key], whole = plain(value, kinds[key])
+        if key not in kinds or not whole:
+            rest[key] = to_json(value)
+    return out | {"_rest": rest or None}
 
-    kept = []
-    for row in rows.toLocalIterator():
-        d = row.asDict(recursive=True)
-        kept.append({k: d[k] for k in d.get("_keys") or [c for c in rows.columns if not c.startswith("_")]})
-    yaml.safe_dump({"version": 1, "generated_at": run_date, name: kept}, out, allow_unicode=True, sort_keys=False, width=120)
 
+def bytes_of(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
-class YamlReader(DataSourceReader):
-    def __init__(self, schema: StructType, options):
-        self.fields, self.options = schema, options
 
-    def read(self, partition):
-        _, rows = load_rows(self.options["path"], self.options.get("list", "entries"), self.options.get("onMissing", "fail"))
-        for at, row in enumerate(rows):
-            special = {"_pos": at, "_keys": list(row)}
-            yield tuple(special[f.name] if f.name in special else _fitting(row.get(f.name), f) for f in self.fields)
+def read(spark: SparkSession, path: str, schema: T.StructType = ENTRY, name: str = ENTRIES, missing: str = "fail") -> DataFrame:
+    """The rows of a document. missing: `fail`, or `empty` for no rows where there is no file. A document whose list is absent, or is no
+    list, has no rows; see envelope. An unparsable document is an error."""
+    full = T.StructType([*schema.fields, *EXTRA])
+    if missing == "empty" and not Store(spark, path).exists(path):
+        return spark.createDataFrame([], full)
+    ship_package(spark)
 
+    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for content in frame["content"]:
+                doc = loaded(content)
+                rows = doc.get(name) if isinstance(doc, dict) else None
+                if isinstance(rows, list) and rows:
+                    yield pd.DataFrame([laid_out(r, i, schema) for i, r in enumerate(rows)], columns=full.names, dtype=object)
 
-class YamlWriter(DataSourceWriter):
-    def __init__(self, schema: StructType, options, overwrite: bool):
-        self.names, self.options, self.overwrite = schema.names, options, overwrite
+    return bytes_of(spark, path).mapInPandas(parse, full)
 
-    def write(self, rows):
-        """Each task leaves its rows beside the target; commit() puts them together."""
-        part = f"{self.options['path']}.{uuid.uuid4().hex}.part"
-        import yaml
 
-        kept = []
-        for row in rows:
-            d = row.asDict(recursive=True)
-            keys = d.get("_keys") or [n for n in self.names if not n.startswith("_")]
-            kept.append((d.get("_pos") or 0, {k: d[k] for k in keys if k in d}))
-        with open(part, "w", encoding="utf-8") as file:
-            yaml.safe_dump(kept and [list(x) for x in kept], file, allow_unicode=True, sort_keys=False)
-        message = WriterCommitMessage()
-        message.part = part
-        return message
-
-    def commit(self, messages):
-        import yaml
+ENVELOPE = "type string, keys array<string>, types map<string,string>, values map<string,string>, n_rows long"
+
+
+def envelope(spark: SparkSession, path: str, name: str = ENTRIES, missing: str = "fail") -> DataFrame:
+    """One row for a document: its type, its keys in order, the type of each and the JSON of each but the list, and the number of rows. An
+    empty document is an empty mapping; a missing one with `empty` is one of the right version without rows."""
+    store = Store(spark, path)
+    if missing == "empty" and not store.exists(path):
+        return spark.createDataFrame([("mapping", ["version", name], {"version": "number", name: "list"}, {"version": str(VERSION)}, 0)], ENVELOPE)
+    if store.size(path) == 0:  # readers pass over empty files
+        return spark.createDataFrame([("mapping", [], {}, {}, 0)], ENVELOPE)
+    ship_package(spark)
 
-        rows = []
-        for m in messages:
-            if m is not None:
-                with open(m.part, encoding="utf-8") as file:
-                    rows += yaml.safe_load(file) or []
-                os.remove(m.part)
-        rows.sort(key=lambda r: r[0])
-        doc = {"version": 1, "generated_at": self.options.get("run_date", ""), self.options.get("list", "entries"): [r[1] for r in rows]}
-        path = self.options["path"]
-        with open(f"{path}.new", "w", encoding="utf-8") as file:
-            yaml.safe_dump(doc, file, allow_unicode=True, sort_keys=False, width=120)
-        os.replace(f"{path}.new", path)
+    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for content in frame["content"]:
+                doc = loaded(content)
+                found = {str(k): v for k, v in doc.items()} if isinstance(doc, dict) else {}
+                rows = found.get(name)
+                row = {
+                    "type": type_of(doc), "keys": list(found), "types": {k: type_of(v) for k, v in found.items()},
+                    "values": {k: to_json(v) for k, v in found.items() if k != name}, "n_rows": len(rows) if isinstance(rows, list) else 0,
+                }
+                yield pd.DataFrame([row])
 
-    def abort(self, messages):
-        for m in messages:
-            if m is not None and os.path.exists(m.part):
-                os.remove(m.part)
+    return bytes_of(spark, path).mapInPandas(parse, ENVELOPE)
 
 
-class YamlCatalog(DataSource):
-    @classmethod
-    def name(cls):
-        return "yaml_catalog"
+def dated(head: dict, run_date: str, name: str = ENTRIES) -> dict:
+    """An envelope (see head_of) of a written document: this version and this date, whatever else it has, keys in their order."""
+    return head | {name: None} | {"version": VERSION, DATED: run_date}
 
-    def schema(self):
-        return DEFERRED if os.path.basename(self.options.get("path", "")) == QUEUE_NAME else ENTRY
 
-    def reader(self, schema):
-        return YamlReader(schema, self.options)
+def head_of(row) -> dict:
+    """Keys and values of an envelope's row, the list's value left out as None."""
+    return {k: from_json(row["values"][k]) if k in row["values"] else None for k in row["keys"]}
 
-    def writer(self, schema, overwrite):
-        return YamlWriter(schema, self.options, overwrite)
 
+def column_json(rows: DataFrame) -> Column:
+    fields = [c for c in rows.columns if not c.startswith("_")]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def texts(rows: DataFrame) -> DataFrame:
+    """(value): the YAML text of each row, in the order of rows. `_keys` says which keys a row has, all fields without it."""
+    ship_package(rows.sparkSession)
+    fields = [c for c in rows.columns if not c.startswith("_")]
+    keys = F.col("_keys") if "_keys" in rows.columns else F.lit(None).cast("array<string>")
+    rest = F.col("_rest") if "_rest" in rows.columns else F.lit(None).cast("map<string,string>")
+
+    def render(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import yaml
+
+        for frame in frames:
+            out = []
+            for entry, keys, rest in zip(frame["entry"], frame["keys"], frame["rest"], strict=True):
+                row, others = json.loads(entry), {k: from_json(v) for k, v in json.loads(rest).items()} if rest else {}
+                whole = {k: others[k] if k in others else row.get(k) for k in (fields if keys is None else keys)}
+                out.append(yaml.safe_dump([others[""] if "" in others and keys is None else whole], allow_unicode=True, sort_keys=False, width=120)[:-1])
+            yield pd.DataFrame({"value": out})
+
+    return rows.select(column_json(rows).alias("entry"), keys.alias("keys"), F.to_json(rest).alias("rest")).mapInPandas(render, "value string")
+
+
+def frame_of(head: dict, name: str) -> tuple[str, str]:
+    """The envelope's text before and after the rows."""
+    import yaml
 
-def register(spark) -> None:
-    spark.dataSource.register(YamlCatalog)
+    text = lambda d: yaml.safe_dump(d, allow_unicode=True, sort_keys=False, width=120) if d else ""
+    keys = list(head)
+    at = keys.index(name)
+    return text({k: head[k] for k in keys[:at]}), text({k: head[k] for k in keys[at + 1 :]})
+
+
+def stage(rows: DataFrame, path: str, head: dict, name: str = ENTRIES) -> str:
+    """Writes a whole document beside path and gives its name. rows are ordered; head is the envelope, with the list's key in its place."""
+    store = Store(rows.sparkSession, path)
+    folder, staged = beside(path, "rows"), beside(path, "new")
+    before, after = frame_of(head, name)
+    try:
+        texts(rows).write.text(store.uri(folder))
+        parts = store.files(folder, ".txt")
+        empty = not any(store.size(p) for p in parts)
+        store.write(staged, before, f"{name}: []\n" if empty else f"{name}:\n", parts, after)
+    finally:
+        store.delete(folder)
+    return staged
+
+
+def save(rows: DataFrame, path: str, head: dict, name: str = ENTRIES) -> None:
+    """Writes a document; it is complete before it replaces an old one."""
+    store = Store(rows.sparkSession, path)
+    store.move(stage(rows, path, head, name), path)
+
+
+def dump(rows: DataFrame, out, head: dict, name: str = ENTRIES) -> None:
+    """Writes a document to an open file, such as standard output; rows come part by part."""
+    before, after = frame_of(head, name)
+    out.write(before)
+    first = True
+    for row in texts(rows).toLocalIterator():
+        out.write((f"{name}:\n" if first else "") + row["value"] + "\n")
+        first = False
+    out.write((f"{name}: []\n" if first else "") + after)
