@@ -153,6 +153,8 @@ from doc_words left join words_hit using (uid) left join items_hit using (uid)
 OP7_SQL = r"""
 with templates (template, base, label, k, grams, drift, spot, gram) as (values
   @templates
+), facts (template, family, tests) as (values
+  @facts
 ), words as (
   select row_number() over () as uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
   from documents
@@ -160,25 +162,32 @@ with templates (template, base, label, k, grams, drift, spot, gram) as (values
   select uid, k, i - 1 as place, array_to_string(w[i:i + k - 1], ' ') as gram
   from (select uid, w, k, unnest(range(1, len(w) - k + 2)) as i from words, (select distinct k from templates) where len(w) >= k)
 ), lines as (
-  select uid, template, any_value(base) as base, any_value(label) as label, any_value(t.grams) as grams, any_value(drift) as drift, place - spot as diagonal,
+  select uid, template, any_value(base) as base, any_value(label) as label, any_value(t.grams) as grams, any_value(drift) as drift, any_value(k) as k, place - spot as diagonal,
     list(distinct spot) as spots, count(distinct spot) as votes
   from grams join templates t using (k, gram) group by uid, template, place - spot
-), spans as (
-  select *, len(list_distinct(flatten(list(spots) over near)))::double / grams as share, max(votes * 1000000000 - diagonal) over near as best
+), merged as (
+  select *, list_distinct(flatten(list(spots) over near)) as hits, max(votes * 1000000000 - diagonal) over near as best, min(diagonal + list_min(spots)) over near as start_, max(diagonal + list_max(spots) + k) over near as end_
   from lines
   window near as (partition by uid, template order by diagonal * 1000000 // drift range between 1000000 preceding and 1000000 following)
 ), judged as (
-  select *, base and votes = grams as exact, not base and best = votes * 1000000000 - diagonal and share >= 0.6 as merged from spans
+  select *, row_number() over () as span, len(hits)::double / grams as share, base and votes = grams as exact,
+    not base and best = votes * 1000000000 - diagonal and len(hits)::double / grams >= 0.6 and len(list_filter(tests, lambda t: len(list_intersect(t.spots, hits)) < t.need)) = 0 as passed
+  from merged join facts using (template)
+), beaten as (
+  select distinct a.span from judged a join judged b on a.uid = b.uid and a.family = b.family and a.label <> b.label and a.passed and b.passed and b.start_ < a.end_ and a.start_ < b.end_
+  where len(b.hits) > len(a.hits) or (len(b.hits) = len(a.hits) and b.template < a.template)
+), spans as (
+  select *, passed and span not in (select span from beaten) as merged from judged
 ), found as (
   select uid, count(*) filter (exact) as n_base, min(diagonal) filter (exact) as first_word, max(diagonal) filter (exact) as last_word,
     string_agg(distinct label, ',' order by label) filter (exact) as base_labels, string_agg(distinct label, ',' order by label) filter (exact or merged) as labels,
     max(case when exact then 1.0::double when merged then share end) as score
-  from judged group by uid
+  from spans group by uid
 )
 select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
   coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0)::double as score
 from words left join found using (uid)
-""".replace("@templates", ",\n  ".join(f"({t}, {str(base).lower()}, '{label}', {k}, {grams}, {drift}, {at}, '{gram}')" for t, base, label, k, grams, drift, at, gram in license.template_rows()))
+""".replace("@facts", ",\n  ".join(f"({t}, {family}, {[{'spots': list(spots), 'need': need} for spots, need in tests] or '[]::struct(spots int[], need int)[]'})" for t, family, tests in license.template_facts(license.template_rows()))).replace("@templates", ",\n  ".join(f"({t}, {str(base).lower()}, '{label}', {k}, {grams}, {drift}, {at}, '{gram}')" for t, base, label, k, grams, drift, at, gram in license.template_rows()))
 
 OP10_SQL = r"""
 with recursive words as (

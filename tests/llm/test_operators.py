@@ -329,13 +329,20 @@ def brute_license(text):
 
 
 def brute_spans(text):
-    """(label, share) of the verified spans, from the definition: every template's grams, centres of most votes, drift around them."""
+    """(label, share) of the verified spans, from the definition: every template's grams, centres of most votes, drift around them, the grams
+    that relatives lack, and the best of overlapping relatives."""
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    found, of = set(), {}
+    of = {}
     for template, base, label, k, grams, drift, at, gram in license.template_rows():
         one = of.setdefault(template, [base, label, k, grams, drift, {}])
         one[5].setdefault(gram, []).append(at)
-    for base, label, k, grams, drift, ats in of.values():
+    related = {(x, y) for x, a in of.items() for y, b in of.items() if not a[0] and not b[0] and a[1] != b[1] and a[2] == b[2] and len(a[5].keys() & b[5].keys()) >= 0.5 * min(len(a[5]), len(b[5]))}
+    family = {x: {x} for x in of}
+    for _ in of:
+        for x, y in related:
+            family[x] |= family[y]
+    found, passed = set(), []
+    for t, (base, label, k, grams, drift, ats) in of.items():
         lines = {}
         for i in range(len(w) - k + 1):
             for at in ats.get(" ".join(w[i : i + k]), ()):
@@ -346,8 +353,16 @@ def brute_spans(text):
                     found.add((label, 1.0))
                 continue
             near = {x: y for x, y in lines.items() if abs(x - d) <= drift}
-            if max(near, key=lambda x: (len(near[x]), -x)) == d and len(set().union(*near.values())) >= license.COVERAGE * grams:
-                found.add((label, len(set().union(*near.values())) / grams))
+            hits = set().union(*near.values())
+            if max(near, key=lambda x: (len(near[x]), -x)) != d or len(hits) < license.COVERAGE * grams:
+                continue
+            lacking = [{at for g, places in ats.items() if g not in of[y][5] for at in places} for x, y in related if x == t]
+            if all(len(own & hits) >= (len(own) if k == license.SHORT else 0.6 * len(own)) for own in lacking):
+                places = [x + at for x, y in near.items() for at in y]
+                passed.append((len(hits), -t, label, min(places), max(places) + k, len(hits) / grams))
+    for hits, t, label, start, end, share in passed:
+        if not any(x[2] != label and -x[1] in family[-t] and x[:2] > (hits, t) and x[3] < end and start < x[4] for x in passed):
+            found.add((label, share))
     return found
 
 
@@ -379,14 +394,43 @@ def test_licenses(spark, small):
     spans = [(d, brute_spans(t)) for d, t in texts]
     want = sorted(key(d, ",".join(sorted({x for x, _ in s})), round(max((y for _, y in s), default=0.0), 9)) for d, s in spans)
     assert sorted(key(r["doc_id"], r["labels"], round(r["score"], 9)) for r in got) == want
-    labels = {r["doc_id"]: r["labels"].split(",") for r in got}
-    assert all(label in labels[d] for d, label in planted.items() if label)
+    # A planted text gives its label and those of the phrases in it, nothing else.
+    labels = {r["doc_id"]: set(r["labels"].split(",")) - set(r["base_labels"].split(",")) for r in got}
+    bases = {x for _, x in license.PHRASES}
+    assert all(labels[d] - bases == {label} - bases and (label in labels[d] or label in bases) for d, label in planted.items() if label)
     for r in got:
         for x in r["spans"]:
             assert 0 <= x["from"] < x["to"] <= r["n_words"] and license.COVERAGE <= x["share"] <= 1
     assert license.scan_licenses(empty(spark)).collect() == []
 
 
+EXACT_LABELS = {
+    "This work is licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0", "licensed under the GNU General Public License version 2": "gpl,gpl-2.0", "It is licensed under the GNU General Public License.": "gpl",
+    "under the terms of the GNU General Public License": "gpl", "Licensed under the GNU Lesser General Public License, version 2.1": "lgpl", "licensed under the GNU Lesser General Public License version 3": "lgpl",
+    "Licensed under the GNU Affero General Public License version 3": "agpl", "Licensed under CC BY 4.0.": "cc-by,cc-by-4.0", "licensed under CC BY 3.0": "cc-by", "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc", "licensed under CC BY-SA 3.0": "cc-by,cc-by-sa",
+    "Licensed under CC BY-NC-SA 4.0": "cc-by,cc-by-nc-sa", "Licensed under CC BY-NC-ND 4.0": "cc-by,cc-by-nc-nd", "Licensed under CC BY-ND 4.0": "cc-by,cc-by-nd", "Licensed under the Apache License, Version 2.0": "apache,apache-2.0",
+    "Licensed under the Apache License, Version 1.1": "apache,apache-1.1", "the Apache License version 1 1": "apache,apache-1.1", "Licensed under the Apache License, Version 1.0": "apache", "Released under the MIT License.": "mit", "All rights reserved.": "all-rights-reserved",
+    "All rights reserved. Licensed under CC BY-NC 4.0. Licensed under the GNU General Public License version 3.": "all-rights-reserved,cc-by,cc-by-nc,gpl,gpl-3.0", "the license is general and public": "",
+}
+
+
+def test_licences_are_told_apart(spark):
+    """Exact labels of notices and of whole texts, whichever relatives they have."""
+    rows = list(EXACT_LABELS.items()) + [(f"Copyright 2020. {text} The end.", ",".join(sorted({label} | {x for p, x in license.PHRASES if p in text.lower()}))) for label, text in license.TEXTS.items()]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in license.scan_licenses(df).collect()}
+    assert [got[i] for i in range(len(rows))] == [x for _, x in rows]
+
+
+def test_plain_phrases_have_no_relatives(spark):
+    """In the given documents a notice of one licence gets no other of its family."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = [set(r["labels"].split(",")) for r in license.scan_licenses(docs).where("labels <> ''").collect()]
+    for labels in got:
+        assert not labels & {"agpl", "lgpl", "gpl-2.0", "cc-by-4.0", "cc-by-sa", "apache-1.1"}
+        assert ("gpl" in labels) == ("gpl-3.0" in labels) and ("cc-by" in labels) == ("cc-by-nc" in labels)
+
+
 # quality
 
 def test_quality(spark, small):
