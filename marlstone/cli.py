@@ -13,13 +13,11 @@ import re
 import sys
 
 from pyspark.errors import PythonException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
-from .operators import dedupe, manifest, merge, payload, seed, validate
-from .schema import DEFERRED, ENTRY
+from .operators import dedupe, manifest, payload, seed, validate
+from .plans.documents import merge_documents, new_head, read_registry
 from .sources import yaml_catalog
-from .sources.storage import Replacement
 from .sources.text import whole_texts
 
 
@@ -29,26 +27,12 @@ def session() -> SparkSession:
     return spark
 
 
-def recovered(spark: SparkSession, path: str) -> str:
-    """The path of a registry, after what an interrupted merge has left there is undone."""
-    Replacement(spark, path, yaml_catalog.queue_path(path)).recover()
-    return path
-
-
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    return yaml_catalog.read(spark, recovered(spark, path))
-
-
 def validate_command(spark: SparkSession, args) -> None:
     rows = read_registry(spark, args.registry)
     n = validate.assert_document(yaml_catalog.envelope(spark, args.registry), rows)
     print(f"OK: {n} entries valid in {args.registry}")
 
 
-def new_head(run_date: str, name: str) -> dict:
-    return {"version": yaml_catalog.VERSION, yaml_catalog.DATED: run_date, name: None}
-
-
 def manifest_command(spark: SparkSession, args) -> None:
     name = yaml_catalog.TARGETS
     yaml_catalog.dump(manifest.with_source_keys(read_registry(spark, args.registry)).orderBy("_pos"), sys.stdout, new_head(args.run_date, name), name)
@@ -56,7 +40,7 @@ def manifest_command(spark: SparkSession, args) -> None:
 
 def seed_command(spark: SparkSession, args) -> None:
     rows = seed.seed_entries(whole_texts(spark, args.document), args.run_date).orderBy("name", "_pos")
-    yaml_catalog.dump(rows, sys.stdout, new_head(args.run_date, yaml_catalog.ENTRIES))
+    yaml_catalog.dump(rows, sys.stdout, new_head(args.run_date))
 
 
 def dedupe_command(spark: SparkSession, args) -> None:
@@ -76,24 +60,7 @@ def dedupe_command(spark: SparkSession, args) -> None:
 
 
 def merge_command(spark: SparkSession, args) -> None:
-    """Registry and queue change together or not at all; the counters are computed before."""
-    queue_file = yaml_catalog.queue_path(args.registry)
-    both = Replacement(spark, args.registry, queue_file)
-    both.recover()
-    read = lambda path, schema: yaml_catalog.read(spark, path, schema, missing="empty")
-    head = lambda path: yaml_catalog.dated(yaml_catalog.head_of(yaml_catalog.envelope(spark, path, missing="empty").first()), args.run_date)
-    registry, queue = read(args.registry, ENTRY), read(queue_file, merge.with_keys(DEFERRED))
-    merge.assert_usable(registry, "name", "url")
-    merge.assert_usable(queue, "url")
-    verdicts = payload.flatten_verdicts(whole_texts(spark, args.verdicts))
-    entries, queued, counts = merge.merge(registry, queue, verdicts, args.run_date, args.mode)
-    line = counts.select(F.format_string("added=%d refreshed=%d deferred=%d rejected=%d", *counts.columns)).first()[0]
-    staged = [
-        yaml_catalog.stage(entries.orderBy("name", "_pos"), args.registry, head(args.registry)),
-        yaml_catalog.stage(queued.orderBy("part", "_pos").drop("part"), queue_file, head(queue_file)),
-    ]
-    both.replace(staged)
-    print(line)
+    print(merge_documents(spark, args.registry, payload.flatten_verdicts(whole_texts(spark, args.verdicts)), args.run_date, args.mode))
 
 
 def told(error: Exception) -> str:

@@ -31,7 +31,7 @@ TABLE_INPUTS = {
     "verdict_files": """
         select g as payload, case when g % 2 = 0 then concat('{{"verdicts":[', listed, ']}}') else concat('[', listed, ']') end as value
         from (select cast(floor(page_id / 10) as bigint) as g, {AGG}case page_id % 3
-            when 0 then concat('{{"decision":"approve","candidate":{{"url":"', url, '","name":"p', {ID}, '"}},"suggested_entry":{{"url":"', url, '","name":"p', {ID}, '","rating":', {ID}, ',"scan_paths":["a","b"],"notes":null}}}}')
+            when 0 then concat('{{"decision":"approve","candidate":{{"url":"', url, '","name":"p', {ID}, '"}},"suggested_entry":{{"url":"', url, '","name":"p', {ID}, '","kind":"registry","rating":', {ID}, ',"scan_paths":["a","b"],"notes":null}}}}')
             when 1 then concat('{{"decision":"defer","reason":"gated","candidate":{{"url":"', url, '"}}}}') else concat('{{"reason":null,"decision":"reject","candidate":{{"name":"p', {ID}, '"}},"suggested_entry":null}}') end{GGA} as listed from pages group by cast(floor(page_id / 10) as bigint))""",
     "seed_files": """
         select g as doc, concat('# Sources', chr(10), chr(10), listed, chr(10), 'The end.', chr(10)) as value
