@@ -14,17 +14,20 @@ The distinct 6-grams at all other places are counted by text and joined with the
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyarrow.fs import LocalFileSystem
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, in_parts, return_memory, shared_dataset, shared_folder, ship_code, utf8_values, written
+from .common import chunks, in_parts, open_shared, return_memory, shared_dataset, shared_folder, ship_code, utf8_values, written
 
 ORDER = 5
-#: Symbols of contexts, of all orders, that all workers read (16 bytes each, and 32 for a context); the rest of the trie is joined.
+#: Symbols of contexts, of all orders, that all workers read (12 bytes each, and 20 for a context, in a file that the workers of a machine
+#: share); the rest of the trie is joined.
 GRAMS = 3_000_000
 #: Most frequent tokens whose counts all workers read; the counts of all others are joined.
 FREQUENT = 100_000
@@ -247,24 +250,56 @@ def trie_tables(grams: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     return levels, written(contexts, folder, "contexts")
 
 
-def read_model(folder: str, whole: bool) -> tuple[Trie, dict[bytes, int]]:
-    """The frequent part of the trie and the frequent tokens, as a worker has them."""
-
-    def by_order(name: str, key: str, *columns: str) -> list[tuple]:
-        found, whole_table = [], shared_dataset(f"{folder}/{name}")
-        for k in range(ORDER + 1):
-            t = whole_table.to_table(columns=[key, *columns], filter=pc.field("k") == k, use_threads=False, memory_pool=pa.system_memory_pool())
-            order = np.argsort(t[key].to_numpy())
-            # Counts that fit take half the room.
-            small = [t[c].to_numpy() for c in columns]
-            small = [x.astype(np.int32) if len(x) and x.max() < 1 << 31 else x for x in small]
-            found.append((t[key].to_numpy()[order], *(x[order] for x in small)))
-            del t
-        return found
-
+def sorted_arrays(folder: str, name: str, key: str, *columns: str):
+    """For each order the keys of a table of the folder, sorted, and its columns in their order; counts that fit take half the room."""
+    table = shared_dataset(f"{folder}/{name}")
+    for k in range(ORDER + 1):
+        t = table.to_table(columns=[key, *columns], filter=pc.field("k") == k, use_threads=False, memory_pool=pa.system_memory_pool())
+        order = np.argsort(t[key].to_numpy())
+        yield t[key].to_numpy()[order]
+        for c in columns:
+            x = t[c].to_numpy()
+            yield (x.astype(np.int32) if len(x) and x.max() < 1 << 31 else x)[order]
+
+
+def write_model(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """Writes the part of the trie that all workers read, which GRAMS bounds, as one file of sorted arrays, and gives the kind, the place and the
+    length of each. The file appears under its name when it is complete."""
+
+    def write(_):
+        fs, path = open_shared(f"{folder}/model")
+        temporary = f"{path}-{uuid.uuid4().hex}"
+        rows, at = [], 0
+        with fs.open_output_stream(temporary) as out:
+            for table in (("top_contexts", "context", "total", "distinct", "same"), ("top_grams", "gram", "n")):
+                for x in sorted_arrays(folder, *table):
+                    data = np.ascontiguousarray(x).tobytes()
+                    out.write(data + b"\0" * (-len(data) % 8))
+                    rows.append((x.dtype.str, at, len(x)))
+                    at += len(data) + -len(data) % 8
+        fs.move(temporary, path)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (range(len(rows)), *zip(*rows, strict=True))], ["i", "kind", "at", "n"])
+        return_memory()
+
+    found = spark.range(1, numPartitions=1).mapInArrow(write, "i long, kind string, at long, n long")
+    return [(r["kind"], r["at"], r["n"]) for r in sorted(found.collect())]
+
+
+def read_model(folder: str, whole: bool, layout: list[tuple[str, int, int]]) -> tuple[Trie, dict[bytes, int]]:
+    """The frequent part of the trie and the frequent tokens, as a worker has them: arrays of a file that the workers of a machine map
+    together where the shared folder is mounted, and have as copies of their own where it is not."""
+    fs, path = open_shared(f"{folder}/model")
+    if isinstance(fs, LocalFileSystem):
+        data = np.asarray(np.memmap(path, np.uint8, "r")) if fs.get_file_info(path).size else np.zeros(0, np.uint8)
+    else:
+        with fs.open_input_file(path) as file:
+            data = np.frombuffer(file.read(), np.uint8)
+    arrays = [data[at : at + n * np.dtype(kind).itemsize].view(kind) for kind, at, n in layout]
+    contexts, grams = arrays[: 4 * (ORDER + 1)], arrays[4 * (ORDER + 1) :]
     tokens = shared_dataset(f"{folder}/top_tokens").to_table(use_threads=False)
     known = dict(zip(tokens["token"].to_pylist(), tokens["n"].to_pylist(), strict=True))
-    return Trie(by_order("top_contexts", "context", "total", "distinct", "same"), by_order("top_grams", "gram", "n"), whole), known
+    grouped = lambda x, n: [tuple(x[i : i + n]) for i in range(0, len(x), n)]
+    return Trie(grouped(contexts, 4), grouped(grams, 2), whole), known
 
 
 def resolved(wanted: DataFrame, levels: DataFrame, contexts: DataFrame) -> DataFrame:
@@ -304,6 +339,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
     top = contexts.where(F.col("total") >= least)
     written(top, folder, "top_contexts")
     written(levels.join(top.select("k", "context"), (F.shiftright("gram", 8) == F.col("context")) & (levels["k"] == top["k"]), "left_semi"), folder, "top_grams")
+    layout = write_model(spark, folder)
     least, all_tokens = least_count(tokens, "n", F.lit(1), frequent)
     written(tokens.where(F.col("n") >= least), folder, "top_tokens")
     train_tokens, distinct = (x or 0 for x in tokens.agg(F.sum("n"), F.count("*")).first())
@@ -313,7 +349,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tra
     def scan(batches):
         if folder not in _models:
             _models.clear()
-            _models[folder] = read_model(folder, whole_trie)
+            _models[folder] = read_model(folder, whole_trie, layout)
             return_memory()
         trie, known = _models[folder]
         for batch in chunks(batches, "t", STEP_BYTES):

@@ -15,7 +15,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), pii.key_of(spark))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
