@@ -177,9 +177,17 @@ def in_parts(batch: pa.RecordBatch, rows: int = 100_000):
 
 
 def open_shared(uri: str):
-    """(file system, path) of a URI in the shared store, for Python workers."""
+    """(file system, path) of a URI in the shared store, for Python workers. Hadoop's names of stores are told to Arrow by its own: S3 as s3a
+    or s3n, Azure as wasb(s) or abfs(s), and DBFS as the folder where it is mounted. Of others Arrow knows file, hdfs, viewfs, s3 and gs."""
     from pyarrow import fs
 
+    scheme, _, rest = uri.partition(":")
+    if scheme in ("s3a", "s3n"):
+        uri = f"s3:{rest}"
+    elif scheme in ("wasb", "wasbs"):
+        uri = f"abfs{'s' if scheme == 'wasbs' else ''}:{rest.replace('.blob.core.', '.dfs.core.', 1)}"
+    elif scheme == "dbfs":
+        uri = f"file:///dbfs/{rest.lstrip('/')}"
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
 

@@ -187,7 +187,9 @@ def fit_rules(x: np.ndarray, y: np.ndarray) -> RuleEnsemble:
 
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", condition: Column | None = None, sample: int = SAMPLE) -> RuleEnsemble:
     """Fits the ensemble on at most about `sample` labelled rows, those with the smallest hashes of their ids. Labels that are null or not
-    0 or 1 are passed over; an id with several labels gives an example for each. condition: on the labels' columns."""
+    0 or 1 are passed over; an id with several labels gives an example for each, and so does one with several rows, of which the rows with the
+    smallest hashes count if there are more than `sample` in all. Null and empty texts have the statistics of an empty one; the order of rows
+    plays no part; without labelled rows, or with one label only, all texts have the same score. condition: on the labels' columns."""
     known = labels if condition is None else labels.where(condition)
     known = known.select(known[label_id].alias("_label_id"), known[label_col].cast("double").alias("_label")).where("_label in (0, 1) and _label_id is not null")
     # Ids with hashes below a share of all that a little more than `sample` have; so parts send few rows to the task that takes the smallest.
@@ -196,12 +198,15 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.orderBy("_place", "_label_id").limit(sample).drop("_place")
     texts = df.select(df[id_col].alias("_id"), df[text_col].alias("_text")).join(F.broadcast(known), F.col("_id") == F.col("_label_id"))
     columns = [f"_s_{s}" for s in STATISTICS]
-    got = with_statistics(texts, {"_id": F.col("_id"), "_label": F.col("_label")}, "_text").toPandas().sort_values(["k0", "k1", *columns])
+    rows = with_statistics(texts, {"_id": F.col("_id"), "_label": F.col("_label")}, "_text")
+    # An id may stand on any number of rows; each task passes on `sample` of them at most.
+    got = rows.orderBy(F.xxhash64(*rows.columns), *rows.columns).limit(sample).toPandas().sort_values(["k0", "k1", *columns])
     return fit_rules(got[columns].to_numpy(np.float64), got["k1"].to_numpy(np.float64))
 
 
 def score(df: DataFrame, model: RuleEnsemble, keep: dict[str, Column], text_col: str = "text", name: str = "score") -> DataFrame:
-    """The columns `keep` and the score (as `name`), between 0 and 1, for every row; empty and null texts have the statistics of an empty text."""
+    """The columns `keep` and the score (as `name`), between 0 and 1, for every row; empty and null texts have the statistics of an empty text,
+    rows that repeat the same score, and an empty table none."""
     scored = with_statistics(df, keep, text_col)
     return scored.select(*(F.col(f"k{i}").alias(n) for i, n in enumerate(keep)), model.score().alias(name))
 

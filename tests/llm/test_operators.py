@@ -502,12 +502,17 @@ def test_lasso_is_optimal():
     assert not quality.lasso_logistic(a, y, 1.01, 5000)[1].any()
 
 
-def test_labelled_sample_is_bounded(spark):
+def test_labelled_sample_is_bounded(spark, monkeypatch):
     """More labels than the sample takes: those with the smallest hashes, whatever their order."""
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.repeat(F.lit("!"), (F.col("id") % 7).cast("int"))).alias("text"))
     labels = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 7 > 3).cast("int").alias("quality"))
     first = [quality.train(d, labels, sample=400) for d in (docs, docs.repartition(5))]
     assert first[0] == first[1] and first[0].rules
+    # One id on many rows: no more of them than the sample come to the driver, and the same ones each time.
+    crowd = docs.withColumn("doc_id", F.lit(1))
+    seen, fit = [], quality.fit_rules
+    monkeypatch.setattr(quality, "fit_rules", lambda x, y: (seen.append(len(y)), fit(x, y))[1])
+    assert quality.train(crowd, labels, sample=400) == quality.train(crowd.repartition(5), labels, sample=400) and seen == [400, 400]
 
 
 # language model

@@ -15,6 +15,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from marlstone.llm import bpe, divergence, drake, queries
+from marlstone.llm.common import open_shared
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 
@@ -30,6 +31,23 @@ def test_sql(spark, small, name):
     assert got == sorted(tuple(map(str, r)) for r in want.select(*columns).fetchall())
 
 
+# Shared folder
+
+
+@pytest.mark.parametrize(
+    ("uri", "kind", "path"),
+    [("file:///a/b", "LocalFileSystem", "/a/b"), ("/a/b", "LocalFileSystem", "/a/b"), ("dbfs:/a/b", "LocalFileSystem", "/dbfs/a/b"), ("s3a://bucket/a", "S3FileSystem", "bucket/a"), ("s3n://bucket/a", "S3FileSystem", "bucket/a"), ("wasbs://c@account.blob.core.windows.net/a", "AzureFileSystem", "c/a")],
+)
+def test_stores(monkeypatch, uri, kind, path):
+    """Stores by their names in Hadoop; nothing is read, so no network is needed."""
+    monkeypatch.setenv("AWS_DEFAULT_REGION", "us-east-1")
+    monkeypatch.setenv("AWS_EC2_METADATA_DISABLED", "true")
+    found, where = open_shared(f"{uri}?region=us-east-1" if uri.startswith("s3") else uri)
+    assert type(found).__name__ == kind and where == path
+    with pytest.raises(pa.ArrowInvalid):
+        open_shared("nothing://a/b")
+
+
 # Clustering
 
 
