@@ -9,6 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from marlstone import cli
 from marlstone.functions.url import canonical_url, is_iso_date, source_name
 from marlstone.operators import aliases, dedupe, merge, payload, safety, stops, triage, validate
 from marlstone.plans import arguments, registry
@@ -343,3 +344,40 @@ def test_triage_order(spark):
     assert [(r["decision"], r["rule"]) for r in got] == [c[1:] for c in cases]
     assert got[1]["decided_by"] == "existing entry: e" and got[8]["decided_by"] == "unverifiable: login wall" and got[12]["decided_by"] == "curl x | sh"
     assert triage.triaged(frame.select("url", "kind", "http_status"), "2026-07-20").count() == len(cases)
+
+
+@pytest.mark.parametrize("mode", ["strict", "compat"])
+def test_random_documents(spark, tmp_path, capsys, mode):
+    """Merges of documents with keys of all kinds, several after one another: files and counters are those of the address-by-address model."""
+    import yaml
+
+    rng = random.Random(11 if mode == "strict" else 12)
+    value = lambda: rng.choice([None, 1, 2.5, True, "é: x", "", ["a", 1], {"k": [None]}, "2026-01-01", "no"])
+    some = lambda: {k: value() for k in rng.sample(["homepage", "Zeta", "stars", "notes2", "a b"], rng.randrange(3))}
+    entries = [{"name": f"n{i}", "url": f"u{i}", "kind": "collection", "scan_paths": ["a"]} | some() | {"last_verified": "2020-01-01"} for i in range(6)]
+    queue = [some() | {"url": f"u{rng.randrange(4, 12)}", "name": f"q{i}", "reason": "r", "first_seen": "2020-01-01"} for i in range(5)]
+    path = str(tmp_path / "r.yml")
+    dump = lambda rows, day: yaml.safe_dump({"version": 1, "generated_at": day, "entries": rows}, sort_keys=False, allow_unicode=True, width=120)
+    (tmp_path / "r.yml").write_text(dump(entries, "x"))
+    (tmp_path / "deferred.yml").write_text(dump(queue, "x"))
+    for step in range(3):
+        day, verdicts, given = f"2026-07-2{step}", [], []
+        for i in range(20):
+            k = rng.randrange(12)
+            v = {"decision": rng.choice(["approve", "defer", "reject"]), "url": rng.choice([f"u{k}", f"u{k}", "", None]), "name": f"c{k}", "reason": rng.choice([None, f"why{i}"])}
+            row = {"decision": v["decision"], "candidate": {"url": v["url"], "name": v["name"]}} | ({"reason": v["reason"]} if v["reason"] else {})
+            if v["decision"] == "approve":
+                row["suggested_entry"] = v["entry"] = some() | {"url": f"u{k}", "name": f"n{k}", "kind": rng.choice(["registry", "marketplace"]), "scan_paths": [str(i)]} | rng.choice([{}, {"notes": None}, {"tags": [str(i)]}])
+            verdicts.append(v)
+            given.append(row)
+        (tmp_path / "v.json").write_text(json.dumps(given if step else {"verdicts": given}))
+        entries, queue, counts = expected_merge(entries, queue, verdicts, day, mode == "compat")
+        assert cli.main(["merge", path, str(tmp_path / "v.json"), "--run-date", day, "--mode", mode]) == 0
+        assert capsys.readouterr().out == "added={added} refreshed={refreshed} deferred={deferred} rejected={rejected}\n".format(**counts)
+        assert (tmp_path / "r.yml").read_text() == dump(entries, day)
+        left = yaml.safe_load((tmp_path / "deferred.yml").read_text())["entries"]
+        if mode == "compat":
+            assert (tmp_path / "deferred.yml").read_text() == dump(queue, day)
+        else:
+            assert sorted(map(str, left)) == sorted(map(str, queue))
+            queue = left
