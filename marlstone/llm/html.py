@@ -26,10 +26,12 @@ HIDDEN = frozenset("script style template head title noscript iframe noembed nof
 #: What may stand in the head; any other text or element ends it.
 IN_HEAD = frozenset("base link meta title style script noscript template noframes".split())
 BLOCK = frozenset(
-    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul caption".split()
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p plaintext pre search section select summary table tbody td tfoot th thead tr ul caption".split()
 )
+#: Values of a style's display that make a block of any element.
+DISPLAYS = frozenset("block flex grid list-item table flow-root".split())
 #: Blocks with a blank line around them.
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr article section fieldset".split())
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote plaintext pre ul ol dl table figure hr article section fieldset".split())
 #: Inline elements whose end tag ends them alone, with blocks that were begun inside left open.
 FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
 LISTS = frozenset("ul ol menu dir".split())
@@ -61,12 +63,12 @@ _blank = " \t\n\f\r"
 
 
 class Element:
-    """gone: not rendered at all; seen: False or True where the element says so itself (visibility), else None."""
+    """gone: not rendered at all; seen: False or True where the element says so itself (visibility), else None; block: a block by its style."""
 
-    __slots__ = ("name", "children", "attributes", "gone", "seen")
+    __slots__ = ("name", "children", "attributes", "gone", "seen", "block")
 
     def __init__(self, name: str, attributes: dict[str, str] | None = None):
-        self.name, self.children, self.attributes, self.seen = name, [], attributes or {}, None
+        self.name, self.children, self.attributes, self.seen, self.block = name, [], attributes or {}, None, False
         a = self.attributes
         self.gone = name in HIDDEN or "hidden" in a or (name == "input" and a.get("type", "").lower() == "hidden") or (name == "dialog" and "open" not in a)
         if "style" in a:
@@ -75,6 +77,7 @@ class Element:
                 key, _, value = part.partition(":")
                 style[key.strip().lower()] = value.replace("!important", "").strip().lower()
             self.gone |= style.get("display") == "none"
+            self.block = style.get("display") in DISPLAYS
             if style.get("visibility") in ("hidden", "collapse", "visible"):
                 self.seen = style["visibility"] == "visible"
 
@@ -177,6 +180,8 @@ def tree(page: str) -> Element:
         name = _name.match(tag, 1).group().lower()
         if name == "html" or name == "head" and (body or open_.count["head"]) or name == "body" and open_.count["body"]:
             continue
+        if name in ROWS and not open_.count["table"]:  # parts of a table mean nothing elsewhere
+            continue
         body |= name == "body"
         rest = tag[1 + len(name) :].removesuffix(">")
         attributes = {}
@@ -195,6 +200,9 @@ def tree(page: str) -> Element:
             at = end.end() if end else n
         else:
             open_.push(element)
+            if name == "plaintext":  # has no end
+                element.children.append(page[at:])
+                break
     return root
 
 
@@ -310,6 +318,24 @@ def numbered(element: Element, name: str, otherwise: int) -> int:
     return int(value) if re.fullmatch(r"-?\d{1,9}", value) else otherwise
 
 
+#: Roman numerals.
+ROMAN = ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i"))
+
+
+def marker(value: int, kind: str) -> str:
+    """A list item's number, as figures, letters or a Roman numeral; figures where the others have no such number."""
+    out, left = "", value
+    if kind in ("a", "A"):
+        while left > 0:
+            left, k = divmod(left - 1, 26)
+            out = chr(97 + k) + out
+    elif kind in ("i", "I") and value < 4000:
+        for n, sign in ROMAN:
+            while left >= n:
+                out, left = out + sign, left - n
+    return (out.upper() if kind.isupper() else out) or str(value)
+
+
 def plain(element: Element, seen: bool) -> str:
     """Text of an element with its white space."""
     parts, work = [], [(x, seen) for x in reversed(element.children)]
@@ -377,7 +403,7 @@ def rendered(root: Element) -> list[str]:
         elif name == "input":
             if here and child.attributes.get("type", "text").lower() in ("submit", "button", "reset"):
                 out.add(child.attributes.get("value", ""))
-        elif name == "pre":
+        elif name in ("pre", "plaintext"):
             out.end(True)
             text = plain(child, here).removeprefix("\n").rstrip("\n")
             for line in text.split("\n") if text.strip(_blank) else ():
@@ -397,27 +423,29 @@ def rendered(root: Element) -> list[str]:
             inner, finish = table, "cell"
             out = Lines()
         elif name in LISTS:
-            count = {"ordered": name == "ol", "next": numbered(child, "start", 1), "inner": parent.name == "li"}
+            back = name == "ol" and "reversed" in child.attributes
+            first = sum(not isinstance(x, str) and x.name == "li" for x in child.children) if back else 1
+            count = {"ordered": name == "ol", "next": numbered(child, "start", first), "step": -1 if back else 1, "type": child.attributes.get("type", ""), "inner": parent.name == "li"}
             out.end(not count["inner"])
             finish = "list"
         elif name == "li" and numbers:
             out.end()
             value = numbered(child, "value", numbers["next"])
-            numbers["next"] = value + 1
-            out.open(f"{value}. " if numbers["ordered"] else "- ")
+            numbers["next"] = value + numbers["step"]
+            out.open(f"{marker(value, child.attributes.get('type', numbers['type']))}. " if numbers["ordered"] else "- ")
             finish = "level"
         elif name == "dd":
             out.end()
             out.open("    ")
             finish = "level"
-        elif name in BLOCK:
+        elif name in BLOCK or child.block:
             out.end(name in SPACED)
             finish = "block"
         elif name == "q":
             if here:
                 out.add('"')
             finish = "quote"
-        if name not in VOID and name != "pre":
+        if name not in VOID and name not in ("pre", "plaintext"):
             work.append((child, iter(child.children), here, finish, inner, count))
     out.end()
     return out.lines

@@ -308,7 +308,9 @@ def resolved(wanted: DataFrame, levels: DataFrame, contexts: DataFrame) -> DataF
     for k in range(ORDER + 1):
         out = out.withColumn(f"gram{k}", F.col("gram").bitwiseAND(F.lit(256 ** (k + 1) - 1))).withColumn(f"context{k}", F.shiftright(f"gram{k}", 8))
         of = contexts.where(F.col("k") == k).select(F.col("context").alias(f"context{k}"), *(F.col(c).alias(f"{c}{k}") for c in ("total", "distinct", "same")))
-        out = out.join(of, f"context{k}", "left").join(levels.where(F.col("k") == k).select(F.col("gram").alias(f"gram{k}"), F.col("n").alias(f"n{k}")), f"gram{k}", "left")
+        symbols = levels.where(F.col("k") == k).select(F.col("gram").alias(f"gram{k}"), F.col("n").alias(f"n{k}"))
+        # Short contexts and grams are few (256^2 rows at most) and each is asked for by very many places.
+        out = out.join(F.broadcast(of) if k <= 2 else of, f"context{k}", "left").join(F.broadcast(symbols) if k <= 1 else symbols, f"gram{k}", "left")
     value = -F.log10(256 - F.col("distinct0"))
     for k in range(ORDER + 1):
         gone, gone_distinct = (F.coalesce(f"same{k + 1}", F.lit(0)), F.coalesce(f"distinct{k + 1}", F.lit(0))) if k < ORDER else (F.lit(0), F.lit(0))

@@ -1078,6 +1078,18 @@ def stacked(parts):
     return out
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p>x<plaintext>a<b>c\n d</plaintext>", "x\n\na<b>c\n d</plaintext>"), ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"), ("<ol reversed start=9><li>a<li value=4>b<li>c</ol>", "9. a\n4. b\n3. c"),
+        ("<ol type=a start=26><li>x<li>y</ol>", "z. x\naa. y"), ("<ol type=I><li>x<li value=9>y<li type=1>z</ol>", "I. x\nIX. y\n10. z"), ("<ol type=a><li value=0>x<li value=-3>y</ol>", "0. x\n-3. y"), ("<ol type=i><li value=4000>x</ol>", "4000. x"),
+        ("a<span style='display:block'>b</span>c", "a\nb\nc"), ("a<b style='display: inline'>b</b>c", "abc"), ("x<td>y</td>z <tr>q", "xyz q"), ("<table><tr><td>a<td>b</table>t<td>u", "a | b\n\ntu"),
+    ],
+)
+def test_lists_styles_and_strays(page, want):
+    assert html.visible_text(page) == want
+
+
 def test_random_pages():
     rng = np.random.default_rng(11)
     for _ in range(400):
