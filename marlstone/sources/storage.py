@@ -34,7 +34,7 @@ class Store:
         self.jvm = spark.sparkContext._jvm
         self.conf = spark.sparkContext._jsc.hadoopConfiguration()
         fs = self.path(path).getFileSystem(self.conf)
-        self.fs = fs.getRawFileSystem() if fs.getScheme() == "file" and hasattr(fs, "getRawFileSystem") else fs
+        self.fs = fs.getRawFileSystem() if fs.getUri().getScheme() == "file" and hasattr(fs, "getRawFileSystem") else fs
 
     def path(self, path: str):
         return self.jvm.org.apache.hadoop.fs.Path(path)
