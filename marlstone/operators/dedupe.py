@@ -74,6 +74,23 @@ def duplicates(candidates: DataFrame, registry: DataFrame) -> DataFrame:
     return _canonical(candidates).join(known_urls(registry), "url", "left_semi")
 
 
+def _queued(queue: DataFrame) -> DataFrame:
+    """The row of each canonical URL that the queue lists first."""
+    order = Window.partitionBy("url").orderBy("_pos")
+    rows = queue.withColumn("url", canonical_url(F.col("url"))).where("url is not null").withColumn("_rank", F.row_number().over(order))
+    return rows.where("_rank = 1").select("url", "reason", "first_seen")
+
+
+def recalled(candidates: DataFrame, queue: DataFrame) -> DataFrame:
+    """Candidates that an earlier run has deferred, with the reason and the day: what a run judges again without searching for it."""
+    return _canonical(candidates).join(_queued(queue), "url")
+
+
+def not_queued(candidates: DataFrame, queue: DataFrame) -> DataFrame:
+    """Candidates that no earlier run has deferred."""
+    return _canonical(candidates).join(_queued(queue), "url", "left_anti")
+
+
 def worth_a_visit(candidates: DataFrame, registry: DataFrame) -> DataFrame:
     """Candidates that a lane does not pass over. Facts, absent ones counting as false or none: is_gist, is_dotfiles, n_skill_files, mirror_of.
     Passed over are known URLs and names, gists and dotfile repositories without a skill file, and mirrors of known sources."""

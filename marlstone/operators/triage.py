@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.url import canonical_url
+from . import aliases
 
 #: Months that a source may rest, days that a post counts as recent, and days that a source counts as brand-new.
 FRESH_MONTHS, RECENT_DAYS, NEW_DAYS = 18, 90, 90
@@ -45,6 +46,13 @@ def elsewhere(url: Column, final_url: Column) -> Column:
     return F.coalesce(host(final_url) != host(url), F.lit(False))
 
 
+def with_duplicates(facts: DataFrame, registry: DataFrame, *alias_columns: str) -> DataFrame:
+    """facts (_pos, url, and what alias_columns name, mirror_of and redirects_to unless given) with duplicate_of, the name of the entry that the
+    registry has for the address or for one that its aliases lead to."""
+    found = aliases.existing(facts, registry, *alias_columns).select("_pos", F.col("existing_name").alias("duplicate_of"))
+    return facts.drop("duplicate_of").join(found, "_pos", "left")
+
+
 def triaged(facts: DataFrame, run_date: str) -> DataFrame:
     """facts (url, kind and any of FACTS) with decision, rule and evidence; the first rule that applies, rejections before deferrals.
 

@@ -39,6 +39,7 @@ TABLE_INPUTS = {
             case when page_id % 3 = 0 then concat('last_verified: 2026-01-02', chr(10)) else '' end, case when page_id % 2 = 0 then concat('homepage: h', {ID}, chr(10)) else '' end, '```', chr(10)){GGA} as listed from pages group by cast(floor(page_id / 10) as bigint))""",
     "reserving": "select page_id * 3 as _pos, concat('https://n.com/a', {ID}) as url, concat('taken-', {ID}) as name from pages union all select page_id * 3 + 1, concat('https://N.com/a', {ID}, '/'), 'free' from pages union all select page_id * 3 + 2, concat('https://n.com/b', {ID}), 'free' from pages",
     "taken": "select page_id as _pos, concat('https://k.com/', {ID}) as url, concat('taken-', {ID}) as name from pages",
+    "seen_again": "select page_id as _pos, case when page_id % 40 = 3 then 'https://q.example.com/twice/' else concat('http://R.example.com/', {ID}, '.git') end as url, concat('again-', {ID}) as name from pages",
     "vendor_pages": "select page_id as _pos, concat('https://github.com/', case page_id % 9 when 0 then 'Vercel' when 1 then 'stripe' when 2 then 'trail-of-bits' when 3 then 'HuggingFace' when 4 then 'Figma' else concat('org', {ID}) end, '/r', {ID}) as url from pages",
     "dates": """
         select event_id as n, case event_id % 9 when 0 then d when 1 then replace(d, '-', '') when 2 then concat(d, 'T10') when 3 then substr(d, 1, 7) when 4 then concat(substr(d, 1, 5), '02-3', substr(d, 10, 1)) when 5 then concat(' ', d)

@@ -175,6 +175,11 @@ PAYLOAD_ITEMS = f"""{with_inputs('payloads')}, docs as (select payload, value, c
 #: In a document a value without its key is not there.
 NO_CRAWLER = "not (requires_crawler and list_contains(_keys, 'requires_crawler'))"
 LANE_STOP = "case when lane = 'github-awesome' and seen_repo > 30 then 'repo' when lane in ('github-awesome', 'recent-posts') and seen_query > 6 then 'query' when lane = 'marketplaces' and seen_host > 8 then 'host' when lane = 'vendor-orgs' and seen_org > 20 then 'org' when seen_all > 200 then 'total' end"
+#: Every address that a chain of aliases leads to, and the nearest entry.
+ALIASES = f"""{with_inputs('mirrors', 'mirrored').replace('with ', 'with recursive ', 1)}, named as (select _pos, {canon('url')}, {canon('mirror_of', 'm')}, {canon('redirects_to', 'r')} from mirrors
+          ), ends as (select u as url, name, written from (select name, url as written, {canon('url')} from mirrored)), edges as (select u as url, m as target from named where m is not null union select u, r from named where r is not null
+          ), walk as (select u as start_, u as node, 0 as d from named union select start_, target, d + 1 from walk join edges on node = url where d < 30 and node not in (select url from ends)
+          ), best as (select start_, min({{'d': d, 'name': name, 'w': written}}) as b from walk join ends on node = url group by start_)"""
 HOSTS = "lower(regexp_extract({0}, '^https?://(?:www[.])?([^/:]+)', 1))"
 
 
@@ -307,6 +312,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     add("verdict_flatten", "verdict_files")(lambda v: payload.flatten_verdicts(v, order_col="payload").select("_pos", "decision", "reason", "has_reason", "c_url", "c_name", "name", "url", *joined("scan_paths"), F.array_join("_keys", ",").alias("keys"), F.col("_rest")["rating"].alias("rating")))
     add("vendor_backlog", "vendor_pages")(lambda p: arguments.vendor_backlog(p.sparkSession, p))
     add("alias_duplicates", "mirrors", "mirrored")(aliases.existing)
+    add("duplicate_verdicts", "mirrors", "mirrored")(lambda c, r: triage.triaged(triage.with_duplicates(c.withColumn("kind", F.lit("registry")), r), RUN_DATE).select("_pos", "decision", "rule", "decided_by"))
     add("lane_stops", "lanes")(lambda c: stops.surveyed(c).select("_pos", "lane", "seen_repo", "seen_org", "seen_host", "seen_query", "seen_all", "stopped"))
     add("lane_survey", "lanes")(lambda c: stops.within_stops(c).select("_pos", "lane", "url"))
     add("safety_spans", "readmes")(lambda r: safety.unsafe_spans(r).fillna({"source_line": -1}))
@@ -319,6 +325,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     add("merged_queue_document", "registry", "queue", "verdicts")(lambda r, d, v: documents.read_queue(r.sparkSession, merged_documents(r, d, v)).select("url", "name", "reason", "first_seen"))
     add("streamed_registry", "verdict_files")(lambda v: streamed(v).load()[0].select("url", "name", F.array_join("_keys", ",").alias("keys"), F.col("_rest")["rating"].alias("rating")))
     add("streamed_queue", "verdict_files")(lambda v: streamed(v).load()[1].select("url", "reason", "first_seen"))
+    add("queue_recalled", "seen_again", "queue")(lambda c, d: dedupe.recalled(c, d).select("_pos", "url", "reason", "first_seen"))
+    add("queue_unseen", "seen_again", "queue")(lambda c, d: dedupe.not_queued(c, d).select("_pos", "url"))
     add("upsert_unknown_keys", "kept_registry", "kept_verdicts")(upserted)
     return q
 
@@ -404,11 +412,8 @@ def oracle_sql() -> dict[str, str]:
           from (select page_id as p, url from pages) where p % 5 <> 4""",
         "seed_places": f"""{with_inputs('seed_files')}, blocks as (select doc, value, page_id, concat('name: p', page_id, chr(10)) as first_, row_number() over (partition by doc order by page_id) - 1 as _pos from seed_files join pages on page_id // 10 = doc where page_id % 5 <> 4)
           select doc, _pos, strpos(value, first_)::int as place, (strpos(substr(value, strpos(value, first_)), chr(10) || '```') - 1)::int as size from blocks""",
-        "alias_duplicates": f"""{with_inputs('mirrors', 'mirrored').replace('with ', 'with recursive ', 1)}, named as (select _pos, {canon('url')}, {canon('mirror_of', 'm')}, {canon('redirects_to', 'r')} from mirrors
-          ), ends as (select u as url, name, written from (select name, url as written, {canon('url')} from mirrored)), edges as (select u as url, m as target from named where m is not null union select u, r from named where r is not null
-          ), walk as (select u as start_, u as node, 0 as d from named union select start_, target, d + 1 from walk join edges on node = url where d < 30 and node not in (select url from ends)
-          ), best as (select start_, min({{'d': d, 'name': name, 'w': written}}) as b from walk join ends on node = url group by start_)
-          select _pos, u as url, b['name'] as existing_name, b['w'] as existing_url, b['d']::bigint as hops from named join best on start_ = u""",
+        "alias_duplicates": f"{ALIASES} select _pos, u as url, b['name'] as existing_name, b['w'] as existing_url, b['d']::bigint as hops from named join best on start_ = u",
+        "duplicate_verdicts": f"{ALIASES} select _pos, case when b is null then 'defer' else 'reject' end as decision, case when b is null then 'unverifiable' else 'duplicate' end as rule, case when b is null then 'unverifiable: reachability' else concat('existing entry: ', b['name']) end as decided_by from named left join best on start_ = u",
         "lane_stops": f"""{with_inputs('lanes')}, marked as (select _pos, lane, {firsts} from lanes), counted as (select _pos, lane, {", ".join(f"(sum({k}) over (partition by lane order by _pos))::bigint as seen_{k}" for k in things)}, row_number() over (partition by lane order by _pos) as seen_all from marked)
           select *, {LANE_STOP} as stopped from counted""",
         "lane_survey": f"""{with_inputs('lanes')}, marked as (select _pos, lane, url, {firsts} from lanes), counted as (select _pos, lane, url, {", ".join(f"sum({k}) over (partition by lane order by _pos) as seen_{k}" for k in things)}, row_number() over (partition by lane order by _pos) as seen_all from marked)
@@ -428,6 +433,8 @@ def oracle_sql() -> dict[str, str]:
         "merged_queue_document": f"{STRICT} select url, name, reason, first_seen from strict_queue",
         "streamed_registry": "select url, concat('p', max(page_id)) as name, 'url,name,kind,rating,scan_paths,notes,last_verified' as keys, max(page_id)::varchar as rating from pages where page_id % 3 = 0 group by url",
         "streamed_queue": f"select url, 'gated' as reason, '{RUN_DATE}' as first_seen from pages p where page_id % 3 = 1 and not exists (select 1 from pages a where a.url = p.url and a.page_id % 3 = 0 and a.page_id > p.page_id) group by url",
+        "queue_recalled": f"{with_inputs('seen_again', 'queue')}, asked as (select _pos, {canon('url')} from seen_again) select _pos, u as url, reason, first_seen from asked join (select distinct url, reason, first_seen from queue) q on q.url = u",
+        "queue_unseen": f"{with_inputs('seen_again', 'queue')}, asked as (select _pos, {canon('url')} from seen_again) select _pos, u as url from asked where u not in (select url from queue)",
         "upsert_unknown_keys": f"""{with_inputs('kept_registry', 'kept_verdicts')}, patch as (select url, _pos, unnest(list_append(_keys, 'last_verified')) as k, unnest(range(len(_keys) + 1)) as i, rating, homepage from kept_verdicts
           ), keys as (select url, k, min(f) as f from (select url, unnest(_keys) as k, unnest(range(len(_keys))) - 1000 as f from kept_registry union all select url, k, _pos * 100 + i from patch) group by all
           ), last_ as (select url, arg_max(homepage, _pos) filter (k = 'homepage') as homepage, bool_or(k = 'homepage') as has_h, arg_max(rating, _pos) filter (k = 'rating') as rating from patch group by url)
