@@ -43,6 +43,8 @@ END_ID = 1
 REMEMBERED = 250_000
 #: Blocks packed at once.
 AT_ONCE = 2048
+#: Bytes of text that are encoded at a time; each distinct word in them is looked up once.
+STEP_BYTES = 8_000_000
 
 _memory: dict[str, Encoder] = {}
 
@@ -243,7 +245,7 @@ def write_files(batches, tokenizer: bytes, folder: str, file_ids: int = FILE_IDS
         return pa.RecordBatch.from_pydict(row, schema=pa.schema([("part", pa.int32()), ("no", pa.int32()), ("path", pa.string()), ("n_ids", pa.int64()), ("n_docs", pa.int64())]))
 
     size = 0
-    for batch in chunks(batches, "t"):
+    for batch in chunks(batches, "t", STEP_BYTES):
         ids, each = of.encode(batch.column("t"))
         begin, end = 0, 0
         for doc, n in zip(batch.column("d").to_pylist(), each.tolist(), strict=True):
