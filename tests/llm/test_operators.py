@@ -46,7 +46,7 @@ def plain(frame):
 
 def against_sql(spark, small, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.sql(f"create view {t} as select * from '{small}/{t}.parquet'")
     got = queries.queries()[name](spark, small).toPandas()
     want = con.sql(queries.oracle_sql()[name]).df()[list(got.columns)]

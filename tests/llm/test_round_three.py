@@ -7,7 +7,6 @@ import random
 import re
 from collections import Counter, defaultdict
 
-import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -20,17 +19,6 @@ from marlstone.llm.common import open_shared
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 
 
-@pytest.mark.parametrize("name", ["op11_drake_clusters", "op13_source_divergence"])
-def test_sql(spark, small, name):
-    con = duckdb.connect()
-    for t in ("documents", "embeddings"):
-        con.sql(f"create view {t} as select * from '{small}/{t}.parquet'")
-    want = con.sql(queries.oracle_sql()[name])
-    columns = sorted(want.columns)
-    got = sorted(tuple(map(str, r)) for r in queries.queries()[name](spark, small).select(*columns).collect())
-    assert got == sorted(tuple(map(str, r)) for r in want.select(*columns).fetchall())
-
-
 # Shared folder
 
 
