@@ -232,12 +232,18 @@ def merged_documents(known: DataFrame, queue: DataFrame, verdicts: DataFrame) ->
     return path
 
 
+def as_files(payloads: DataFrame) -> str:
+    """A folder with a file for each payload, in the order of their names."""
+    folder = f"{work_folder(payloads.sparkSession)}/in"
+    payloads.select("value", F.lpad(F.col("payload").cast("string"), 12, "0").alias("file")).write.partitionBy("file").text(folder)
+    return folder
+
+
 def streamed(files: DataFrame) -> CatalogueState:
-    """The state after a stream over verdict files, a file for each row, in the order of their names."""
+    """The state after a stream over verdict files, a file for each row."""
     spark, folder = files.sparkSession, work_folder(files.sparkSession)
-    files.select("value", F.lpad(F.col("payload").cast("string"), 12, "0").alias("file")).write.partitionBy("file").text(f"{folder}/in")
     state = CatalogueState(spark, f"{folder}/state")
-    merge_stream(spark, f"{folder}/in", f"{folder}/checkpoint", state, RUN_DATE).awaitTermination()
+    merge_stream(spark, as_files(files), f"{folder}/checkpoint", state, RUN_DATE).awaitTermination()
     return state
 
 
@@ -268,6 +274,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     add("payload_flatten", "payloads")(lambda p: flat(p).select("payload", "_outer", "_inner", "url", "name", "stars", F.array_join("tags", ",").alias("tags"), F.array_join("_keys", ",").alias("keys"), F.to_json(F.col("_fields")["topics"]).alias("topics")))
     add("corrupt_lane_dropped", "payloads")(payload.gaps)
     add("payload_report", "payloads")(payload.corpus_report)
+    add("payload_files", "payloads")(lambda p: payload.corpus_report(payload.read_corpus(p.sparkSession, as_files(p))).select(F.regexp_extract("path", "file=0*([0-9]+)", 1).cast("long").alias("payload"), "size", "n_candidates", "reason"))
+    add("payload_file_rows", "payloads")(lambda p: payload.flatten_candidates(payload.in_order(payload.read_corpus(p.sparkSession, as_files(p))), strict=False).select(F.regexp_extract("path", "file=0*([0-9]+)", 1).cast("long").alias("payload"), F.col("_file").cast("long").alias("rank"), "_outer", "_inner", "url"))
     q["props_json"] = lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.size(F.json_object_keys("props")).alias("n_keys"))
     add("manifest", "entries")(lambda e: manifest.to_manifest(e).withColumn("scan_paths", F.array_join("scan_paths", ",")))
     add("manifest_ref_default", "entries")(lambda e: manifest.to_manifest(e).groupBy("kind", "ref").agg(F.count("*").alias("n")))
@@ -361,6 +369,8 @@ def oracle_sql() -> dict[str, str]:
         "payload_flatten": f"{PAYLOAD_ITEMS} select payload, _outer, _inner, c->>'$.url' as url, c->>'$.name' as name, (c->>'$.stars')::bigint as stars, array_to_string((c->'$.tags')::varchar[], ',') as tags, array_to_string(json_keys(c), ',') as keys, (c->'$.topics')::varchar as topics from inner_",
         "corrupt_lane_dropped": f"{PAYLOAD_ITEMS} select payload, case when j is null then 'no JSON' when json_type(j) = 'OBJECT' then 'no candidates' else 'neither an object nor a list' end as reason from docs where payload not in (select payload from outer_)",
         "payload_report": f"{PAYLOAD_ITEMS} select payload, count(c) as n_candidates, max(case when j is null then 'no JSON' when json_type(j) = 'OBJECT' and c is null then 'no candidates' when c is null then 'neither an object nor a list' end) as reason from docs left join inner_ using (payload) group by payload",
+        "payload_files": f"{PAYLOAD_ITEMS}, report as (select payload, count(c) as n_candidates, max(case when j is null then 'no JSON' when json_type(j) = 'OBJECT' and c is null then 'no candidates' when c is null then 'neither an object nor a list' end) as reason from docs left join inner_ using (payload) group by payload) select payload, strlen(value) + 1 as size, n_candidates, reason from report join payloads using (payload)",
+        "payload_file_rows": f"{PAYLOAD_ITEMS} select payload, (select count(*) from payloads p where p.payload < i.payload) as rank, _outer, _inner, c->>'$.url' as url from inner_ i",
         "props_json": "select event_id, len(json_keys(props))::int as n_keys from events",
         "manifest": f"{with_inputs('entries')} select _pos, name, url, case when list_contains(_keys, 'ref') then ref when kind in {GIT_KINDS} then 'main' else '' end as ref, kind, array_to_string(scan_paths, ',') as scan_paths, case when list_contains(_keys, 'requires_crawler') then requires_crawler else false end as requires_crawler from entries",
         "manifest_ref_default": f"{with_inputs('entries')} select kind, case when list_contains(_keys, 'ref') then ref when kind in {GIT_KINDS} then 'main' else '' end as ref, count(*) as n from entries group by all",
